@@ -6,14 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from marketlake.functions.calendar import calendar_parts
-from marketlake.functions.parsing import millis_to_time, whole_number
+from marketlake.functions.parsing import millis_to_time
 
 
-def landing_time(timestamp: Column, present: Column, now: Column) -> Column:
-    """Time a record is filed under: its own, 1970 when it has none, ``now`` when unreadable."""
+def landing_time(millis: Column, present: Column, now: Column) -> Column:
+    """Time a record is filed under: its own, 1970 when it has none, ``now`` when unreadable (null)."""
     epoch = F.timestamp_millis(F.lit(0).cast("bigint"))
     return F.coalesce(
-        millis_to_time(whole_number(timestamp)),
+        millis_to_time(millis),
         F.when(present, now.cast("timestamp")).otherwise(epoch),
     )
 

@@ -7,6 +7,8 @@ the last bit (a single 0.2 fault still reaches a threshold of 0.8).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column
@@ -26,52 +28,86 @@ def _holds(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def required_faults(record: Column, fields: tuple[str, ...] = REQUIRED_FIELDS) -> list[Fault]:
-    return [(~has(record, f), 0.2, F.lit(f"Missing required field: {f}")) for f in fields]
+@dataclass(frozen=True)
+class RecordFields:
+    """What the rules look at: which keys a record has, and its values as typed columns."""
 
+    present: dict[str, Column]
+    price: Column
+    volume: Column
+    millis: Column
+    exchange: Column
 
-def price_faults(record: Column, bounds: QualityBounds) -> list[Fault]:
-    price = number(field(record, "price"))
-    outside = has(record, "price") & ~price.between(bounds.min_price, bounds.max_price)
-    unreadable = has(record, "price") & price.isNull()
+
+def record_fields(record: Column) -> RecordFields:
+    return RecordFields(
+        present={name: has(record, name) for name in REQUIRED_FIELDS},
+        price=number(field(record, "price")),
+        volume=number(field(record, "volume")),
+        millis=whole_number(field(record, "timestamp")),
+        exchange=field(record, "exchange"),
+    )
+
+
+def unpacked_fields(parsed: str) -> tuple[Callable[[Column], Column], RecordFields]:
+    """A struct column holding the fields of a record, and the fields read from that column."""
+
+    def pack(record: Column) -> Column:
+        f = record_fields(record)
+        typed = {"price": f.price, "volume": f.volume, "millis": f.millis, "exchange": f.exchange}
+        flags = {f"has_{name}": c for name, c in f.present.items()}
+        return F.struct(*[c.alias(name) for name, c in {**typed, **flags}.items()])
+
+    def value(name: str) -> Column:
+        return F.col(f"{parsed}.{name}")
+
+    present = {name: value(f"has_{name}") for name in REQUIRED_FIELDS}
+    return pack, RecordFields(present, value("price"), value("volume"), value("millis"), value("exchange"))
+
+
+def required_faults(f: RecordFields) -> list[Fault]:
+    return [(~f.present[name], 0.2, F.lit(f"Missing required field: {name}")) for name in REQUIRED_FIELDS]
+
+
+def price_faults(f: RecordFields, bounds: QualityBounds) -> list[Fault]:
+    outside = f.present["price"] & ~f.price.between(bounds.min_price, bounds.max_price)
+    unreadable = f.present["price"] & f.price.isNull()
     text = F.concat(
-        F.lit("Price "), plain_decimal_text(price),
+        F.lit("Price "), plain_decimal_text(f.price),
         F.lit(f" outside valid range [{bounds.min_price}, {bounds.max_price}]"),
     )
     return [(_holds(outside), 0.3, text), (unreadable, 0.3, F.lit("Invalid price format"))]
 
 
-def volume_faults(record: Column, bounds: QualityBounds) -> list[Fault]:
-    volume = number(field(record, "volume"))
-    below = has(record, "volume") & (volume < bounds.min_volume)
-    unreadable = has(record, "volume") & volume.isNull()
-    text = F.concat(F.lit("Volume "), plain_decimal_text(volume), F.lit(f" below minimum {bounds.min_volume}"))
+def volume_faults(f: RecordFields, bounds: QualityBounds) -> list[Fault]:
+    below = f.present["volume"] & (f.volume < bounds.min_volume)
+    unreadable = f.present["volume"] & f.volume.isNull()
+    text = F.concat(F.lit("Volume "), plain_decimal_text(f.volume), F.lit(f" below minimum {bounds.min_volume}"))
     return [(_holds(below), 0.2, text), (unreadable, 0.2, F.lit("Invalid volume format"))]
 
 
-def timestamp_faults(record: Column, bounds: QualityBounds, now: Column) -> list[Fault]:
-    millis = whole_number(field(record, "timestamp"))
-    drift = F.abs(F.unix_millis(now.cast("timestamp")).cast("decimal(20,0)") - millis.cast("decimal(20,0)"))
-    stale = has(record, "timestamp") & (drift > bounds.tolerance_seconds * 1000)
-    unreadable = has(record, "timestamp") & millis.isNull()
-    text = F.concat(F.lit("Timestamp "), millis.cast("string"), F.lit(" too old"))
+def timestamp_faults(f: RecordFields, bounds: QualityBounds, now: Column) -> list[Fault]:
+    # Bounds around now, not a difference: a huge timestamp must not overflow the subtraction.
+    tolerance, at = bounds.tolerance_seconds * 1000, F.unix_millis(now.cast("timestamp"))
+    stale = f.present["timestamp"] & ~f.millis.between(at - tolerance, at + tolerance)
+    unreadable = f.present["timestamp"] & f.millis.isNull()
+    text = F.concat(F.lit("Timestamp "), f.millis.cast("string"), F.lit(" too old"))
     return [(_holds(stale), 0.1, text), (unreadable, 0.1, F.lit("Invalid timestamp format"))]
 
 
-def exchange_faults(record: Column, bounds: QualityBounds) -> list[Fault]:
-    exchange = field(record, "exchange")
-    unknown = has(record, "exchange") & ~F.lower(exchange).isin(*bounds.exchanges)
-    return [(_holds(unknown), 0.2, F.concat(F.lit("Invalid exchange: "), exchange))]
+def exchange_faults(f: RecordFields, bounds: QualityBounds) -> list[Fault]:
+    unknown = f.present["exchange"] & ~F.lower(f.exchange).isin(*bounds.exchanges)
+    return [(_holds(unknown), 0.2, F.concat(F.lit("Invalid exchange: "), f.exchange))]
 
 
-def record_faults(record: Column, bounds: QualityBounds, now: Column) -> list[Fault]:
+def record_faults(f: RecordFields, bounds: QualityBounds, now: Column) -> list[Fault]:
     """All rules in scoring order."""
     return [
-        *required_faults(record),
-        *price_faults(record, bounds),
-        *volume_faults(record, bounds),
-        *timestamp_faults(record, bounds, now),
-        *exchange_faults(record, bounds),
+        *required_faults(f),
+        *price_faults(f, bounds),
+        *volume_faults(f, bounds),
+        *timestamp_faults(f, bounds, now),
+        *exchange_faults(f, bounds),
     ]
 
 

@@ -27,7 +27,8 @@ def with_lookback(
     ``chunk`` must be deterministic and must not decrease along ``order`` within a series.
     """
     columns = df.columns
-    based = df.withColumn(CHUNK, chunk)
+    # Placed once; both the tails and the windows read this shuffle, so ``df`` is evaluated once.
+    based = df.withColumn(CHUNK, chunk).repartition(*keys, CHUNK)
     newest_first = Window.partitionBy(*keys, CHUNK).orderBy(*[F.col(c).desc() for c in order])
     tails = (
         # A rank filter this low is applied before the shuffle too, so only tails travel.
@@ -45,6 +46,7 @@ def with_lookback(
         )
         .select(F.explode("before").alias("b"), CHUNK)
         .select(*[F.col("b.row")[c].alias(c) for c in columns], CHUNK, F.lit(True).alias(COPY))
+        .repartition(*keys, CHUNK)
     )
     return based.withColumn(COPY, F.lit(False)).unionByName(copies)
 

@@ -8,9 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.config import QualityBounds
-from marketlake.functions.parsing import event_time, field, number, whole_number
+from marketlake.functions.once import evaluated
+from marketlake.functions.parsing import event_time, field, number
 from marketlake.functions.paths import landing_time
-from marketlake.functions.quality import error_type, fault_messages, floor_zero, has, penalised_score, record_faults
+from marketlake.functions.quality import (
+    error_type,
+    fault_messages,
+    floor_zero,
+    penalised_score,
+    record_faults,
+    unpacked_fields,
+)
 
 VALID, INVALID, FAILED = "valid", "invalid", "failed"
 
@@ -18,50 +26,57 @@ VALID, INVALID, FAILED = "valid", "invalid", "failed"
 def score_records(
     records: DataFrame, bounds: QualityBounds = QualityBounds(), now: Column | None = None
 ) -> DataFrame:
-    """Add quality_score, errors and status to rows holding a ``record`` map.
+    """Add parsed (typed fields), quality_score, errors and status to rows holding a ``record`` map.
 
     A record that cannot be processed at all (no JSON object, a null exchange, an unreadable price that
     passed the threshold) is ``failed``, not ``invalid``.
     """
     record = F.col("record")
-    faults = record_faults(record, bounds, F.current_timestamp() if now is None else now)
-    exchange_null = has(record, "exchange") & field(record, "exchange").isNull()
-    price_unusable = has(record, "price") & number(field(record, "price")).isNull()
-    passes = F.col("_raw_score") >= bounds.threshold
-    status = (
-        F.when(record.isNull() | exchange_null, FAILED)
-        .when(passes & price_unusable, FAILED)
-        .when(passes, VALID)
-        .otherwise(INVALID)
-    )
-    readable = record.isNotNull()
-    return (
-        records.withColumn("_raw_score", penalised_score(faults))
+    pack, fields = unpacked_fields("parsed")
+    faults = record_faults(fields, bounds, F.current_timestamp() if now is None else now)
+    readable, score = record.isNotNull(), F.col("_raw_score")
+    exchange_null = fields.present["exchange"] & fields.exchange.isNull()
+    price_unusable = fields.present["price"] & fields.price.isNull()
+    passes = score >= bounds.threshold
+    # Every fault costs something, so a full score needs no message list.
+    errors = F.when(score < 1.0, fault_messages(faults)).otherwise(F.array().cast("array<string>"))
+    judged = (
+        records.withColumn("parsed", pack(record))
+        .withColumn("_raw_score", penalised_score(faults))
         .withColumns(
             {
-                "quality_score": F.when(readable, floor_zero(F.col("_raw_score"))),
-                "errors": F.when(readable, fault_messages(faults)),
-                "status": status,
+                "quality_score": F.when(readable, floor_zero(score)),
+                "errors": F.when(readable, errors),
+                "status": (
+                    F.when(~readable | exchange_null, FAILED)
+                    .when(passes & price_unusable, FAILED)
+                    .when(passes, VALID)
+                    .otherwise(INVALID)
+                ),
             }
         )
         .drop("_raw_score")
     )
+    return evaluated(judged, "parsed", "quality_score", "errors", "status")
 
 
 def typed_records(scored: DataFrame, now: Column, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Record maps as typed trade columns; ``landed`` is the time a record is filed and ordered under."""
+    """Scored records as typed trade columns; ``landed`` is the time a record is filed and ordered under."""
     record = F.col("record")
     stamp = field(record, "timestamp")
     return scored.select(
         *keep,
-        field(record, "exchange").alias("exchange"),
+        F.col("parsed.exchange").alias("exchange"),
         F.coalesce(field(record, "symbol"), F.lit("unknown")).alias("symbol"),
         stamp.alias("timestamp"),
-        *[number(field(record, c)).alias(c) for c in ("price", "volume", "bid", "ask")],
+        F.col("parsed.price").alias("price"),
+        F.col("parsed.volume").alias("volume"),
+        number(field(record, "bid")).alias("bid"),
+        number(field(record, "ask")).alias("ask"),
         field(record, "trade_id").alias("trade_id"),
         "quality_score",
         event_time(stamp).alias("ts"),
-        landing_time(stamp, has(record, "timestamp"), now).alias("landed"),
+        landing_time(F.col("parsed.millis"), F.col("parsed.has_timestamp"), now).alias("landed"),
     )
 
 
@@ -176,7 +191,7 @@ def metric_points(scored: DataFrame, at: Column, ts: Column) -> DataFrame:
 def data_quality_metrics(scored: DataFrame) -> DataFrame:
     """Per exchange, symbol and day: record counts, mean score and price and volume ranges."""
     record = F.col("record")
-    price, volume = number(field(record, "price")), number(field(record, "volume"))
+    price, volume = F.col("parsed.price"), F.col("parsed.volume")
     valid = F.col("status") == VALID
     day = F.to_date(event_time(field(record, "timestamp")))
     return (
@@ -210,6 +225,5 @@ def validation_error_types(scored: DataFrame) -> DataFrame:
 
 def late_records(scored: DataFrame, now: Column, bounds: QualityBounds = QualityBounds()) -> DataFrame:
     """Records outside the time tolerance; they stay in the main flow with a penalty."""
-    millis = whole_number(field(F.col("record"), "timestamp"))
-    drift = F.abs(F.unix_millis(now.cast("timestamp")) - millis)
-    return scored.filter(drift > bounds.tolerance_seconds * 1000)
+    tolerance, at = bounds.tolerance_seconds * 1000, F.unix_millis(now.cast("timestamp"))
+    return scored.filter(~F.col("parsed.millis").between(at - tolerance, at + tolerance))

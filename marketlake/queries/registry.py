@@ -324,11 +324,12 @@ def _(spark, sf_dir):
 # --- validation ----------------------------------------------------------------------------------
 
 
-def _rule(name: str, faults: Callable[[Column, Column], list]) -> None:
+def _rule(name: str, faults: Callable[[q.RecordFields, Column], list]) -> None:
     @query(name)
     def _(spark, sf_dir):
         rows = FD.decode_stream(I.stream_records(spark, sf_dir)).filter(F.col("record").isNotNull())
-        found = faults(F.col("record"), F.col("now"))
+        pack, fields = q.unpacked_fields("parsed")
+        rows, found = rows.withColumn("parsed", pack(F.col("record"))), faults(fields, F.col("now"))
         return rows.select(
             "record_id",
             q.penalised_score(found).alias("score"),
@@ -337,11 +338,11 @@ def _rule(name: str, faults: Callable[[Column, Column], list]) -> None:
 
 
 _BOUNDS = Q.QualityBounds()
-_rule("check_required", lambda r, now: q.required_faults(r))
-_rule("check_price", lambda r, now: q.price_faults(r, _BOUNDS))
-_rule("check_volume", lambda r, now: q.volume_faults(r, _BOUNDS))
-_rule("check_timestamp", lambda r, now: q.timestamp_faults(r, _BOUNDS, now))
-_rule("check_exchange", lambda r, now: q.exchange_faults(r, _BOUNDS))
+_rule("check_required", lambda f, now: q.required_faults(f))
+_rule("check_price", lambda f, now: q.price_faults(f, _BOUNDS))
+_rule("check_volume", lambda f, now: q.volume_faults(f, _BOUNDS))
+_rule("check_timestamp", lambda f, now: q.timestamp_faults(f, _BOUNDS, now))
+_rule("check_exchange", lambda f, now: q.exchange_faults(f, _BOUNDS))
 
 
 @query("quality_score")
@@ -607,7 +608,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     rows = FD.decode_stream(I.stream_records(spark, sf_dir)).filter(F.col("record").isNotNull())
     record = F.col("record")
-    stamp = parsing.field(record, "timestamp")
+    stamp = parsing.whole_number(parsing.field(record, "timestamp"))
     at = landing_time(stamp, q.has(record, "timestamp"), F.col("now"))
     key = partition_key(parsing.field(record, "exchange"), parsing.field(record, "symbol"), at)
     return rows.select("record_id", key.alias("partition_key"))
@@ -762,7 +763,7 @@ def _(spark, sf_dir):
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = I.table(spark, sf_dir, "events").schema
-    return file_stream(spark, f"{sf_dir}/events.parquet", schema)
+    return file_stream(spark, sf_dir, schema, glob="events.parquet")
 
 
 def _paths(spark: SparkSession, label: str) -> STQ.StreamPaths:

@@ -44,7 +44,10 @@ HEALTH = _struct(
     ("details", T.MapType(_S, _S)), ("checked_at", T.TimestampType()),
 )
 
+# All directory levels a landed record can be filed under, and the ones used by default. A directory per
+# series and hour makes tiny files at scale; the full key stays in each document's ``partition`` field.
 PARTITION_COLUMNS = ("exchange", "symbol", "year", "month", "day", "hour")
+DATE_LEVELS = ("year", "month", "day")
 
 # Storage decimals of the candle tables; everything is computed in double first.
 PRICE_DECIMAL = T.DecimalType(20, 8)

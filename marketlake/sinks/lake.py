@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,7 +12,6 @@ from marketlake.config import INTERVAL_TABLES
 from marketlake.functions.paths import partition_columns, partition_key
 
 DOCUMENT_RECORDS = 100
-_DOCUMENT_FIELDS = tuple(schemas.BATCH_DOCUMENT.fieldNames())
 
 
 def documents(
@@ -56,17 +57,22 @@ def _record_columns(records: DataFrame) -> list[Column]:
 
 
 def write_raw_json(
-    records: DataFrame, path: str, at: Column | None = None, batch: str = "0", limit: int = DOCUMENT_RECORDS
+    records: DataFrame,
+    path: str,
+    at: Column | None = None,
+    batch: str = "0",
+    limit: int = DOCUMENT_RECORDS,
+    levels: Sequence[str] = schemas.DATE_LEVELS,
 ) -> None:
-    """Land records as JSON documents under exchange/symbol/year/month/day/hour/batch.
+    """Land records as JSON documents under the given directory levels and a batch level.
 
     The batch level makes a repeated write of the same batch replace its own files and no others.
     """
     docs = documents(records, F.current_timestamp() if at is None else at, limit)
-    levels = list(schemas.PARTITION_COLUMNS)
+    fields = schemas.BATCH_DOCUMENT.fieldNames()
     # Rebalancing keeps a directory's documents together yet splits an oversized one.
     (
-        docs.withColumn("batch", F.lit(batch))
+        docs.select(*fields, *levels, F.lit(batch).alias("batch"))
         .hint("rebalance", *levels)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

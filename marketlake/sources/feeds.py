@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.config import FEEDS, FeedFormat, QualityBounds
+from marketlake.functions.once import evaluated
 from marketlake.functions.parsing import canonical_symbol, event_time, field, json_map, number
 from marketlake.functions.quality import has, source_score
 from marketlake.operators.trades import admit_trades
@@ -18,7 +19,7 @@ STATUS_OK, STATUS_IGNORED, STATUS_BAD = "ok", "ignored", "malformed"
 def decode_stream(df: DataFrame, data: str = "data") -> DataFrame:
     """Base64 transport payload to text and to a record map (null when it is not a JSON object)."""
     decoded = df.withColumn("payload", F.decode(F.unbase64(data), "UTF-8"))
-    return decoded.withColumn("record", json_map(F.col("payload")))
+    return evaluated(decoded.withColumn("record", json_map(F.col("payload"))), "record")
 
 
 def message_status(record: Column, feed: FeedFormat) -> Column:
@@ -42,7 +43,7 @@ def message_status(record: Column, feed: FeedFormat) -> Column:
 
 def parse_feed(messages: DataFrame, feed: FeedFormat, text: str = "message") -> DataFrame:
     """Add ``record`` and ``status`` for one exchange's messages."""
-    parsed = messages.withColumn("record", json_map(F.col(text)))
+    parsed = evaluated(messages.withColumn("record", json_map(F.col(text))), "record")
     return parsed.withColumn("status", message_status(F.col("record"), feed))
 
 

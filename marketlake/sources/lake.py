@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,14 +13,13 @@ from marketlake import schemas
 from marketlake.functions.calendar import calendar_parts
 from marketlake.functions.parsing import event_time
 
-_PARTITIONS = T.StructType([T.StructField(c, T.StringType()) for c in schemas.PARTITION_COLUMNS])
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
+def read_documents(spark: SparkSession, path: str, levels: Sequence[str] = schemas.DATE_LEVELS) -> DataFrame:
     """Landed batch documents with their directory levels as columns."""
-    # Directory levels are read as text: symbols like "1e5" or months like "01" stay what they are.
-    schema = T.StructType(schemas.BATCH_DOCUMENT.fields + _PARTITIONS.fields)
-    return spark.read.schema(schema).json(path)
+    # Levels are read as text: symbols like "1e5" or months like "01" stay what they are.
+    directories = [T.StructField(c, T.StringType()) for c in levels]
+    return spark.read.schema(T.StructType(schemas.BATCH_DOCUMENT.fields + directories)).json(path)
 
 
 def explode_records(documents: DataFrame) -> DataFrame:
@@ -48,9 +48,11 @@ def prune_date(documents: DataFrame, date_partition: str | None = None) -> DataF
     )
 
 
-def read_batches(spark: SparkSession, path: str, date_partition: str | None = None) -> DataFrame:
+def read_batches(
+    spark: SparkSession, path: str, date_partition: str | None = None, levels: Sequence[str] = schemas.DATE_LEVELS
+) -> DataFrame:
     """Records of a day (or of the whole lake with ``date_partition="*"``)."""
-    documents = read_documents(spark, path)
+    documents = read_documents(spark, path, levels)
     if date_partition != "*":
         documents = prune_date(documents, date_partition)
     return explode_records(documents)

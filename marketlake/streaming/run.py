@@ -10,13 +10,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 def file_stream(
-    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", files_per_batch: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    fmt: str = "parquet",
+    files_per_batch: int | None = None,
+    glob: str | None = None,
 ) -> DataFrame:
-    """Files as an unbounded stream; ``files_per_batch`` bounds a micro-batch."""
+    """Files of a folder as an unbounded stream; ``files_per_batch`` bounds a micro-batch."""
+    options = {"maxFilesPerTrigger": files_per_batch, "pathGlobFilter": glob}
     reader = spark.readStream.format(fmt).schema(schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path)
+    return reader.options(**{k: v for k, v in options.items() if v is not None}).load(path)
 
 
 def broker_stream(spark: SparkSession, servers: str, topic: str, records_per_batch: int = 500) -> DataFrame:
