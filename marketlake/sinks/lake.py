@@ -15,7 +15,7 @@ DOCUMENT_RECORDS = 100
 
 
 def documents(
-    records: DataFrame, at: Column, limit: int = DOCUMENT_RECORDS, splits: int = 64
+    records: DataFrame, at: Column, limit: int = DOCUMENT_RECORDS, splits: int = 8
 ) -> DataFrame:
     """Envelope documents of at most ``limit`` records, with their directory levels as columns.
 
