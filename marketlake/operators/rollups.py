@@ -96,14 +96,20 @@ def correlation_pairs(means: DataFrame, symbols: tuple[str, ...]) -> DataFrame:
 _PAIRED = ("symbol", "avg_price", "avg_volume", "avg_volatility")
 
 
-def pair_correlation(pairs: DataFrame) -> DataFrame:
-    def corr(name: str) -> Column:
-        value = F.corr(f"avg_{name}_1", f"avg_{name}_2")
-        return F.when(~F.isnan(value), value).alias(f"{name}_correlation")
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson correlation; null when either side is constant, where ``corr`` would fail under ANSI."""
+    both_x, both_y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(both_x) * F.stddev_pop(both_y))
+
 
+def pair_correlation(pairs: DataFrame) -> DataFrame:
+    measures = [
+        correlation(F.col(f"avg_{name}_1"), F.col(f"avg_{name}_2")).alias(f"{name}_correlation")
+        for name in ("price", "volume", "volatility")
+    ]
     return pairs.groupBy(
         F.col("symbol_1").alias("symbol1"), F.col("symbol_2").alias("symbol2"), "exchange"
-    ).agg(corr("price"), corr("volume"), corr("volatility"))
+    ).agg(*measures)
 
 
 def daily_stats(candles: DataFrame) -> DataFrame:
