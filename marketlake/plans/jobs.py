@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import argparse
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from marketlake.config import INTERVAL_TABLES
 from marketlake.operators.candles import candles_all_intervals
 from marketlake.operators.indicators import indicators
 from marketlake.operators.trades import prepare_trades
+from marketlake.session import configure
 from marketlake.sinks.lake import write_candles_parquet, write_warehouse
 from marketlake.sources.lake import read_batches
 
@@ -43,3 +46,20 @@ def process_day(
     finally:
         result.unpersist()
     return True
+
+
+def main() -> None:
+    """spark-submit entry point: one day of the lake to candle tables."""
+    parser = argparse.ArgumentParser(description=main.__doc__)
+    parser.add_argument("--raw", required=True, help="folder of landed documents")
+    parser.add_argument("--processed", required=True, help="folder of the candle trees")
+    parser.add_argument("--date", help="YYYY/MM/DD, yesterday when left out")
+    parser.add_argument("--table", help="catalog table to append 5-minute candles to")
+    args = parser.parse_args()
+    spark = configure(SparkSession.builder.appName("marketlake-candles").getOrCreate())
+    built = process_day(spark, args.raw, args.processed, args.date, args.table)
+    print("candle tables written" if built else "no trades for this day")
+
+
+if __name__ == "__main__":
+    main()

@@ -678,7 +678,7 @@ for _short, _columns in {
         f"with {PREPARED}, {candles(INTERVALS[_short])}, {indicators()} "
         f"select {', '.join(_decimal(c) for c in _columns)} from ind"
     )
-SQL["surrogate_id"] = f"""with {PREPARED}, {candles(1440)} select symbol, exchange, count(*) as candles,
+SQL["surrogate_id_defaults"] = f"""with {PREPARED}, {candles(1440)} select symbol, exchange, count(*) as candles,
   count(*) as ids from candles group by 1, 2"""
 SQL["layout"] = f"with {PREPARED}, {candles(60)} select {_SERIES}, {r6s('close', 'volume')} from candles"
 _DAY_TRADES = f"""{_VALID}, day as (

@@ -27,7 +27,7 @@ from marketlake.storage import work_path
 from marketlake.streaming import alarms as STA
 from marketlake.streaming import candles as STC
 from marketlake.streaming import quality as STQ
-from marketlake.streaming.run import file_stream
+from marketlake.streaming.run import file_stream, state_partitions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -662,7 +662,7 @@ for _minutes, _short in SHORT_NAMES.items():
     query(f"project_candle_table_{_short}")(_stored_table(_minutes))
 
 
-@query("surrogate_id")
+@query("surrogate_id_defaults")
 def _(spark, sf_dir):
     rows = K.with_surrogate_id(candles(spark, sf_dir, 1440).select("symbol", "exchange", "interval_start"))
     return rows.groupBy("symbol", "exchange").agg(
@@ -768,6 +768,11 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return file_stream(spark, sf_dir, schema, glob="events.parquet")
 
 
+def _cores(spark: SparkSession) -> int:
+    """State partitions of a stream: as many as the application has cores."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _paths(spark: SparkSession, label: str) -> STQ.StreamPaths:
     return STQ.StreamPaths(work_path(spark, label))
 
@@ -776,11 +781,13 @@ def _paths(spark: SparkSession, label: str) -> STQ.StreamPaths:
 def _(spark, sf_dir):
     paths = _paths(spark, "stream-candles")
     rows = STC.stream_candles(I.trades_from(_event_stream(spark, sf_dir)), 60)
-    (
+    writer = (
         rows.writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", paths.checkpoint).option("path", paths.candles)
-        .trigger(availableNow=True).start().awaitTermination()
+        .option("checkpointLocation", paths.checkpoint).option("path", paths.candles).trigger(availableNow=True)
     )
+    with state_partitions(spark, _cores(spark)):
+        running = writer.start()
+    running.awaitTermination()
     return spark.read.parquet(paths.candles)
 
 
@@ -788,7 +795,9 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     paths = _paths(spark, "stream-indicators")
     rows = STC.stream_candles(I.trades_from(_event_stream(spark, sf_dir)), 60)
-    STC.stream_indicators(spark, rows, 60, paths.out, paths.state, paths.checkpoint).awaitTermination()
+    STC.stream_indicators(
+        spark, rows, 60, paths.out, paths.state, paths.checkpoint, state_count=_cores(spark)
+    ).awaitTermination()
     return spark.read.parquet(paths.out).drop("batch")
 
 
@@ -834,5 +843,7 @@ def _(spark, sf_dir):
     points = M.across_dimensions(Q.metric_points(s, F.col("now"), event_ts))
     rule = ALARMS["errors"]
     hourly = type(rule)(rule.metric, rule.statistic, rule.threshold, rule.above, 3600)
-    STA.stream_alarms(spark, points, hourly, paths.out, paths.state, paths.checkpoint).awaitTermination()
+    STA.stream_alarms(
+        spark, points, hourly, paths.out, paths.state, paths.checkpoint, state_count=_cores(spark)
+    ).awaitTermination()
     return spark.read.parquet(paths.out).select("name", "period_start", "value", "breach", "state")

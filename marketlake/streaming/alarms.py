@@ -32,7 +32,7 @@ def closed_periods(metrics: DataFrame, period_seconds: int, delay: str = "5 minu
 
 def stream_alarms(
     spark: SparkSession, metrics: DataFrame, rule: AlarmRule, out: str, state: str, checkpoint: str,
-    delay: str = "5 minutes",
+    delay: str = "5 minutes", state_count: int | None = None,
 ) -> StreamingQuery:
     """Alarm states of closed periods. The last periods of each series are carried to the next batch."""
     periods = closed_periods(metrics.filter(F.col("name") == rule.metric), rule.period_seconds, delay)
@@ -48,4 +48,4 @@ def stream_alarms(
         ranked = merged.withColumn("_age", F.row_number().over(newest_first))
         slots.save(ranked.filter(F.col("_age") <= rule.periods), batch_id)
 
-    return run_batches(periods, step, checkpoint)
+    return run_batches(periods, step, checkpoint, state_count=state_count)

@@ -19,9 +19,11 @@ def stream_candles(trades: DataFrame, minutes: int = 5, delay: str = "5 minutes"
 
 
 def stream_indicators(
-    spark: SparkSession, candles: DataFrame, minutes: int, out: str, state: str, checkpoint: str
+    spark: SparkSession, candles: DataFrame, minutes: int, out: str, state: str, checkpoint: str,
+    state_count: int | None = None,
 ) -> StreamingQuery:
     """Indicators of closed candles. Each batch is computed with the series' last candles before it."""
+    # Row-frame windows are not allowed on a stream itself, only on its micro-batches.
     schema = candles.schema
     slots = SlotTable(spark, state, schema)
     newest_first = Window.partitionBy(*SERIES).orderBy(F.desc("interval_start"))
@@ -38,4 +40,4 @@ def stream_indicators(
         )
         slots.save(tail, batch_id)
 
-    return run_batches(candles, step, checkpoint)
+    return run_batches(candles, step, checkpoint, state_count=state_count)

@@ -133,7 +133,7 @@ def stream_quality(
         prices.advance(valid, batch_id)
         scored.unpersist()
 
-    return run_batches(source, step, paths.checkpoint, **trigger)
+    return run_batches(source, step, paths.checkpoint, cache=False, **trigger)
 
 
 def valid_records(source: DataFrame, now: Column, bounds: QualityBounds = QualityBounds()) -> DataFrame:

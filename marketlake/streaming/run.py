@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -36,17 +38,52 @@ def broker_stream(spark: SparkSession, servers: str, topic: str, records_per_bat
     )
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, count: int | None) -> Iterator[None]:
+    """Start a stream with this many state partitions (fixed for its lifetime by its first batch).
+
+    A stream copies the session settings when it starts, so the session's own value is put back at once.
+    """
+    if count is None:
+        yield
+        return
+    setting, before = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set(setting, str(count))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def run_batches(
-    stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, output_mode: str = "append", **trigger
+    stream: DataFrame,
+    step: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    cache: bool = True,
+    state_count: int | None = None,
+    **trigger,
 ) -> StreamingQuery:
-    """Start ``step`` on every micro-batch; by default all data present now, then stop."""
-    return (
-        stream.writeStream.foreachBatch(step)
-        .outputMode(output_mode)
+    """Start ``step`` on every micro-batch; by default all data present now, then stop.
+
+    ``cache`` keeps a batch while a step writes it to more than one place; without it every write would
+    read the source and update the stream's state again.
+    """
+
+    def cached(batch: DataFrame, batch_id: int) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            step(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    writer = (
+        stream.writeStream.foreachBatch(cached if cache else step)
+        .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
-        .start()
     )
+    with state_partitions(stream.sparkSession, state_count):
+        return writer.start()
 
 
 class SlotTable:
