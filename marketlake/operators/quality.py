@@ -127,40 +127,45 @@ def batch_stats(scored: DataFrame, alert_share: float = 0.1) -> DataFrame:
 def emit_metrics(scored: DataFrame, at: Column) -> DataFrame:
     """METRIC rows of a batch: per exchange for valid records, totals for all.
 
-    One grouping over (exchange) feeds every row, so the records are read once.
+    One grouping by exchange yields every row, so the records are read once; a second grouping over those
+    few rows adds up the totals.
     """
     valid = F.col("status") == VALID
-    per_exchange = scored.groupBy(
-        F.when(valid, F.coalesce(field(F.col("record"), "exchange"), F.lit("unknown"))).alias("exchange")
-    ).agg(
+    exchange = F.coalesce(field(F.col("record"), "exchange"), F.lit("unknown"))
+    per_exchange = scored.groupBy(F.when(valid, exchange).alias("exchange")).agg(
         F.count_if(valid).alias("n_valid"),
         F.avg(F.when(valid, F.col("quality_score"))).alias("score"),
         F.count(F.lit(1)).alias("n"),
     )
+    nobody = F.lit(None).cast("string")
 
-    def row(name: str, value: Column, unit: str = "Count") -> Column:
-        return F.struct(F.lit(name).alias("name"), value.cast("double").alias("value"), F.lit(unit).alias("unit"))
+    def row(name: str, value: Column, unit: str, owner: Column) -> Column:
+        return F.struct(
+            F.lit(name).alias("name"), value.cast("double").alias("value"), F.lit(unit).alias("unit"),
+            owner.alias("exchange"),
+        )
 
-    totals = per_exchange.agg(F.sum("n_valid").alias("n_valid"), F.sum("n").alias("n")).select(
-        F.inline(
-            F.array(
-                row("TotalRecords", F.coalesce("n", F.lit(0))),
-                row("ValidRecords", F.coalesce("n_valid", F.lit(0))),
-                row("InvalidRecords", F.coalesce(F.col("n") - F.col("n_valid"), F.lit(0))),
-            )
-        ),
-        F.lit(None).cast("string").alias("exchange"),
-    )
-    by_exchange = per_exchange.filter(F.col("exchange").isNotNull()).select(
-        F.inline(F.array(row("RecordsProcessed", F.col("n_valid")), row("DataQualityScore", F.col("score"), "None"))),
-        "exchange",
-    )
-    return by_exchange.unionByName(totals.select("name", "value", "unit", "exchange")).select(
-        "name",
-        "value",
-        "unit",
-        at.cast("timestamp").alias("timestamp"),
-        F.when(F.col("exchange").isNotNull(), F.create_map(F.lit("Exchange"), "exchange")).alias("dimensions"),
+    totals = [
+        row("TotalRecords", F.col("n"), "Count", nobody),
+        row("ValidRecords", F.col("n_valid"), "Count", nobody),
+        row("InvalidRecords", F.col("n") - F.col("n_valid"), "Count", nobody),
+    ]
+    own = [
+        row("RecordsProcessed", F.col("n_valid"), "Count", F.col("exchange")),
+        row("DataQualityScore", F.col("score"), "None", F.col("exchange")),
+    ]
+    rows = F.when(F.col("exchange").isNull(), F.array(*totals)).otherwise(F.array(*totals, *own))
+    return (
+        per_exchange.select(F.inline(rows))
+        .groupBy("name", "unit", "exchange")
+        .agg(F.sum("value").alias("value"))
+        .select(
+            "name",
+            "value",
+            "unit",
+            at.cast("timestamp").alias("timestamp"),
+            F.when(F.col("exchange").isNotNull(), F.create_map(F.lit("Exchange"), "exchange")).alias("dimensions"),
+        )
     )
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,80 +60,125 @@ def metric_alarm(rollup: DataFrame, rule: AlarmRule, keep: tuple[str, ...] = ())
     )
 
 
-def _classify(value: Column, warning: Column, critical: Column) -> Column:
-    return F.when(value.isNull(), UNKNOWN).when(critical, CRITICAL).when(warning, WARNING).otherwise(HEALTHY)
+@dataclass(frozen=True)
+class Check:
+    """One health check: an aggregate, and the status and message its value ``v`` leads to."""
 
+    component: str
+    detail: str
+    value: Column
+    status: Callable[[Column], Column]
+    message: Callable[[Column], Column]
 
-def _health(component: str, value: DataFrame, name: str, status: Column, message: Column, at: Column) -> DataFrame:
-    return value.select(
-        F.lit(component).alias("component"),
-        status.alias("status"),
-        message.alias("message"),
-        F.create_map(F.lit(name), F.col("v").cast("string")).alias("details"),
-        at.cast("timestamp").alias("checked_at"),
-    )
+    def result(self, v: Column, at: Column) -> Column:
+        return F.struct(
+            F.lit(self.component).alias("component"),
+            self.status(v).alias("status"),
+            self.message(v).alias("message"),
+            F.create_map(F.lit(self.detail), v.cast("string")).alias("details"),
+            at.cast("timestamp").alias("checked_at"),
+        )
 
 
-def health_quality(metrics: DataFrame, at: Column) -> DataFrame:
+def _classify(v: Column, warning: Column, critical: Column) -> Column:
+    return F.when(v.isNull(), UNKNOWN).when(critical, CRITICAL).when(warning, WARNING).otherwise(HEALTHY)
+
+
+def run_checks(df: DataFrame, checks: list[Check], at: Column) -> DataFrame:
+    """All checks of a table from one aggregation over it."""
+    values = df.agg(*[check.value.alias(f"_v{i}") for i, check in enumerate(checks)])
+    return values.select(F.inline(F.array(*[c.result(F.col(f"_v{i}"), at) for i, c in enumerate(checks)])))
+
+
+def _named(name: str) -> Column:
+    return F.when(F.col("name") == name, F.col("value"))
+
+
+def quality_check() -> Check:
     """Mean quality score: below 0.7 critical, below 0.8 warning, none unknown."""
-    v = F.col("v")
-    mean = metrics.filter(F.col("name") == "DataQualityScore").agg(F.avg("value").alias("v"))
-    score = F.format_string("%.2f", v)
-    text = (
-        F.when(v.isNull(), F.lit("No data quality metrics available"))
-        .when(v < 0.7, F.concat(F.lit("Low data quality score: "), score))
-        .when(v < 0.8, F.concat(F.lit("Below target data quality score: "), score))
-        .otherwise(F.concat(F.lit("Data quality is good: "), score))
+
+    def message(v: Column) -> Column:
+        score = F.format_string("%.2f", v)
+        return (
+            F.when(v.isNull(), F.lit("No data quality metrics available"))
+            .when(v < 0.7, F.concat(F.lit("Low data quality score: "), score))
+            .when(v < 0.8, F.concat(F.lit("Below target data quality score: "), score))
+            .otherwise(F.concat(F.lit("Data quality is good: "), score))
+        )
+
+    return Check(
+        "Data Quality", "quality_score", F.avg(_named("DataQualityScore")),
+        lambda v: _classify(v, v < 0.8, v < 0.7), message,
     )
-    return _health("Data Quality", mean, "quality_score", _classify(v, v < 0.8, v < 0.7), text, at)
 
 
-def health_lag(metrics: DataFrame, at: Column) -> DataFrame:
+def lag_check() -> Check:
     """Largest processing lag: over 5 minutes critical, over 1 minute warning; no data counts as 0."""
-    v = F.col("v")
-    lag = metrics.filter(F.col("name") == "LagMilliseconds").agg(
-        F.coalesce(F.max("value"), F.lit(0.0)).alias("v")
-    )
-    seconds = F.format_string("%.1f", v / 1000)
-    text = (
-        F.when(v > 300_000, F.concat(F.lit("High lag: "), seconds, F.lit(" seconds")))
-        .when(v > 60_000, F.concat(F.lit("Elevated lag: "), seconds, F.lit(" seconds")))
-        .otherwise(F.lit("Stream is healthy"))
+
+    def message(v: Column) -> Column:
+        seconds = F.format_string("%.1f", v / 1000)
+        return (
+            F.when(v > 300_000, F.concat(F.lit("High lag: "), seconds, F.lit(" seconds")))
+            .when(v > 60_000, F.concat(F.lit("Elevated lag: "), seconds, F.lit(" seconds")))
+            .otherwise(F.lit("Stream is healthy"))
+        )
+
+    return Check(
+        "Stream Lag", "lag_ms", F.coalesce(F.max(_named("LagMilliseconds")), F.lit(0.0)),
+        lambda v: _classify(v, v > 60_000, v > 300_000), message,
     )
-    return _health("Stream Lag", lag, "lag_ms", _classify(v, v > 60_000, v > 300_000), text, at)
 
 
-def health_errors(metrics: DataFrame, at: Column, minutes: int = 5) -> DataFrame:
+def errors_check(at: Column, minutes: int = 5) -> Check:
     """Errors of the last minutes: more than 10 critical, more than 5 warning."""
-    v, now = F.col("v"), at.cast("timestamp")
-    window = (F.col("timestamp") > now - F.make_dt_interval(mins=F.lit(minutes))) & (F.col("timestamp") <= now)
-    errors = metrics.filter((F.col("name") == "InvalidRecords") & window).agg(
-        F.coalesce(F.sum("value"), F.lit(0.0)).cast("bigint").alias("v")
+    now = at.cast("timestamp")
+    recent = (F.col("timestamp") > now - F.make_dt_interval(mins=F.lit(minutes))) & (F.col("timestamp") <= now)
+
+    def message(v: Column) -> Column:
+        count = F.concat(v.cast("string"), F.lit(f" errors in last {minutes} minutes"))
+        return (
+            F.when(v > 10, F.concat(F.lit("High error rate: "), count))
+            .when(v > 5, F.concat(F.lit("Elevated error rate: "), count))
+            .otherwise(F.lit("Processing is healthy"))
+        )
+
+    total = F.coalesce(F.sum(F.when(recent, _named("InvalidRecords"))), F.lit(0.0)).cast("bigint")
+    return Check(
+        "Stream Processing", "error_count", total, lambda v: _classify(v, v > 5, v > 10), message
     )
-    count = F.concat(v.cast("string"), F.lit(f" errors in last {minutes} minutes"))
-    text = (
-        F.when(v > 10, F.concat(F.lit("High error rate: "), count))
-        .when(v > 5, F.concat(F.lit("Elevated error rate: "), count))
-        .otherwise(F.lit("Processing is healthy"))
+
+
+def freshness_check() -> Check:
+    """Candles in sight; none is a warning."""
+    return Check(
+        "Candle Table", "recent_records", F.count(F.lit(1)),
+        lambda v: _classify(v, v == 0, F.lit(False)),
+        lambda v: F.when(v == 0, F.lit("No recent data found")).otherwise(F.lit("Candle table is healthy")),
     )
-    return _health("Stream Processing", errors, "error_count", _classify(v, v > 5, v > 10), text, at)
+
+
+def health_quality(metrics: DataFrame, at: Column) -> DataFrame:
+    return run_checks(metrics.filter(F.col("name") == "DataQualityScore"), [quality_check()], at)
+
+
+def health_lag(metrics: DataFrame, at: Column) -> DataFrame:
+    return run_checks(metrics.filter(F.col("name") == "LagMilliseconds"), [lag_check()], at)
+
+
+def health_errors(metrics: DataFrame, at: Column, minutes: int = 5) -> DataFrame:
+    return run_checks(metrics.filter(F.col("name") == "InvalidRecords"), [errors_check(at, minutes)], at)
 
 
 def health_freshness(candles: DataFrame, at: Column, hours: int = 1) -> DataFrame:
-    """Candles of the last hour; none is a warning."""
-    v = F.col("v")
     recent = F.col("interval_start") >= at - F.make_dt_interval(hours=F.lit(hours))
-    fresh = candles.filter(recent).agg(F.count(F.lit(1)).alias("v"))
-    text = F.when(v == 0, F.lit("No recent data found")).otherwise(F.lit("Candle table is healthy"))
-    return _health("Candle Table", fresh, "recent_records", _classify(v, v == 0, F.lit(False)), text, at)
+    return run_checks(candles.filter(recent), [freshness_check()], at)
 
 
 def health_checks(metrics: DataFrame, candles: DataFrame, at: Column) -> DataFrame:
-    checks = [
-        health_quality(metrics, at), health_lag(metrics, at), health_errors(metrics, at),
-        health_freshness(candles, at),
-    ]
-    return reduce(DataFrame.unionByName, checks)
+    """Every check; the metric table is read once for its three."""
+    named = metrics.filter(F.col("name").isin("DataQualityScore", "LagMilliseconds", "InvalidRecords"))
+    on_metrics = run_checks(named, [quality_check(), lag_check(), errors_check(at)], at)
+    return on_metrics.unionByName(health_freshness(candles, at))
 
 
 def health_rollup(checks: DataFrame) -> DataFrame:
