@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from marketlake.config import INTERVAL_TABLES
 from marketlake.functions.calendar import add_minutes, bucket_start, calendar_parts
+from marketlake.functions.parsing import whole_number
 
 SERIES = ("symbol", "exchange")
 CANDLE_COLUMNS = (
@@ -28,14 +29,21 @@ CANDLE_COLUMNS = (
 def trade_order(trades: DataFrame, ts: str = "ts", tie: str = "trade_id") -> Column:
     """Total order of trades inside a bucket: time, then trade id.
 
-    With integer ids both are packed into one decimal. A fixed-width key keeps the aggregation a hash
-    aggregation; a struct key would force every map task to sort its trades first.
+    Time and id are packed into one decimal. A fixed-width key keeps the aggregation a hash aggregation; a
+    struct key would force every map task to sort its trades first, and is left to composite ids. Text ids
+    count as their number, others as a 64-bit hash (any fixed order will do); a missing id comes first.
     """
-    if not isinstance(trades.schema[tie].dataType, T.IntegralType):
-        return F.struct(F.col(ts), F.col(tie))
+    kind, trade_id = trades.schema[tie].dataType, F.col(tie)
+    if isinstance(kind, T.StringType):
+        number = F.coalesce(whole_number(trade_id), F.when(trade_id.isNotNull(), F.xxhash64(trade_id)))
+    elif isinstance(kind, T.IntegralType):
+        number = trade_id.cast("bigint")
+    else:
+        return F.struct(F.col(ts), trade_id)
     micros = F.unix_micros(F.col(ts).cast("timestamp")).cast("decimal(18,0)")
     # Wider than the whole range of a 64-bit id, so times never overlap.
-    return micros * F.expr("20000000000000000000BD").cast("decimal(20,0)") + F.col(tie).cast("decimal(19,0)")
+    width = F.expr("20000000000000000000BD").cast("decimal(20,0)")
+    return micros * width + F.coalesce(number, F.lit(-(2**63))).cast("decimal(19,0)")
 
 
 def open_close(price: Column, order: Column) -> dict[str, Column]:

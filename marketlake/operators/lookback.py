@@ -35,7 +35,9 @@ def with_lookback(
         based.withColumn("_age", F.row_number().over(newest_first))
         .filter(F.col("_age") <= rows)
         .groupBy(*keys, CHUNK)
-        .agg(F.array_sort(F.collect_list(F.struct("_age", F.struct(*columns).alias("row")))).alias("tail"))
+        .agg(F.collect_list(F.struct("_age", F.struct(*columns).alias("row"))).alias("tail"))
+        # By age alone: the rows may hold values that cannot be compared, such as maps.
+        .withColumn("tail", F.array_sort("tail", lambda a, b: a["_age"] - b["_age"]))
     )
     # Each chunk has at least one row, so `rows` chunks back always reach far enough.
     earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(-rows, -1)

@@ -654,8 +654,8 @@ def _decimal(column: str) -> str:
     if column in ("trade_count", "year", "month", "day", "hour"):
         return f"{column}::int as {column}"
     if column in ("avg_spread_percentage", "price_change_percentage", "rsi"):
-        return f"{column}::decimal(10,4) as {column}"
-    return f"{column}::decimal(20,8) as {column}"
+        return f"{column}::decimal(10,4)::double as {column}"
+    return f"{column}::decimal(20,8)::double as {column}"
 
 
 _BASE_COLUMNS = ["symbol", "exchange", "interval_start", "interval_end", "open", "high", "low", "close", "volume",

@@ -38,7 +38,7 @@ SHORT_NAMES = {1: "1m", 5: "5m", 15: "15m", 60: "1h", 240: "4h", 1440: "1d"}
 
 
 def comparable(df: DataFrame, digits: dict[str, int] | None = None) -> DataFrame:
-    """Doubles to six decimals (or as given per column), zoned times to zone-less."""
+    """Doubles to six decimals (or as given per column), decimals as doubles, zoned times to zone-less."""
     columns = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -47,6 +47,8 @@ def comparable(df: DataFrame, digits: dict[str, int] | None = None) -> DataFrame
             c = F.when(F.abs(c) < 1e12, F.floor(c * scale + 0.5) / scale).otherwise(c)
         elif isinstance(f.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
+        elif isinstance(f.dataType, T.DecimalType):
+            c = c.cast("double")
         columns.append(c.alias(f.name))
     return df.select(*columns)
 

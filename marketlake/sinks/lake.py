@@ -81,14 +81,15 @@ def write_raw_json(
     )
 
 
-def layout(candles: DataFrame) -> DataFrame:
+def layout(candles: DataFrame, *directories: str) -> DataFrame:
     """File layout of a candle table: one day's rows together, sorted by time then symbol.
 
     The sort makes Parquet's row-group ranges selective for time filters. Rebalance lets AQE size the
-    files and split a day that is too large, whatever the symbol mix.
+    files and split a day that is too large, whatever the symbol mix. Sorting by the directory levels
+    first is the order the writer needs, so it adds no sort of its own.
     """
-    days = ["year", "month", "day"]
-    return candles.hint("rebalance", *days).sortWithinPartitions(*days, "interval_start", "symbol")
+    levels = [*directories, "year", "month", "day"]
+    return candles.hint("rebalance", *levels).sortWithinPartitions(*levels, "interval_start", "symbol")
 
 
 def project_candle_table(candles: DataFrame, minutes: int) -> DataFrame:
@@ -109,7 +110,7 @@ def write_candles_parquet(candles: DataFrame, root: str) -> None:
     """Replace the days present in ``candles``, one directory tree per interval, in a single job."""
     names = F.create_map(*[F.lit(v) for pair in INTERVAL_TABLES.items() for v in pair])
     (
-        layout(candles.withColumn("candle_table", F.try_element_at(names, F.col("interval_minutes"))))
+        layout(candles.withColumn("candle_table", F.try_element_at(names, F.col("interval_minutes"))), "candle_table")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")

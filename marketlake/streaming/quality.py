@@ -48,7 +48,7 @@ _ORDER = ("position", "landed", "trade_id")
 class CarriedPrices:
     """Tick statistics across micro-batches: at most REACH + 1 prices are kept per symbol."""
 
-    def __init__(self, spark: SparkSession, path: str, chunk_seconds: int = 3_600):
+    def __init__(self, spark: SparkSession, path: str, chunk_seconds: int = 300):
         self.slots = SlotTable(spark, path, PRICE_STATE)
         self.chunk_seconds = chunk_seconds
 
@@ -87,7 +87,7 @@ class StreamPaths:
 
 
 def stateful_enrich(
-    spark: SparkSession, records: DataFrame, paths: StreamPaths, chunk_seconds: int = 3_600, **trigger
+    spark: SparkSession, records: DataFrame, paths: StreamPaths, chunk_seconds: int = 300, **trigger
 ) -> StreamingQuery:
     """Enrich a stream of typed valid records (with ``landed``) and write it as Parquet."""
     prices = CarriedPrices(spark, paths.prices, chunk_seconds)
@@ -106,7 +106,7 @@ def stream_quality(
     now: Column | None = None,
     bounds: QualityBounds = QualityBounds(),
     dlq_enabled: bool = True,
-    chunk_seconds: int = 3_600,
+    chunk_seconds: int = 300,
     **trigger,
 ) -> StreamingQuery:
     """Consume (record_id, data, ...) rows and fill the lake, failed, late, metrics and stats folders.

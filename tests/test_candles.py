@@ -43,6 +43,25 @@ def test_equal_times_are_ordered_by_trade_id(spark):
         assert (row.open, row.close) == (10.0, 30.0)
 
 
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_missing_ids_keep_open_and_close(spark, kind):
+    rows = [("s", "e", START + timedelta(seconds=i), None, float(i), 1.0) for i in (1, 2, 3)]
+    schema = f"symbol string, exchange string, ts timestamp_ntz, trade_id {kind}, price double, volume double"
+    row = C.candles(prepare_trades(spark.createDataFrame(rows, schema)), 1).first()
+    assert (row.open, row.close) == (1.0, 3.0)
+
+
+def test_text_ids_are_ordered_as_numbers(spark):
+    rows = [("s", "e", START, i, float(i), 1.0) for i in ("10", "9", "100")]
+    schema = "symbol string, exchange string, ts timestamp_ntz, trade_id string, price double, volume double"
+    out = C.candles(prepare_trades(spark.createDataFrame(rows, schema)), 1)
+    assert (out.first().open, out.first().close) == (9.0, 100.0)
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+    mixed = [("s", "e", START, i, p, 1.0) for i, p in (("a-1", 1.0), ("b-2", 2.0), (None, 3.0))]
+    again = [C.candles(prepare_trades(spark.createDataFrame(m, schema)), 1).first() for m in (mixed, mixed[::-1])]
+    assert again[0] == again[1] and again[0].open == 3.0
+
+
 def test_order_key_separates_extreme_ids(spark):
     """The packed key never lets an id outweigh a microsecond."""
     big = 2**63 - 1

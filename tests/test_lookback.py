@@ -55,3 +55,11 @@ def test_one_shuffle_of_the_input(spark):
     plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
     assert plan.count("Range (") == 1
     assert plan.count("ReusedExchange") == 1
+
+
+def test_rows_may_hold_maps(spark):
+    df = spark.range(50).select(F.lit("k").alias("k"), "id", F.create_map(F.lit("a"), F.col("id")).alias("m"))
+    out = over_chunks(
+        df, ["k"], ["id"], F.floor(F.col("id") / 10), 2, lambda f, w: f.withColumn("p", F.lag("m", 2).over(w()))
+    )
+    assert [r.p["a"] for r in out.orderBy("id").collect()[2:]] == list(range(48))

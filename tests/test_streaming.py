@@ -15,6 +15,7 @@ from marketlake.operators import indicators as N
 from marketlake.operators.trades import prepare_trades
 from marketlake.plans import monitor as M
 from marketlake.sources import lake as L
+from marketlake.sources.feeds import union_feeds
 from marketlake.streaming import alarms as STA
 from marketlake.streaming import candles as STC
 from marketlake.streaming import quality as STQ
@@ -58,6 +59,28 @@ def test_stream_candles_and_indicators(spark, tmp_path):
     pd.testing.assert_frame_equal(got[expected.columns.tolist()], expected, check_exact=False)
 
 
+def test_feeds_unite_in_a_stream(spark, tmp_path):
+    rows = [
+        ("binance", json.dumps({"e": "trade", "s": "BTCUSDT", "p": "1.5", "q": "2", "T": 1704067200000, "t": "1"})),
+        ("binance", json.dumps({"e": "kline", "s": "BTCUSDT"})),
+        ("coinbase", json.dumps({"type": "match", "product_id": "BTC-USD", "price": "1.6", "size": "1",
+                                 "time": "2024-01-01T00:00:01.000Z", "trade_id": "2"})),
+        ("kraken", json.dumps({"pair": "XBT/USD", "price": "-1", "volume": "1", "time": "1704067202000"})),
+        ("kraken", "broken"),
+    ]
+    path = _files(spark, str(tmp_path / "in"), rows, "feed string, message string", 3)
+    stream = file_stream(spark, path, spark.read.parquet(path).schema, files_per_batch=1)
+    feeds = {name: stream.filter(F.col("feed") == name) for name in ("binance", "coinbase", "kraken")}
+    out = str(tmp_path / "out")
+    query = (
+        union_feeds(feeds).writeStream.format("parquet").option("path", out)
+        .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    got = {(r.exchange, r.symbol, r.price) for r in spark.read.parquet(out).collect()}
+    assert got == {("binance", "btcusdt", 1.5), ("coinbase", "btcusd", 1.6)}
+
+
 def _records(n=160):
     rows = []
     for i in range(n):
