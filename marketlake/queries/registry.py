@@ -37,14 +37,18 @@ PAIR_SYMBOLS = ("click", "purchase", "view")
 SHORT_NAMES = {1: "1m", 5: "5m", 15: "15m", 60: "1h", 240: "4h", 1440: "1d"}
 
 
-def comparable(df: DataFrame, digits: dict[str, int] | None = None) -> DataFrame:
-    """Doubles to six decimals (or as given per column), decimals as doubles, zoned times to zone-less."""
+# Rounding boundary just off one half. Means of two-decimal prices often end exactly half-way at six
+# decimals, where the order of a summation would decide the last digit.
+_HALF = 0.500123
+
+
+def comparable(df: DataFrame) -> DataFrame:
+    """Doubles to six decimals, decimals as doubles, zoned times to zone-less."""
     columns = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DoubleType):
-            scale = 10.0 ** (digits or {}).get(f.name, 6)
-            c = F.when(F.abs(c) < 1e12, F.floor(c * scale + 0.5) / scale).otherwise(c)
+            c = F.when(F.abs(c) < 1e12, F.floor(c * 1e6 + _HALF) / 1e6).otherwise(c)
         elif isinstance(f.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
         elif isinstance(f.dataType, T.DecimalType):
@@ -53,10 +57,10 @@ def comparable(df: DataFrame, digits: dict[str, int] | None = None) -> DataFrame
     return df.select(*columns)
 
 
-def query(name: str, digits: dict[str, int] | None = None) -> Callable[[Query], Query]:
+def query(name: str) -> Callable[[Query], Query]:
     def register(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return comparable(build(spark, sf_dir), digits)
+            return comparable(build(spark, sf_dir))
 
         QUERIES[name] = run
         return build
@@ -488,8 +492,7 @@ _by_candle(
 )
 
 
-# A mean over 32 trades ends exactly half-way at six decimals; one more decimal avoids the tie.
-@query("candles_all_intervals", digits={"vwap": 7})
+@query("candles_all_intervals")
 def _(spark, sf_dir):
     return C.candles_all_intervals(prepared(spark, sf_dir))
 
