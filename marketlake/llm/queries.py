@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from marketlake.llm import exact_dedup, line_dedup, mixing, url_filter
+from marketlake.llm import exact_dedup, line_dedup, mixing, packing, secrets, simhash, url_filter
 
 QUERIES = {
+    "op1_packing": packing.op1_packing,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_url_filter": url_filter.op6_url_filter,
+    "op7_secrets": secrets.op7_secrets,
+    "op8_simhash": simhash.op8_simhash,
     "op10_mixing": mixing.op10_mixing,
 }
 
