@@ -2,15 +2,29 @@
 
 from __future__ import annotations
 
-from marketlake.llm import exact_dedup, line_dedup, mixing, packing, secrets, simhash, url_filter
+from marketlake.llm import (
+    exact_dedup,
+    imatch,
+    language,
+    line_dedup,
+    mixing,
+    packing,
+    secrets,
+    simhash,
+    toxicity,
+    url_filter,
+)
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op2_fingerprints": imatch.op2_fingerprints,
+    "op3_language_id": language.op3_language_id,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_url_filter": url_filter.op6_url_filter,
     "op7_secrets": secrets.op7_secrets,
     "op8_simhash": simhash.op8_simhash,
+    "op9_toxicity": toxicity.op9_toxicity,
     "op10_mixing": mixing.op10_mixing,
 }
 
