@@ -57,6 +57,11 @@ def ranked(df: DataFrame, group: Sequence[str], bucket: str, order: Sequence[Col
     )
 
 
-def only(df: DataFrame, *columns: str) -> DataFrame:
-    """The named columns and no others, so that extra columns can't clash with an operator's own."""
-    return df.select(*[F.col(f"`{c}`") for c in columns])
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one, ``row``, so that none of their names can clash with an operator's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+
+
+def field(name: str) -> Column:
+    """A column of the row that ``whole_row`` holds."""
+    return F.col("row").getField(name).alias(name)

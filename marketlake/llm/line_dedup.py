@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.functions.once import evaluated
-from marketlake.llm.common import shuffle_partitions, stored
+from marketlake.llm.common import shuffle_partitions, stored, whole_row
 from marketlake.llm.textkeys import ascii_lower, stripped
 from marketlake.storage import work_path
 
@@ -104,19 +104,18 @@ def _bounds(lines: DataFrame, batches: int) -> list[int]:
 
 
 def dedup_lines(
-    docs: DataFrame, carry: tuple[str, ...] = (), batches: int = 4, fanout: int = 2, min_key: int = MIN_KEY
+    docs: DataFrame, carry: bool = False, batches: int = 4, fanout: int = 2, min_key: int = MIN_KEY
 ) -> DataFrame:
-    """(doc_id, text, n_lines, n_dropped, kept_text, and ``carry``) for every row of ``docs``.
+    """(doc_id, text, n_lines, n_dropped, kept_text) for every row of ``docs``; ``carry`` adds the row as ``row``.
 
     A line's key is the line without ASCII white space at both ends, A-Z lower-cased. Of the lines with one key
     of at least ``min_key`` code points only those in the smallest doc_id stay; other lines always stay. Rows
     with the same doc_id are one document, whose lines all stay; null ids are one document that comes last. A
-    null or empty text is one empty line and stays as it is. Repeated rows get the same result each. Columns
-    other than doc_id, text and ``carry`` are ignored, whatever their names. An empty table gives an empty one.
+    null or empty text is one empty line and stays as it is. Repeated rows get the same result each. Other columns
+    are ignored, whatever their names. An empty table gives an empty one.
     """
     spark = docs.sparkSession
-    rest = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(None)
-    docs = docs.select("doc_id", "text", rest.alias("rest"))
+    docs = docs.select("doc_id", "text", *([whole_row(docs)] if carry else []))
     lines = stored(long_lines(docs.select("doc_id", "text"), min_key), "lines")
     runs = LineRuns(spark, fanout)
     bounds = _bounds(lines, batches)
@@ -144,7 +143,7 @@ def dedup_lines(
         F.size("lines").cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("kept_text"),
-        *[F.col("rest")[c].alias(c) for c in carry],
+        *(["row"] if carry else []),
     )
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from marketlake.llm.common import join_unique, stored
+from marketlake.llm.common import join_unique, stored, whole_row
 from marketlake.llm.textkeys import WORD
 
 #: Weights of the sources in code point order, repeated; null comes last.
@@ -83,24 +83,24 @@ def _quotas(sized: DataFrame, weights: tuple[int, ...], max_passes: int) -> Data
 
 def mix(
     docs: DataFrame,
-    carry: tuple[str, ...] = (),
+    carry: bool = False,
     weights: tuple[int, ...] = WEIGHTS,
     max_passes: int = MAX_PASSES,
     depth: int = 4,
     seed: int = 42,
 ) -> DataFrame:
-    """(doc_id, size, source_size, target, taken, draws, and ``carry``), a row for each row of ``docs``.
+    """(doc_id, size, source_size, target, taken, draws), a row for each row of ``docs``.
 
-    ``draws`` has an entry (pass, words, shard, shuffle_key) for each time the mix takes the document: whole
+    ``carry`` adds that row as ``row``. ``draws`` has an entry (pass, words, shard, shuffle_key) for each time the mix takes the document: whole
     passes first, and a last one of fewer words where the target is reached inside the document; ``taken`` is
     the sum of their words. There are ``2 ** depth`` shards; ``shuffle_key`` is the order inside a shard.
     A null or wordless text has size 0 and is never taken. Null sources are one source, the last. Null ids and
-    repeated rows are documents of their own. An empty table gives an empty one. Columns other than doc_id,
-    source, text and ``carry`` are ignored. Everything follows from ids, texts and ``seed``, so reruns agree.
+    repeated rows are documents of their own. An empty table gives an empty one. Other columns are
+    ignored, whatever their names. Everything follows from ids, texts and ``seed``, so reruns agree.
     """
-    rest = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(None)
-    sized = docs.select("doc_id", "source", "text", rest.alias("rest")).select(
-        "doc_id", "source", "rest",
+    row = ["row"] if carry else []
+    sized = docs.select("doc_id", "source", "text", *([whole_row(docs)] if carry else [])).select(
+        "doc_id", "source", *row,
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("order_key"),
         F.xxhash64("text").alias("tie"),
@@ -152,7 +152,7 @@ def mix(
         "doc_id", "size", "source_size", "target",
         (F.col("passes") * F.col("size") + F.col("extra")).cast("long").alias("taken"),
         F.when((count > 0) & (F.col("size") > 0), draws).alias("draws"),
-        *[F.col("rest")[c].alias(c) for c in carry],
+        *row,
     )
 
 

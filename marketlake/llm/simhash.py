@@ -21,10 +21,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from marketlake.llm.common import join_unique, stored
+from marketlake.llm.common import field, join_unique, stored, whole_row
 
 BITS = 64
 #: The upper tree is made from so many fingerprints at most.
@@ -38,49 +39,71 @@ LEAF = 256
 # --- fingerprints --------------------------------------------------------------------------------
 
 
-def fingerprint(text: str, words: int, seed: int = 42) -> int:
-    """SimHash of a text's word shingles, repeats counted; 0 without words."""
+#: Steps from one print of a text to its next.
+_STEP = 0x9E3779B97F4A7C15
+_MIX_A, _MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+
+
+def _remixed(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Other hashes of what has these: the same ones for n = 0, else those mixed with n."""
+    if n:
+        hashes = hashes + np.uint64(_STEP * n % (1 << BITS))
+        hashes = (hashes ^ (hashes >> np.uint64(30))) * _MIX_A
+        hashes = (hashes ^ (hashes >> np.uint64(27))) * _MIX_B
+        hashes = hashes ^ (hashes >> np.uint64(31))
+    return hashes
+
+
+def fingerprint(text: str, words: int, prints: int = 1, seed: int = 42) -> np.ndarray:
+    """SimHash of a text's word shingles, repeats counted, in ``prints`` numbers of 64 bits; 0 without words."""
     from xxhash import xxh64_digest
 
     split = text.encode("utf-8", "replace").lower().split()
     if not split:
-        return 0
+        return np.zeros(prints, np.uint64)
     whole = b" ".join(split)
     lengths = np.fromiter(map(len, split), np.int64, len(split))
     ends = np.cumsum(lengths) + np.arange(len(split))
     starts = ends - lengths
     size = min(words, len(split))
     first, last = starts[: len(split) - size + 1], ends[size - 1 :]
-    ones = np.zeros(BITS, np.int64)
+    ones = np.zeros((prints, BITS), np.int64)
     for at in range(0, len(first), 16_384):
         spans = zip(first[at : at + 16_384].tolist(), last[at : at + 16_384].tolist())
-        digests = b"".join([xxh64_digest(whole[s:e], seed) for s, e in spans])
-        bits = np.unpackbits(np.frombuffer(digests, np.uint8).reshape(-1, 8), axis=1)
-        ones += bits.sum(axis=0, dtype=np.int64)
-    majority = np.packbits(2 * ones > len(first))
-    return int.from_bytes(majority.tobytes(), "big")
+        hashes = np.frombuffer(b"".join([xxh64_digest(whole[s:e], seed) for s, e in spans]), ">u8")
+        for n in range(prints):
+            digests = _remixed(hashes, n).astype(">u8").view(np.uint8).reshape(-1, 8)
+            ones[n] += np.unpackbits(digests, axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > len(first), axis=1).view(">u8").astype(np.uint64).ravel()
+
+
+def _names(prints: int) -> list[str]:
+    return [f"fp{n}" for n in range(prints)]
 
 
-_PRINT_DDL = "doc_id long, row_key long, fp long"
-_PRINT = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("fp", pa.int64())])
+def _longs(names: list[str]) -> tuple[str, list[tuple[str, pa.DataType]]]:
+    return ", ".join(f"{n} long" for n in names), [(n, pa.int64()) for n in names]
 
 
-def _printer(words: int):
+def _printer(words: int, prints: int):
+    _, columns = _longs(["doc_id", "row_key", *_names(prints)])
+
     def run(batches):
         for batch in batches:
-            prints = np.fromiter(
-                (fingerprint(v.as_py() or "", words) for v in batch.column("text")), np.uint64, batch.num_rows
+            found = [fingerprint(v.as_py() or "", words, prints) for v in batch.column("text")]
+            table = np.asarray(found, np.uint64).reshape(-1, prints).view(np.int64)
+            own = [pa.array(np.ascontiguousarray(table[:, n])) for n in range(prints)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("row_key"), *own], schema=pa.schema(columns)
             )
-            columns = [batch.column("doc_id"), batch.column("row_key"), pa.array(prints.view(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, schema=_PRINT)
 
     return run
 
 
-def fingerprints(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, row_key, fp): the fingerprint as a signed number; row_key tells texts with one doc_id apart."""
+def fingerprints(docs: DataFrame, words: int, prints: int = 1) -> DataFrame:
+    """(doc_id, row_key, fp0, ...): the fingerprint as signed numbers; row_key tells texts with one id apart."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row_key"), "text")
-    return rows.mapInArrow(_printer(words), _PRINT_DDL)
+    return rows.mapInArrow(_printer(words, prints), _longs(["doc_id", "row_key", *_names(prints)])[0])
 
 
 # --- trees ---------------------------------------------------------------------------------------
@@ -90,6 +113,14 @@ def _distance(a: np.ndarray, b) -> np.ndarray:
     return np.bitwise_count(a ^ b)
 
 
+def _far_apart(prints: np.ndarray, a, b) -> np.ndarray:
+    """Differing bits of all prints; a and b index points and are broadcast."""
+    total = _distance(prints[0][a], prints[0][b]).astype(np.int16)
+    for own in prints[1:]:
+        total += _distance(own[a], own[b])
+    return total
+
+
 @dataclass
 class Node:
     vantage: int
@@ -100,15 +131,16 @@ class Node:
 
 @dataclass
 class Block:
-    """Some bits of the fingerprints, and the upper tree over them."""
+    """Some bits of one print, and the upper tree over them."""
 
+    number: int
     shift: int
     mask: int
     reach: int  # bits that partners can differ by here
     tree: Node | int = 0
 
     def of(self, prints: np.ndarray) -> np.ndarray:
-        return (prints >> np.uint64(self.shift)) & np.uint64(self.mask)
+        return (prints[self.number] >> np.uint64(self.shift)) & np.uint64(self.mask)
 
 
 def _vantage(values: np.ndarray) -> tuple[int, int] | None:
@@ -122,13 +154,15 @@ def _vantage(values: np.ndarray) -> tuple[int, int] | None:
     return None
 
 
-def _blocks(count: int, bits_apart: int) -> list[Block]:
-    edges = [BITS * i // count for i in range(count + 1)]
-    return [Block(low, (1 << (high - low)) - 1, bits_apart // count) for low, high in zip(edges, edges[1:])]
+def _blocks(prints: int, each: int, reach: int) -> list[Block]:
+    edges = [BITS * i // each for i in range(each + 1)]
+    return [
+        Block(n, low, (1 << (high - low)) - 1, reach) for n in range(prints) for low, high in zip(edges, edges[1:])
+    ]
 
 
-def _upper_trees(sample: np.ndarray, depth: int, blocks: list[Block]) -> int:
-    """Gives each block its tree; returns the number of shards."""
+def _upper_trees(sample: np.ndarray, depth: int, blocks: list[Block]) -> None:
+    """Gives each block its tree; shards are numbered through."""
     shards = 0
 
     def grow(values: np.ndarray, depth: int) -> Node | int:
@@ -142,7 +176,6 @@ def _upper_trees(sample: np.ndarray, depth: int, blocks: list[Block]) -> int:
 
     for block in blocks:
         block.tree = grow(block.of(sample), depth)
-    return shards
 
 
 def _sides(values: np.ndarray, vantage: int, radius: int, reach: int, home: np.ndarray, visit: np.ndarray):
@@ -157,15 +190,17 @@ def _sides(values: np.ndarray, vantage: int, radius: int, reach: int, home: np.n
     )
 
 
-_ROUTE_DDL = "shard int, home boolean, fp long"
-_ROUTE = pa.schema([("shard", pa.int32()), ("home", pa.bool_()), ("fp", pa.int64())])
+def _points(batch: pa.RecordBatch | pa.Table, prints: int) -> np.ndarray:
+    """Fingerprints as unsigned numbers, a row for each print."""
+    return np.stack([np.asarray(batch.column(n).to_numpy(), np.int64) for n in _names(prints)]).view(np.uint64)
 
 
-def _router(blocks: list[Block]):
+def _router(blocks: list[Block], prints: int):
+    schema = pa.schema([("shard", pa.int32()), ("home", pa.bool_()), *_longs(_names(prints))[1]])
+
     def run(batches):
         for batch in batches:
-            signed = batch.column("fp").to_numpy()
-            prints = signed.view(np.uint64)
+            points = _points(batch, prints)
             found: list[tuple[int, bool, np.ndarray]] = []
 
             def walk(node: Node | int, values: np.ndarray, reach: int, home: np.ndarray, visit: np.ndarray) -> None:
@@ -178,14 +213,14 @@ def _router(blocks: list[Block]):
                 walk(node.far, values, reach, *far)
 
             for block in blocks:
-                everyone = np.arange(len(prints))
-                walk(block.tree, block.of(prints), block.reach, everyone, everyone[:0])
+                everyone = np.arange(points.shape[1])
+                walk(block.tree, block.of(points), block.reach, everyone, everyone[:0])
             for shard, home, rows in found:
                 if len(rows):
-                    n = len(rows)
+                    own = [pa.array(x) for x in np.ascontiguousarray(points[:, rows]).view(np.int64)]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(n, shard, np.int32)), pa.array(np.full(n, home)), pa.array(signed[rows])],
-                        schema=_ROUTE,
+                        [pa.array(np.full(len(rows), shard, np.int32)), pa.array(np.full(len(rows), home)), *own],
+                        schema=schema,
                     )
 
     return run
@@ -226,7 +261,7 @@ def _leaf(prints: np.ndarray, home: np.ndarray, visit: np.ndarray, bits_apart: i
         others = np.concatenate([home[at:], visit])
         for to in range(0, len(others), 8_192):
             columns = others[to : to + 8_192]
-            a, b = np.nonzero(_distance(prints[rows][:, None], prints[columns][None, :]) <= bits_apart)
+            a, b = np.nonzero(_far_apart(prints, rows[:, None], columns[None, :]) <= bits_apart)
             parts.join(rows[a], columns[b])
 
 
@@ -237,7 +272,7 @@ def _dense_leaf(prints: np.ndarray, points: np.ndarray, bits_apart: int, parts:
         reached, waiting = [waiting[0]], waiting[1:]
         start = reached[0]
         while reached and len(waiting):
-            close = _distance(prints[waiting], prints[reached.pop()]) <= bits_apart
+            close = _far_apart(prints, waiting, reached.pop()) <= bits_apart
             if close.any():
                 new, waiting = waiting[close], waiting[~close]
                 parts.join(np.full(len(new), start), new)
@@ -246,8 +281,8 @@ def _dense_leaf(prints: np.ndarray, points: np.ndarray, bits_apart: int, parts:
 
 def _search(prints: np.ndarray, values: np.ndarray, home: np.ndarray, reach: int, bits_apart: int) -> np.ndarray:
     """The root of each point, joining all points at most ``bits_apart`` of which one is at home."""
-    parts = _Components(len(prints))
-    everyone = np.arange(len(prints))
+    parts = _Components(prints.shape[1])
+    everyone = np.arange(prints.shape[1])
     waiting = [(everyone[home], everyone[~home])]
     while waiting:
         own, visit = waiting.pop()
@@ -263,39 +298,56 @@ def _search(prints: np.ndarray, values: np.ndarray, home: np.ndarray, reach: int
     return parts.root
 
 
-_LINK_DDL = "a long, b long"
-_LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _key(prints: int) -> Column:
+    """What names a fingerprint in links: the number itself, or the text of several."""
+    return F.col("fp0") if prints == 1 else F.concat_ws("-", *[F.hex(n) for n in _names(prints)])
+
 
+def _linker(blocks: list[Block], owner: list[int], bits_apart: int, prints: int):
+    kind = pa.int64() if prints == 1 else pa.string()
+
+    def names(points: np.ndarray) -> pa.Array:
+        if prints == 1:
+            return pa.array(points[0].view(np.int64))
+        return pa.array(["-".join(f"{int(x):X}" for x in column) for column in points.T], kind)
 
-def _linker(blocks: list[Block], owner: list[int], bits_apart: int):
     def run(table: pa.Table) -> pa.Table:
-        signed = table.column("fp").to_numpy()
-        order = np.argsort(signed, kind="stable")  # the smallest fingerprint of a component becomes its root
-        signed = signed[order]
-        home = table.column("home").to_numpy(zero_copy_only=False).astype(bool)[order]
+        points = _points(table, prints)
+        home = table.column("home").to_numpy(zero_copy_only=False).astype(bool)
         block = blocks[owner[table.column("shard")[0].as_py()]]
-        prints = signed.view(np.uint64)
-        root = _search(prints, block.of(prints), home, block.reach, bits_apart)
+        root = _search(points, block.of(points), home, block.reach, bits_apart)
         joined = root != np.arange(len(root))
-        return pa.Table.from_arrays([pa.array(signed[joined]), pa.array(signed[root[joined]])], schema=_LINK)
+        return pa.Table.from_arrays(
+            [names(points[:, joined]), names(points[:, root[joined]])], schema=pa.schema([("a", kind), ("b", kind)])
+        )
 
     return run
 
 
-def links(classes: DataFrame, bits_apart: int = 4, blocks: int = 3, sample: int = SAMPLE, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(a, b), b < a: links of distinct fingerprints ``fp`` whose components are those of all pairs within reach."""
+def links(
+    classes: DataFrame, bits_apart: int, prints: int = 1, each: int = 3, reach: int | None = None,
+    sample: int = SAMPLE, shard_rows: int = SHARD_ROWS,
+) -> DataFrame:
+    """(a, b): links of distinct fingerprints, whose components are those of all pairs within reach.
+
+    Each print has ``each`` blocks. Pairs are exact if ``reach`` is at least ``bits_apart`` over the number of
+    blocks, as it is by default; a smaller reach finds most pairs with less work.
+    """
+    names = _names(prints)
+    if reach is None:
+        reach = bits_apart // (prints * each)
     total = classes.count()
-    chosen = classes.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()
-    prints = np.asarray([row.fp for row in chosen], np.int64).view(np.uint64)
-    parts = _blocks(blocks, bits_apart)
+    chosen = classes.select(*names).orderBy(F.xxhash64(*names), *names).limit(sample).toArrow()
+    blocks = _blocks(prints, each, reach)
     depth = max(0, math.ceil(math.log2(max(1, total) / shard_rows)))
-    owner: list[int] = []
-    if len(prints):
-        _upper_trees(prints, depth, parts)
-    for n, block in enumerate(parts):
-        owner += [n] * _shard_count(block.tree)
-    routed = classes.select("fp").mapInArrow(_router(parts), _ROUTE_DDL)
-    return routed.groupBy("shard").applyInArrow(_linker(parts, owner, bits_apart), _LINK_DDL)
+    _upper_trees(_points(chosen, prints), depth, blocks)
+    owner = [n for n, block in enumerate(blocks) for _ in range(_shard_count(block.tree))]
+    ddl = _longs(names)[0]
+    routed = classes.select(*names).mapInArrow(_router(blocks, prints), f"shard int, home boolean, {ddl}")
+    kind = "long" if prints == 1 else "string"
+    return routed.groupBy("shard").applyInArrow(
+        _linker(blocks, owner, bits_apart, prints), f"a {kind}, b {kind}"
+    )
 
 
 def _shard_count(node: Node | int) -> int:
@@ -328,24 +380,49 @@ def star_components(edges: DataFrame) -> DataFrame:
         seen = state
 
 
-def near_groups(docs: DataFrame, words: int = 5, bits_apart: int = 4, blocks: int = 3) -> DataFrame:
-    """(doc_id, row_key, fp, component_id), a row for each row of ``docs``.
+def near_groups(
+    docs: DataFrame, words: int = 5, bits_apart: int = 4, prints: int = 1, each: int = 3, reach: int | None = None,
+    shard_rows: int = SHARD_ROWS,
+) -> DataFrame:
+    """(doc_id, row_key, fp0, ..., component, component_id), a row for each row of ``docs``.
 
-    Documents whose fingerprints differ in at most ``bits_apart`` bits are linked; component_id is the smallest
-    doc_id that links reach, null if all those ids are null. Null, empty and wordless texts have the fingerprint
-    0 and are linked like any other. Columns other than doc_id and text are ignored.
+    Documents whose fingerprints (``prints`` numbers of 64 bits) differ in at most ``bits_apart`` bits are
+    linked; ``component`` names what links reach, component_id is its smallest doc_id (null if all are null). Null, empty
+    and wordless texts have the fingerprint 0 and are linked like any other. Columns other than doc_id and text
+    are ignored. An empty table gives an empty one. For ``each`` and ``reach`` see ``links``.
     """
-    prints = stored(fingerprints(docs, words), "fingerprints")
-    classes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "classes")
-    stars = star_components(links(classes, bits_apart, blocks)).select(F.col("a").alias("fp"), F.col("b").alias("root"))
-    rooted = stored(
-        classes.join(stars, "fp", "left").select("fp", "first", "n", F.coalesce("root", "fp").alias("root")), "rooted"
-    )
+    names = _names(prints)
+    printed = stored(fingerprints(docs, words, prints), "fingerprints")
+    classes = printed.groupBy(*names).agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+    classes = stored(classes.withColumn("key", _key(prints)), "classes")
+    stars = star_components(links(classes, bits_apart, prints, each, reach, shard_rows=shard_rows))
+    rooted = classes.join(stars.select(F.col("a").alias("key"), F.col("b").alias("root")), "key", "left")
+    rooted = stored(rooted.withColumn("root", F.coalesce("root", "key")), "rooted")
     firsts = rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("size"))
-    answers = join_unique(rooted.drop("first"), firsts, ["root"], "size", rooted.count()).select("fp", "n", "component_id")
-    return join_unique(prints, answers, ["fp"], "n", prints.count()).select("doc_id", "row_key", "fp", "component_id")
+    answers = join_unique(rooted, firsts, ["root"], "size", rooted.count()).select(
+        *names, "n", F.col("root").alias("component"), "component_id"
+    )
+    return join_unique(printed, answers, names, "n", printed.count()).select(
+        "doc_id", "row_key", *names, "component", "component_id"
+    )
+
+
+def keep_one(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The row of ``docs`` with the smallest doc_id of each component of ``groups``, with all its columns.
+
+    Of several rows with that id one stays, null ids come last.
+    """
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key")
+    chosen = groups.groupBy("component").agg(F.min(order).alias("first")).select("first.doc_id", "first.row_key")
+    keyed = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row_key"), whole_row(docs)
+    ).alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.row_key") == F.col("c.row_key"))
+    repeated = Window.partitionBy("d.doc_id", "d.row_key").orderBy(F.xxhash64("row"))
+    kept = keyed.join(chosen.alias("c"), same).withColumn("nth", F.row_number().over(repeated)).where("nth = 1")
+    return kept.select(*[field(c) for c in docs.columns])
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=4, bits_apart=4)
-    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp0"), 16, "0")).alias("fingerprint"), "component_id")
