@@ -32,6 +32,8 @@ _WORDS = (b"passw", b"secret", b"token", b"api")
 #: Characters of tokens; all others end one.
 _ALPHABET = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _N = len(_ALPHABET) + 1
+#: Weight of what pairs fall back on, in characters.
+SMOOTHING = 50.0
 _CODE = np.zeros(256, np.uint8)
 _CODE[list(_ALPHABET)] = np.arange(1, _N)
 #: Translate every byte that can be in a token, or in a hexadecimal run, to 0 and all others to 1.
@@ -100,14 +102,21 @@ class MarkovModel:
 
     @classmethod
     def train(cls, texts: DataFrame) -> MarkovModel:
-        """From a column of texts; their fixed patterns are the labels. Add-one smoothing, so no text is needed."""
+        """From a column of texts; their fixed patterns are the labels.
+
+        Pairs that were seen seldom fall back on single characters: for secrets on any, as random strings have
+        them, for ordinary tokens on those that they are made of. So texts without any secret will do, or none.
+        """
         counted = texts.mapInArrow(_count_pairs, "label int, pair int, n long").groupBy("label", "pair").sum("n")
         counts = np.zeros((2, _N * _N))
         for label, pair, n in counted.collect():
             counts[label, pair] = n
         counts = counts.reshape(2, _N, _N)
         counts[:, 0, 0] = 0
-        logs = np.log((counts + 1) / (counts + 1).sum(axis=2, keepdims=True))
+        ordinary = counts[0].sum(axis=0) + 1
+        backoff = np.stack([ordinary / ordinary.sum(), np.full(_N, 1 / _N)])
+        totals = counts.sum(axis=2, keepdims=True)
+        logs = np.log((counts + SMOOTHING * backoff[:, None, :]) / (totals + SMOOTHING))
         return cls(logs[1] - logs[0])
 
     def score(self, token: str) -> float:
@@ -122,7 +131,7 @@ class Limits:
 
     least_length: int = 20
     least_digits: int = 2
-    least_ratio: float = 0.5
+    least_ratio: float = 3.0
 
 
 def _letters_and_digits(token: str, least_digits: int) -> bool:
