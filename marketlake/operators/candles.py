@@ -60,8 +60,12 @@ def high_low_volume(price: Column, volume: Column) -> dict[str, Column]:
 
 
 def weighted_vwap(price: Column, volume: Column) -> Column:
-    """Volume-weighted mean price (the ``vwap`` candle column is the plain mean)."""
-    return F.try_divide(F.sum(price * volume), F.sum(volume))
+    """Volume-weighted mean price (the ``vwap`` candle column is the plain mean).
+
+    Summed as decimals of the stored scale: the order of the trades can't change the last digits.
+    """
+    worth, traded = F.sum((price * volume).cast("decimal(30,8)")), F.sum(volume.cast("decimal(20,8)"))
+    return F.try_divide(worth.cast("double"), traded.cast("double"))
 
 
 def candle_parts(trades: DataFrame, minutes: int = 1) -> DataFrame:

@@ -8,21 +8,22 @@ from __future__ import annotations
 
 SQL: dict[str, str] = {}
 
-# Six decimals by the same arithmetic as the queries, with the boundary just off one half.
-_RATES = (
-    "(case when abs({0}) < 1e12 then floor(({0})::double * 1000000.0::double + 0.500123::double) / 1000000.0::double "
-    "else ({0})::double end)"
-)
+def r6(expr: str, name: str | None = None) -> str:
+    """A double to six decimals, as every query returns it. The order of a sum changes the sixteenth digit or so,
+    which nine decimals leave out; so it can't decide a half at the sixth."""
+    return f"{rounded(expr)} as {name or expr}"
 
 
-def r6(expr: str, name: str | None = None) -> str:
-    return _RATES.format(f"({expr})") + f" as {name or expr}"
+def rounded(expr: str) -> str:
+    return f"round(try_cast(({expr})::double as decimal(38,9)), 6)::double"
 
 
 def r6s(*names: str) -> str:
     return ", ".join(r6(n) for n in names)
 
 
+K_AS_DOUBLE = "cast(json_extract_string(props, '$.k') as double)"
+
 TRADES = """trades as (
   select event_type as symbol, ['binance', 'coinbase', 'kraken'][user_id % 3 + 1] as exchange, ts,
          event_id as trade_id, value as price, cast(json_extract_string(props, '$.k') as double) as volume,
@@ -254,8 +255,9 @@ ticks as (
 
 _TICK_COLUMNS = ("price_change", "price_change_percentage", "sma_5", "sma_10", "volatility")
 _VALID = f"{RECORDS}, valid as (select * from scored where status = 'valid')"
+_LIVE_SPREAD_ONLY = r6("case when bid > 0 and ask > 0 then ask - bid end", "spread")
 _LIVE_SPREAD = (
-    r6("case when bid > 0 and ask > 0 then ask - bid end", "spread")
+    _LIVE_SPREAD_ONLY
     + ", "
     + r6("case when bid > 0 and ask > 0 then (ask - bid) / bid * 100 end", "spread_percentage")
 )
@@ -269,7 +271,7 @@ _PATH = (
 _RECORD_OUT = f"exchange, symbol, timestamp, {r6s('price', 'volume', 'bid', 'ask')}, trade_id, {r6s('quality_score')}"
 SQL["read_batches"] = (
     f"with {_VALID} select {_PATH} as data_partition, 1706745600::bigint as batch_timestamp, {_RECORD_OUT}, "
-    f"{_LIVE_SPREAD.split(', (case')[0]}, epoch_ms(ms) as ts from valid"
+    f"{_LIVE_SPREAD_ONLY}, epoch_ms(ms) as ts from valid"
 )
 SQL["prune_date"] = (
     f"with {_VALID} select {_RECORD_OUT} from valid where cast(epoch_ms(ms) as date) = date '2024-01-15'"
@@ -315,7 +317,7 @@ SQL["calendar_parts"] = """select event_id as trade_id, year(ts)::int as year, m
 SQL["clean_trades"] = f"""with {TRADES} select trade_id, symbol, exchange, {r6s('price', 'volume')} from trades
   where price > 0 and volume >= 0 and symbol is not null and exchange is not null"""
 SQL["cast_numeric"] = (
-    f"select event_id, {r6('value', 'price')}, {r6(chr(99) + 'ast(json_extract_string(props, ' + repr('$.k') + ') as double)', 'volume')} from events"
+    f"select event_id, {r6('value', 'price')}, {r6(K_AS_DOUBLE, 'volume')} from events"
 )
 SQL["spread_batch"] = f"""with {TRADES} select trade_id, {r6('ask - bid', 'spread')},
   {r6('case when bid > 0 then (ask - bid) / bid * 100 end', 'spread_percentage')} from trades"""
@@ -390,7 +392,7 @@ SQL["emit_metrics"] = f"""with {RECORDS}, e as (
   select coalesce(exchange, 'unknown') as exchange, count(*)::double as n, avg(quality_score) as s
   from scored where status = 'valid' group by 1)
   select 'RecordsProcessed' as name, n as value, 'Count' as unit, exchange from e
-  union all select 'DataQualityScore', {_RATES.format('s')}, 'None', exchange from e
+  union all select 'DataQualityScore', {rounded('s')}, 'None', exchange from e
   union all select 'TotalRecords', count(*)::double, 'Count', null from scored
   union all select 'ValidRecords', count(*)::double, 'Count', null from scored where status = 'valid'
   union all select 'InvalidRecords', count(*)::double, 'Count', null from scored where status <> 'valid'"""
@@ -468,7 +470,8 @@ for _key, _measures in (
         + ", count(price) as trade_count",
     ),
     ("vwap_ref", r6("avg(price)", "vwap")),
-    ("vwap_weighted", r6("sum(price * volume) / nullif(sum(volume), 0)", "vwap_weighted")),
+    ("vwap_weighted", r6(
+        "sum((price * volume)::decimal(30,8))::double / nullif(sum(volume::decimal(20,8))::double, 0)", "vwap_weighted")),
     ("avg_spread", r6("avg(spread)", "avg_spread") + ", " + r6("avg(spread_percentage)", "avg_spread_percentage")),
 ):
     SQL[_key] = f"""with {PREPARED} select symbol, exchange, time_bucket(interval '4 hours', ts) as interval_start,

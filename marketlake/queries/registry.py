@@ -37,22 +37,17 @@ PAIR_SYMBOLS = ("click", "purchase", "view")
 SHORT_NAMES = {1: "1m", 5: "5m", 15: "15m", 60: "1h", 240: "4h", 1440: "1d"}
 
 
-# Rounding boundary just off one half. Means of two-decimal prices often end exactly half-way at six
-# decimals, where the order of a summation would decide the last digit.
-_HALF = 0.500123
-
-
 def comparable(df: DataFrame) -> DataFrame:
-    """Doubles to six decimals, decimals as doubles, zoned times to zone-less."""
+    """Doubles to six decimals by way of nine (see the SQL's ``r6``), decimals as text, zoned times to zone-less."""
     columns = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DoubleType):
-            c = F.when(F.abs(c) < 1e12, F.floor(c * 1e6 + _HALF) / 1e6).otherwise(c)
+            c = F.round(F.round(c, 9), 6)
         elif isinstance(f.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
         elif isinstance(f.dataType, T.DecimalType):
-            c = c.cast("double")
+            c = F.round(c, min(6, f.dataType.scale)).cast("string")
         columns.append(c.alias(f.name))
     return df.select(*columns)
 
