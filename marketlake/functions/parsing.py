@@ -37,11 +37,20 @@ def canonical_symbol(text: Column) -> Column:
 
 
 def plain_decimal_text(value: Column) -> Column:
-    """A double as text without exponent for large magnitudes (1e7 up to 1e16)."""
+    """A double as its shortest text, with an exponent below 1e-4 and from 1e16 on ("5e-05", "1e+16").
+
+    The message texts have numbers in this form. The JVM's own text has exponents from 1e-3 and 1e7 on.
+    """
     text = value.cast("string")
-    expanded = F.rtrim(value.try_cast("decimal(38,16)").cast("string"), F.lit("0"))
-    expanded = F.when(expanded.endswith("."), F.concat(expanded, F.lit("0"))).otherwise(expanded)
-    return F.when((F.abs(value) >= 1e7) & (F.abs(value) < 1e16), expanded).otherwise(text)
+    mantissa = F.regexp_replace(F.split_part(text, F.lit("E"), F.lit(1)), r"\.0$", "")
+    power = F.split_part(text, F.lit("E"), F.lit(2)).try_cast("int")
+    digits = F.abs(power).cast("string")
+    digits = F.when(F.length(digits) < 2, F.concat(F.lit("0"), digits)).otherwise(digits)
+    short = F.concat(mantissa, F.when(power < 0, "e-").otherwise("e+"), digits)
+    whole = F.rtrim(value.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
+    whole = F.when(whole.endswith("."), F.concat(whole, F.lit("0"))).otherwise(whole)
+    size = F.abs(value)
+    return F.when(~text.contains("E"), text).when((size >= 1e-4) & (size < 1e16), whole).otherwise(short)
 
 
 def field(record: Column, name: str) -> Column:

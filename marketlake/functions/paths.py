@@ -6,14 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from marketlake.functions.calendar import calendar_parts
-from marketlake.functions.parsing import millis_to_time
 
 
-def landing_time(millis: Column, present: Column, now: Column) -> Column:
-    """Time a record is filed under: its own, 1970 when it has none, ``now`` when unreadable (null)."""
+def landing_time(own: Column, present: Column, now: Column) -> Column:
+    """Time a record is filed under: its ``own`` event time, 1970 when it names none, ``now`` when unreadable.
+
+    The event time is what candles use too, so a record is always filed under the day its candle is in.
+    """
     epoch = F.timestamp_millis(F.lit(0).cast("bigint"))
     return F.coalesce(
-        millis_to_time(millis),
+        own.cast("timestamp"),
         F.when(present, now.cast("timestamp")).otherwise(epoch),
     )
 

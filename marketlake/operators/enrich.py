@@ -20,21 +20,6 @@ def time_chunk(ts: str, seconds: int) -> Column:
     return F.floor(epoch_seconds(F.col(ts)) / seconds)
 
 
-def pick_chunk_seconds(df: DataFrame, keys: list[str], ts: str, target_rows: int = 2_000_000) -> int:
-    """The longest of a few chunk lengths whose fullest chunk stays under ``target_rows``.
-
-    Runs one aggregation; only a handful of counts reach the driver.
-    """
-    choices = (86_400, 3_600, 300, 60, 10, 1)
-    per_second = df.groupBy(*keys, epoch_seconds(F.col(ts)).alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
-    for seconds in choices[:-1]:
-        sizes = per_second.groupBy(*keys, F.floor(F.col("_s") / seconds)).agg(F.sum("_n").alias("_n"))
-        fullest = sizes.agg(F.max("_n")).first()[0] or 0
-        if fullest <= target_rows:
-            return seconds
-    return choices[-1]
-
-
 def tick_statistics(df: DataFrame, window: Frames, price: Column) -> DataFrame:
     """Change against the previous price, and means and deviation once enough prices exist."""
     previous = F.lag("_p").over(window())
@@ -63,11 +48,11 @@ def tick_enrich(
     """Price change, sma_5, sma_10 and volatility per symbol across all exchanges, in (time, id) order.
 
     A record without price counts as price 0. ``chunk_seconds`` cuts each symbol's history into time
-    chunks (see :mod:`marketlake.operators.lookback`); pick it with :func:`pick_chunk_seconds`.
+    chunks (see :mod:`marketlake.operators.lookback`): a symbol's trades of one chunk meet in one task.
     """
     chunk = None if chunk_seconds is None else time_chunk(ts, chunk_seconds)
     return over_chunks(
-        trades, ["symbol"], [ts, tie], chunk, REACH, lambda df, w: tick_statistics(df, w, F.col("price"))
+        trades, ["symbol"], [ts, tie], chunk, REACH, lambda df, w: tick_statistics(df, w, F.col("price")), ["price"]
     )
 
 

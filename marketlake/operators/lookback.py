@@ -20,14 +20,17 @@ Frames = Callable[..., WindowSpec]
 
 
 def with_lookback(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, rows: int
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, rows: int,
+    inputs: Sequence[str] | None = None,
 ) -> DataFrame:
     """``df`` plus ``_chunk``, ``_copy`` and, marked as copies, each chunk's preceding rows.
 
-    ``chunk`` must be deterministic and must not decrease along ``order`` within a series.
+    ``chunk`` must be deterministic and must not decrease along ``order`` within a series. ``inputs`` are the
+    columns that windows read (all if not given); copies hold these, keys and order, and null elsewhere.
     """
-    columns = df.columns
-    # Placed once; both the tails and the windows read this shuffle, so ``df`` is evaluated once.
+    narrow = df.columns if inputs is None else [c for c in df.columns if c in {*keys, *order, *inputs}]
+    # Placed once. Where no more columns are asked of the result than copies hold, the tails and the windows
+    # read the same shuffle and ``df`` is evaluated once.
     based = df.withColumn(CHUNK, chunk).repartition(*keys, CHUNK)
     newest_first = Window.partitionBy(*keys, CHUNK).orderBy(*[F.col(c).desc() for c in order])
     tails = (
@@ -35,7 +38,7 @@ def with_lookback(
         based.withColumn("_age", F.row_number().over(newest_first))
         .filter(F.col("_age") <= rows)
         .groupBy(*keys, CHUNK)
-        .agg(F.collect_list(F.struct("_age", F.struct(*columns).alias("row"))).alias("tail"))
+        .agg(F.collect_list(F.struct("_age", F.struct(*narrow).alias("row"))).alias("tail"))
         # By age alone: the rows may hold values that cannot be compared, such as maps.
         .withColumn("tail", F.array_sort("tail", lambda a, b: a["_age"] - b["_age"]))
     )
@@ -47,10 +50,10 @@ def with_lookback(
             F.slice(F.flatten(F.reverse(F.collect_list("tail").over(earlier))), 1, rows).alias("before"),
         )
         .select(F.explode("before").alias("b"), CHUNK)
-        .select(*[F.col("b.row")[c].alias(c) for c in columns], CHUNK, F.lit(True).alias(COPY))
+        .select(*[F.col("b.row")[c].alias(c) for c in narrow], CHUNK, F.lit(True).alias(COPY))
         .repartition(*keys, CHUNK)
     )
-    return based.withColumn(COPY, F.lit(False)).unionByName(copies)
+    return based.withColumn(COPY, F.lit(False)).unionByName(copies, allowMissingColumns=True)
 
 
 def over_chunks(
@@ -60,6 +63,7 @@ def over_chunks(
     chunk: Column | None,
     rows: int,
     compute: Callable[[DataFrame, Frames], DataFrame],
+    inputs: Sequence[str] | None = None,
 ) -> DataFrame:
     """Run ``compute(frame, window)`` chunk-wise; ``window(k)`` frames the last k rows.
 
@@ -67,7 +71,7 @@ def over_chunks(
     """
     if chunk is None:
         return compute(df, _frames(list(keys), order))
-    widened = with_lookback(df, keys, order, chunk, rows)
+    widened = with_lookback(df, keys, order, chunk, rows, inputs)
     return compute(widened, _frames([*keys, CHUNK], order)).filter(~F.col(COPY)).drop(CHUNK, COPY)
 
 

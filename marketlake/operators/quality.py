@@ -76,7 +76,7 @@ def typed_records(scored: DataFrame, now: Column, keep: tuple[str, ...] = ()) ->
         field(record, "trade_id").alias("trade_id"),
         "quality_score",
         event_time(stamp).alias("ts"),
-        landing_time(F.col("parsed.millis"), F.col("parsed.has_timestamp"), now).alias("landed"),
+        landing_time(event_time(stamp), F.col("parsed.has_timestamp"), now).alias("landed"),
     )
 
 
@@ -99,7 +99,7 @@ def failure_reason(status: Column, errors: Column) -> Column:
     )
 
 
-def split_valid_invalid(scored: DataFrame, record_id: str = "record_id", dlq_enabled: bool = True) -> Routed:
+def split_valid_invalid(scored: DataFrame, record_id: str = "record_id", dlq_enabled: bool = False) -> Routed:
     """Valid rows, and the failed list: unprocessable records, plus invalid ones when the DLQ is on."""
     rejected = F.col("status").isin(INVALID, FAILED) if dlq_enabled else F.col("status") == FAILED
     failed = scored.filter(rejected).select(
@@ -194,14 +194,16 @@ def metric_points(scored: DataFrame, at: Column, ts: Column) -> DataFrame:
 
 
 def data_quality_metrics(scored: DataFrame) -> DataFrame:
-    """Per exchange, symbol and day: record counts, mean score and price and volume ranges."""
+    """Per exchange, symbol and day: record counts, mean score and price and volume ranges.
+
+    Records that can't be read count as invalid ones of exchange and symbol ``unknown`` without a day.
+    """
     record = F.col("record")
     price, volume = F.col("parsed.price"), F.col("parsed.volume")
     valid = F.col("status") == VALID
     day = F.to_date(event_time(field(record, "timestamp")))
     return (
-        scored.filter(record.isNotNull())
-        .groupBy(
+        scored.groupBy(
             F.coalesce(field(record, "exchange"), F.lit("unknown")).alias("exchange"),
             F.coalesce(field(record, "symbol"), F.lit("unknown")).alias("symbol"),
             day.alias("date"),
@@ -229,6 +231,8 @@ def validation_error_types(scored: DataFrame) -> DataFrame:
 
 
 def late_records(scored: DataFrame, now: Column, bounds: QualityBounds = QualityBounds()) -> DataFrame:
-    """Records outside the time tolerance; they stay in the main flow with a penalty."""
+    """Records whose event time is outside the tolerance; they stay in the main flow with a penalty."""
     tolerance, at = bounds.tolerance_seconds * 1000, F.unix_millis(now.cast("timestamp"))
-    return scored.filter(~F.col("parsed.millis").between(at - tolerance, at + tolerance))
+    own = event_time(field(F.col("record"), "timestamp"))
+    millis = F.coalesce("parsed.millis", F.unix_millis(own.cast("timestamp")))
+    return scored.filter(~millis.between(at - tolerance, at + tolerance))

@@ -141,7 +141,10 @@ def daily_stats(candles: DataFrame) -> DataFrame:
 
 
 def exchange_performance(candles: DataFrame, quality: DataFrame, minutes: int = 5) -> DataFrame:
-    """Daily exchange totals with the day's quality score and the share of buckets that saw a trade."""
+    """Daily exchange totals with the day's quality score and the share of buckets that saw a trade.
+
+    A day without quality rows stays, with a null score.
+    """
     traded = _by_day(candles, "exchange").agg(
         F.sum("volume").alias("total_volume"),
         F.sum("trade_count").alias("total_trades"),
@@ -154,4 +157,4 @@ def exchange_performance(candles: DataFrame, quality: DataFrame, minutes: int =
             F.sum(F.col("quality_score") * F.col("total_records")), F.sum("total_records")
         ).alias("data_quality_score")
     )
-    return traded.join(scored, ["exchange", "date"])
+    return traded.join(scored, ["exchange", "date"], "left")

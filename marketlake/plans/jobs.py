@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from marketlake.config import INTERVAL_TABLES
 from marketlake.operators.candles import candles_all_intervals
 from marketlake.operators.indicators import indicators
+from marketlake.operators.quality import data_quality_metrics
+from marketlake.operators.rollups import daily_stats, exchange_performance
 from marketlake.operators.trades import prepare_trades
 from marketlake.session import configure
-from marketlake.sinks.lake import write_candles_parquet, write_warehouse
-from marketlake.sources.lake import read_batches
+from marketlake.sinks.lake import write_candles_parquet, write_metric_table, write_warehouse
+from marketlake.sources.lake import parse_date_partition, read_batches
 
 
 def candles_with_indicators(trades: DataFrame, intervals: tuple[int, ...] = tuple(INTERVAL_TABLES)) -> DataFrame:
@@ -33,8 +35,14 @@ def process_day(
     date_partition: str | None = None,
     warehouse_table: str | None = None,
 ) -> bool:
-    """Build a day's candle tables (yesterday by default); False when the day has no trades."""
-    trades = prepare_trades(read_batches(spark, raw_path, date_partition))
+    """Build a day's candle tables (yesterday by default); False when the day has no trades.
+
+    Only trades of the day itself enter, wherever they were filed: writing replaces whole days, and a stray of
+    another day would replace that day by itself.
+    """
+    day = parse_date_partition(date_partition)
+    records = read_batches(spark, raw_path, date_partition)
+    trades = prepare_trades(records.filter(F.to_date("ts") == F.lit(day)))
     if trades.isEmpty():
         return False
     # Candles are small next to the trades; both sinks read them without aggregating again.
@@ -48,13 +56,31 @@ def process_day(
     return True
 
 
+def store_metrics(scored: DataFrame, candles: DataFrame, prefix: str = "") -> None:
+    """Fill the three metric tables from scored records and 5-minute candles with indicators.
+
+    ``prefix`` goes before the tables' names, for a schema or a test. The days present are replaced.
+    """
+    quality = data_quality_metrics(scored).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        tables = {
+            "data_quality_metrics": quality,
+            "daily_stats": daily_stats(candles),
+            "exchange_performance": exchange_performance(candles, quality),
+        }
+        for name, rows in tables.items():
+            write_metric_table(rows, name, f"{prefix}{name}")
+    finally:
+        quality.unpersist()
+
+
 def main() -> None:
     """spark-submit entry point: one day of the lake to candle tables."""
     parser = argparse.ArgumentParser(description=main.__doc__)
     parser.add_argument("--raw", required=True, help="folder of landed documents")
     parser.add_argument("--processed", required=True, help="folder of the candle trees")
     parser.add_argument("--date", help="YYYY/MM/DD, yesterday when left out")
-    parser.add_argument("--table", help="catalog table to append 5-minute candles to")
+    parser.add_argument("--table", help="catalog table for 5-minute candles")
     args = parser.parse_args()
     spark = configure(SparkSession.builder.appName("marketlake-candles").getOrCreate())
     built = process_day(spark, args.raw, args.processed, args.date, args.table)

@@ -224,22 +224,28 @@ def latency_summary(samples: DataFrame, percentiles: tuple[int, ...] = (95, 99))
     Input: component, sent_at, done_at (times), latency_us (bigint, null for an error). A percentile is
     the value at position int(n * p / 100) of the sorted latencies. Latencies are first counted by value;
     positions then come from running counts inside value ranges of 2**20 microseconds, offset by the
-    ranges before, so no component is ever sorted in one task.
+    ranges before, so no component is ever sorted in one task. Totals come from the same counts, errors
+    being those of the null latency: the samples are read once.
     """
-    totals = samples.groupBy("component").agg(
-        F.count("latency_us").alias("records_processed"),
-        F.count_if(F.col("latency_us").isNull()).alias("errors"),
-        F.min(F.unix_micros(F.col("sent_at").cast("timestamp"))).alias("_from"),
-        F.max(F.unix_micros(F.col("done_at").cast("timestamp"))).alias("_to"),
-        F.avg("latency_us").alias("_avg"),
+    every = (
+        samples.groupBy("component", F.shiftright("latency_us", 20).alias("range"), "latency_us")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min(F.unix_micros(F.col("sent_at").cast("timestamp"))).alias("_from"),
+            F.max(F.unix_micros(F.col("done_at").cast("timestamp"))).alias("_to"),
+        )
+    )
+    good = F.col("latency_us").isNotNull()
+    totals = every.groupBy("component").agg(
+        F.coalesce(F.sum(F.when(good, F.col("n"))), F.lit(0)).alias("records_processed"),
+        F.coalesce(F.sum(F.when(~good, F.col("n"))), F.lit(0)).alias("errors"),
+        F.min("_from").alias("_from"),
+        F.max("_to").alias("_to"),
+        F.try_divide(F.sum(F.col("latency_us") * F.col("n")), F.sum(F.when(good, F.col("n")))).alias("_avg"),
         F.max("latency_us").alias("_max"),
         F.min("latency_us").alias("_min"),
     )
-    counted = (
-        samples.filter(F.col("latency_us").isNotNull())
-        .groupBy("component", F.shiftright("latency_us", 20).alias("range"), "latency_us")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    counted = every.filter(good).drop("_from", "_to")
     in_component = Window.partitionBy("component")
     ranges = (
         counted.groupBy("component", "range").agg(F.sum("n").alias("range_n"))
@@ -281,6 +287,8 @@ def latency_summary(samples: DataFrame, percentiles: tuple[int, ...] = (95, 99))
     )
 
 
-def latest_log_rows(rows: DataFrame, time: str, columns: tuple[str, ...], limit: int = 100) -> DataFrame:
-    """The newest rows; a top-k per task and one merge, not a full sort."""
-    return rows.orderBy(F.desc(time)).select(*columns).limit(limit)
+def latest_log_rows(
+    rows: DataFrame, time: str, columns: tuple[str, ...], limit: int = 100, ties: tuple[str, ...] = ()
+) -> DataFrame:
+    """The newest rows, rows of one time by ``ties``; a top-k per task and one merge, not a full sort."""
+    return rows.orderBy(F.desc(time), *[F.desc(c) for c in ties]).select(*columns).limit(limit)

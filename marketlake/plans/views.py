@@ -73,11 +73,11 @@ def top_performing_symbols(
         .filter(F.col("price_change_percentage").isNotNull())
         .select(
             "symbol", "exchange", F.to_date("interval_start").alias("date"), "price_change_percentage",
-            "volume", "rsi", "volatility",
+            "volume", "rsi", "volatility", "interval_start",
         )
-        .orderBy(F.desc("price_change_percentage"))
+        .orderBy(F.desc("price_change_percentage"), "symbol", "exchange", "interval_start")
     )
-    return ranked if top_k is None else ranked.limit(top_k)
+    return (ranked if top_k is None else ranked.limit(top_k)).drop("interval_start")
 
 
 def technical_indicators(candles: DataFrame, as_of: datetime | None = None) -> DataFrame:

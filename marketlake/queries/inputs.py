@@ -54,7 +54,7 @@ def raw_messages_from(events: DataFrame) -> DataFrame:
     """Wire messages, one per event, in the spelling of the event's exchange. Faults by event_id % 20."""
     t = trades_from(events).withColumn("fault", F.col("trade_id") % 20)
     fault, pair = F.col("fault"), F.upper("symbol")
-    millis = F.unix_millis(F.col("ts").cast("timestamp")) - F.when(fault == 5, 3_600_000).otherwise(0)
+    millis = F.unix_millis(F.col("ts").cast("timestamp")) - F.when(fault.isin(5, 11), 3_600_000).otherwise(0)
     iso = F.concat(
         F.date_format(F.timestamp_millis(millis), "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("Z")
     )
@@ -106,30 +106,36 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_records_from(events: DataFrame) -> DataFrame:
     """Published records as the stream carries them: base64 JSON, faults by event_id % 20.
 
-    ``now`` is the record's own time, so only fault 5 is late.
+    Beside the messages' faults: 10 and 11 have ISO times, 12 is no base64, 13 no UTF-8, 14 has a price far below
+    the least. ``now`` is the record's own time, so only faults 5 and 11 are late.
     """
     t = trades_from(events).withColumn("fault", F.col("trade_id") % 20)
     fault = F.col("fault")
-    millis = F.unix_millis(F.col("ts").cast("timestamp")) - F.when(fault == 5, 3_600_000).otherwise(0)
+    millis = F.unix_millis(F.col("ts").cast("timestamp")) - F.when(fault.isin(5, 11), 3_600_000).otherwise(0)
+    iso = F.concat(F.date_format(F.timestamp_millis(millis), "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("Z"))
+    stamp = F.when(fault.isin(10, 11), iso).otherwise(millis.cast("string"))
     exchange = F.when(fault == 7, "").otherwise(
         F.concat(F.lit('"exchange":"'), F.when(fault == 6, "other").otherwise(F.col("exchange")), F.lit('",'))
     )
     price = (
         F.when(fault == 0, "").when(fault == 1, '"price":null,').when(fault == 2, '"price":"n/a",')
-        .when(fault == 3, '"price":-1.0,')
+        .when(fault == 3, '"price":-1.0,').when(fault == 14, '"price":0.0005,')
         .otherwise(F.concat(F.lit('"price":'), F.col("price").cast("string"), F.lit(",")))
     )
     volume = F.when(fault == 4, "-1.0").otherwise(F.col("volume").cast("string"))
     payload = F.concat(
         F.lit("{"), exchange, F.lit('"symbol":"'), F.col("symbol"), F.lit('","timestamp":"'),
-        millis.cast("string"), F.lit('",'), price, F.lit('"volume":'), volume,
+        stamp, F.lit('",'), price, F.lit('"volume":'), volume,
         F.lit(',"bid":'), F.col("bid").cast("string"), F.lit(',"ask":'), F.col("ask").cast("string"),
         F.lit(',"trade_id":"'), F.col("trade_id").cast("string"), F.lit('"}'),
     )
     return t.select(
         F.col("trade_id").alias("record_id"),
         F.col("ts").cast("timestamp").alias("now"),
-        F.base64(F.when(fault == 9, "invalid json").otherwise(payload).cast("binary")).alias("data"),
+        F.when(fault == 12, "?? no base64 ??")
+        .when(fault == 13, F.base64(F.unhex(F.lit("FFFE7B7D"))))
+        .otherwise(F.base64(F.when(fault == 9, "invalid json").otherwise(payload).cast("binary")))
+        .alias("data"),
     )
 
 

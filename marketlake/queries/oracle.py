@@ -111,7 +111,7 @@ _INDICATORS = (
 # --- messages and records ------------------------------------------------------------------------
 
 _FAULTY = """src as (
-  select t.*, trade_id % 20 as fault, epoch_us(ts) // 1000 - case when trade_id % 20 = 5 then 3600000 else 0 end as ms
+  select t.*, trade_id % 20 as fault, epoch_us(ts) // 1000 - case when trade_id % 20 in (5, 11) then 3600000 else 0 end as ms
   from trades t)"""
 
 MESSAGES = (
@@ -177,17 +177,19 @@ RECORDS = (
     + _FAULTY
     + """, stream as (
   select trade_id as record_id, ts as now,
-         case when fault = 9 then 'invalid json' else
+         case when fault in (12, 13) then null when fault = 9 then 'invalid json' else
            '{' || case when fault = 7 then '' else
              '"exchange":"' || case when fault = 6 then 'other' else exchange end || '",' end
-           || '"symbol":"' || symbol || '","timestamp":"' || ms || '",'
-           || case fault when 0 then '' when 1 then '"price":null,' when 2 then '"price":"n/a",'
-                         when 3 then '"price":-1.0,' else '"price":' || price::varchar || ',' end
+           || '"symbol":"' || symbol || '","timestamp":"'
+           || case when fault in (10, 11) then strftime(epoch_ms(ms), '%Y-%m-%dT%H:%M:%S.%g') || 'Z' else ms::varchar end
+           || '",' || case fault when 0 then '' when 1 then '"price":null,' when 2 then '"price":"n/a",'
+                         when 3 then '"price":-1.0,'
+                         when 14 then '"price":0.0005,' else '"price":' || price::varchar || ',' end
            || '"volume":' || case when fault = 4 then '-1.0' else volume::varchar end
            || ',"bid":' || bid::varchar || ',"ask":' || ask::varchar || ',"trade_id":"' || trade_id || '"}' end as payload
   from src),
 fields as (
-  select record_id, now, payload, json_valid(payload) as ok,
+  select record_id, now, payload, coalesce(json_valid(payload), false) as ok,
          case when json_valid(payload) then payload end as j from stream),
 rec as (
   select record_id, now, payload, ok,
@@ -199,7 +201,9 @@ rec as (
          try_cast(json_extract_string(j, '$.volume') as double) as volume,
          try_cast(json_extract_string(j, '$.bid') as double) as bid,
          try_cast(json_extract_string(j, '$.ask') as double) as ask,
-         try_cast(json_extract_string(j, '$.timestamp') as bigint) as ms
+         try_cast(json_extract_string(j, '$.timestamp') as bigint) as millis,
+         coalesce(try_cast(json_extract_string(j, '$.timestamp') as bigint),
+                  epoch_ms(try_cast(json_extract_string(j, '$.timestamp') as timestamp))) as ms
   from fields),
 judged as (
   select *,
@@ -208,7 +212,8 @@ judged as (
          case when has_price and (price is null or price < 0.01 or price > 1000000) then 0.3::double
               else 0.0::double end as p_price,
          case when volume < 0 then 0.2::double else 0.0::double end as p_volume,
-         case when abs(epoch_us(now) // 1000 - ms) > 300000 then 0.1::double else 0.0::double end as p_time,
+         case when (ok and millis is null) or abs(epoch_us(now) // 1000 - millis) > 300000 then 0.1::double
+              else 0.0::double end as p_time,
          case when has_exchange and lower(exchange) not in ('binance', 'coinbase', 'kraken') then 0.2::double
               else 0.0::double end as p_exchange,
          case when not has_exchange then 'Missing required field: exchange' end as m_exchange_missing,
@@ -217,7 +222,8 @@ judged as (
               when price < 0.01 or price > 1000000
                 then 'Price ' || price::varchar || ' outside valid range [0.01, 1000000.0]' end as m_price,
          case when volume < 0 then 'Volume ' || volume::varchar || ' below minimum 0.0' end as m_volume,
-         case when abs(epoch_us(now) // 1000 - ms) > 300000 then 'Timestamp ' || ms::varchar || ' too old' end as m_time,
+         case when ok and millis is null then 'Invalid timestamp format'
+              when abs(epoch_us(now) // 1000 - millis) > 300000 then 'Timestamp ' || millis::varchar || ' too old' end as m_time,
          case when has_exchange and lower(exchange) not in ('binance', 'coinbase', 'kraken')
               then 'Invalid exchange: ' || exchange end as m_exchange
   from rec),
@@ -299,7 +305,7 @@ SQL["parse_event_time"] = f"""with {MESSAGES} select message_id, m_time as time_
   coalesce(epoch_ms(try_cast(m_time as bigint)), try_cast(m_time as timestamp)) as event_time from msg"""
 SQL["quarantine_malformed"] = f"""with {MESSAGES} select message_id, message from msg
   where j is null or (is_trade and (try_cast(m_price as double) is null or try_cast(m_volume as double) is null))"""
-SQL["admit_trade"] = f"with {MESSAGES} select {_NORM} from norm where exchange = 'binance' and {_ADMIT}"
+SQL["admit_trade"] = f"with {MESSAGES} select {_NORM} from norm where {_ADMIT}"
 SQL["union_feeds"] = f"with {MESSAGES} select {_NORM}, ts from norm where {_ADMIT}"
 SQL["partition_by_symbol"] = (
     f"with {TRADES} select symbol, count(*) as trades, {r6('sum(volume)', 'volume')} from trades group by symbol"
@@ -357,7 +363,7 @@ _DQ = f"""{RECORDS}, dq as (
          count(*) filter (status = 'valid') as valid_records, count(*) filter (status <> 'valid') as invalid_records,
          avg(quality_score) as quality_score, avg(price) as avg_price, avg(volume) as avg_volume,
          min(price) as min_price, max(price) as max_price
-  from scored where ok group by 1, 2, 3)"""
+  from scored group by 1, 2, 3)"""
 SQL["success_rate"] = f"""with {_DQ} select exchange, symbol, date,
   {r6("round(valid_records::decimal(20,0) / total_records * 100, 2)", "success_rate")} from dq"""
 
@@ -568,7 +574,7 @@ SQL["exchange_performance"] = f"""with {_DQ}, prepared as (
   from dq group by 1, 2)
   select exchange, date, {r6s('total_volume')}, total_trades,
   {r6s('avg_spread', 'avg_spread_percentage', 'uptime_percentage', 'data_quality_score')}
-  from traded join quality using (exchange, date)"""
+  from traded left join quality using (exchange, date)"""
 
 # --- indicators ----------------------------------------------------------------------------------
 
@@ -628,7 +634,7 @@ SQL["v_real_time_alerts"] = f"""{TABLE_5M} select {_SERIES},
   where interval_start >= {AS_OF} - interval '1 hour'
     and (abs(price_change_percentage) > 5 or rsi > 80 or rsi < 20 or volatility > {_LIMIT})"""
 SQL["latest_log_rows"] = (
-    "select ts, event_id, props from events where event_type = 'error' order by ts desc limit 100"
+    "select ts, event_id, props from events order by ts desc, event_id desc limit 100"
 )
 
 # --- sinks ---------------------------------------------------------------------------------------
@@ -652,8 +658,8 @@ def _decimal(column: str) -> str:
     if column in ("trade_count", "year", "month", "day", "hour"):
         return f"{column}::int as {column}"
     if column in ("avg_spread_percentage", "price_change_percentage", "rsi"):
-        return f"{column}::decimal(10,4)::double as {column}"
-    return f"{column}::decimal(20,8)::double as {column}"
+        return f"{column}::decimal(10,4)::varchar as {column}"
+    return f"round({column}::decimal(20,8), 6)::varchar as {column}"
 
 
 _BASE_COLUMNS = ["symbol", "exchange", "interval_start", "interval_end", "open", "high", "low", "close", "volume",
@@ -689,6 +695,53 @@ SQL["skip_empty"] = f"""with {_DAY_TRADES}, {_DAY_ALL}, al as ({_UNION})
   select {_NAME_CASE} as candle_table, count(*) as candles, sum(trade_count)::bigint as trades,
   true as skipped_empty, true as built from al group by 1"""
 
+_TWO_DAYS = _DAY_TRADES.replace("= date '2024-01-15'", "in (date '2024-01-14', date '2024-01-15')")
+SQL["process_two_days"] = f"""with {_TWO_DAYS}, {_DAY_ALL}, al as ({_UNION})
+  select {_NAME_CASE} as candle_table, year, month, day, count(*) as candles, sum(trade_count)::bigint as trades
+  from al group by 1, 2, 3, 4"""
+
+# Stored columns and types of the metric tables (fixed values); the day is the partition and comes last.
+_STORED = {
+    "data_quality_metrics": "exchange string, symbol string, total_records int, valid_records int, "
+    "invalid_records int, quality_score decimal(5,4), avg_price decimal(20,8), avg_volume decimal(20,8), "
+    "min_price decimal(20,8), max_price decimal(20,8), id string, date date",
+    "daily_stats": "symbol string, exchange string, open_price decimal(20,8), close_price decimal(20,8), "
+    "high_price decimal(20,8), low_price decimal(20,8), total_volume decimal(20,8), total_trades int, "
+    "price_change decimal(20,8), price_change_percentage decimal(10,4), avg_spread decimal(20,8), "
+    "avg_spread_percentage decimal(10,4), volatility decimal(20,8), rsi_avg decimal(10,4), id string, date date",
+    "exchange_performance": "exchange string, total_volume decimal(20,8), total_trades int, "
+    "avg_spread decimal(20,8), avg_spread_percentage decimal(10,4), data_quality_score decimal(5,4), "
+    "uptime_percentage decimal(5,2), id string, date date",
+}
+
+
+def _as_stored(types: str) -> str:
+    out = []
+    for name, kind in (part.split(" ") for part in types.split(", ")):
+        if kind == "decimal(20,8)":
+            out.append(f"round({name}::decimal(20,8), 6)::varchar as {name}")
+        elif kind.startswith("decimal"):
+            out.append(f"{name}::{kind}::varchar as {name}")
+        elif name != "id":
+            out.append(name)
+    return f"select {', '.join(out)}, '{types}' as types"
+
+
+def _unrounded(sql: str) -> str:
+    """The same query with its doubles as they are: a stored decimal is rounded once."""
+    return sql.replace("round(try_cast((", "((").replace(")::double as decimal(38,9)), 6)::double", ")::double)")
+
+
+for _name, _rows in (
+    ("data_quality_metrics", f"with {_DQ} {_as_stored(_STORED['data_quality_metrics'])} from dq"),
+    ("daily_stats", f"with rows as ({_unrounded(SQL['daily_stats'])}) {_as_stored(_STORED['daily_stats'])} from rows"),
+    (
+        "exchange_performance",
+        f"with rows as ({_unrounded(SQL['exchange_performance'])}) {_as_stored(_STORED['exchange_performance'])} from rows",
+    ),
+):
+    SQL[f"stored_{_name}"] = f"{_rows} where date is not null"
+
 # --- monitoring ----------------------------------------------------------------------------------
 
 _METRICS = f"""{RECORDS}, metrics as (
@@ -702,16 +755,24 @@ _METRICS = f"""{RECORDS}, metrics as (
 SQL["metric_rollup"] = f"""with {_METRICS} select name, exchange, time_bucket(interval '1 hour', now) as period_start,
   {r6('avg(value)', 'avg')}, {r6('sum(value)', 'sum')}, {r6('max(value)', 'max')}, {r6('min(value)', 'min')},
   count(value) as samples from metrics group by 1, 2, 3"""
-_ALARM = f"""{_METRICS}, periods as (
-  select name, time_bucket(interval '1 hour', now) as period_start, sum(value) as value from metrics
-  where name = 'InvalidRecords' group by 1, 2),
+
+
+def _alarm(metric: str, statistic: str, breach: str) -> str:
+    return f"""{_METRICS}, periods as (
+  select name, time_bucket(interval '1 hour', now) as period_start, {statistic}(value) as value from metrics
+  where name = '{metric}' group by 1, 2),
 alarm as (
-  select *, value > 1 as breach,
-         count(*) filter (value > 1) over (order by period_start
+  select *, value {breach} as breach,
+         count(*) filter (value {breach}) over (order by period_start
            range between interval '1 hour' preceding and current row) as n
   from periods)"""
+
+
+_ALARM = _alarm("InvalidRecords", "sum", "> 1")
 _ALARM_OUT = f"name, period_start, {r6s('value')}, breach, case when n >= 2 then 'ALARM' else 'OK' end as state"
 SQL["metric_alarm"] = f"with {_ALARM} select {_ALARM_OUT} from alarm"
+SQL["metric_alarm_lag"] = f"with {_alarm('LagMilliseconds', 'max', '> 60000')} select {_ALARM_OUT} from alarm"
+SQL["metric_alarm_data_quality"] = f"with {_alarm('DataQualityScore', 'avg', '< 0.8')} select {_ALARM_OUT} from alarm"
 
 
 def _status(value: str, warning: str, critical: str) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -198,43 +199,41 @@ def _(spark, sf_dir):
 
 @query("canonical_symbol")
 def _(spark, sf_dir):
-    rows = _per_feed(spark, sf_dir, lambda df, name: FD.normalize(df, FEEDS[name]))
+    rows = FD.normalize_feeds(I.raw_messages(spark, sf_dir))
     return rows.groupBy("exchange", "symbol").agg(F.count(F.lit(1)).alias("trades"))
 
 
 @query("source_quality_score")
 def _(spark, sf_dir):
-    def score(df: DataFrame, name: str) -> DataFrame:
-        parsed = FD.parse_feed(df, FEEDS[name]).filter(F.col("record").isNotNull())
-        return parsed.select("message_id", q.source_score(F.col("record"), FEEDS[name]).alias("quality_score"))
-
-    return _per_feed(spark, sf_dir, score)
+    parsed = FD.parse_feeds(I.raw_messages(spark, sf_dir)).filter(F.col("record").isNotNull())
+    score = FD.by_feed(lambda feed: q.source_score(F.col("record"), feed))
+    return parsed.select("message_id", score.alias("quality_score"))
 
 
 @query("parse_event_time")
 def _(spark, sf_dir):
-    def times(df: DataFrame, name: str) -> DataFrame:
-        text = parsing.field(parsing.json_map(F.col("message")), FEEDS[name].time)
-        return df.select("message_id", text.alias("time_text"), parsing.event_time(text).alias("event_time"))
-
-    return _per_feed(spark, sf_dir, times)
+    parsed = FD.parse_feeds(I.raw_messages(spark, sf_dir))
+    texts = parsed.select("message_id", FD.by_feed(lambda f: parsing.field(F.col("record"), f.time)).alias("time_text"))
+    return texts.withColumn("event_time", parsing.event_time(F.col("time_text")))
 
 
 @query("quarantine_malformed")
 def _(spark, sf_dir):
-    return _per_feed(spark, sf_dir, lambda df, name: FD.quarantine(df, FEEDS[name])).select("message_id", "message")
+    parsed = FD.parse_feeds(I.raw_messages(spark, sf_dir))
+    return parsed.filter(F.col("status") == FD.STATUS_BAD).select("message_id", "message")
 
 
 @query("admit_trade")
 def _(spark, sf_dir):
-    rows = FD.normalize(feed_messages(spark, sf_dir, "binance"), FEEDS["binance"], keep=("message_id",))
+    rows = FD.normalize_feeds(I.raw_messages(spark, sf_dir), keep=("message_id",))
     return TR.admit_trades(rows).select(*_TRADE_OUT)
 
 
 @query("union_feeds")
 def _(spark, sf_dir):
-    messages = {name: feed_messages(spark, sf_dir, name) for name in FEEDS}
-    return FD.union_feeds(messages, keep=("message_id",)).select(*_TRADE_OUT, "ts")
+    """All feeds of one table in a single pass."""
+    rows = FD.admit_feeds(I.raw_messages(spark, sf_dir), keep=("message_id",))
+    return rows.select(*_TRADE_OUT, "ts")
 
 
 @query("partition_by_symbol")
@@ -245,10 +244,8 @@ def _(spark, sf_dir):
 
 @query("ingest_stats")
 def _(spark, sf_dir):
-    def sent(df: DataFrame, name: str) -> DataFrame:
-        return FD.parse_feed(df, FEEDS[name]).filter(F.col("status") != FD.STATUS_IGNORED).select("status")
-
-    return FD.ingest_stats(_per_feed(spark, sf_dir, sent), F.col("status") == FD.STATUS_OK)
+    parsed = FD.parse_feeds(I.raw_messages(spark, sf_dir)).filter(F.col("status") != FD.STATUS_IGNORED)
+    return FD.ingest_stats(parsed, F.col("status") == FD.STATUS_OK)
 
 
 # --- projections and predicates ------------------------------------------------------------------
@@ -359,7 +356,7 @@ def _(spark, sf_dir):
 
 @query("split_valid_invalid")
 def _(spark, sf_dir):
-    routed = Q.split_valid_invalid(scored(spark, sf_dir))
+    routed = Q.split_valid_invalid(scored(spark, sf_dir), dlq_enabled=True)
     valid = routed.valid.select("record_id", "status", F.lit(None).cast("string").alias("reason"))
     return valid.unionByName(routed.failed)
 
@@ -599,8 +596,8 @@ def _(spark, sf_dir):
 
 @query("latest_log_rows")
 def _(spark, sf_dir):
-    rows = I.table(spark, sf_dir, "events").filter(F.col("event_type") == "error")
-    return M.latest_log_rows(rows, "ts", ("ts", "event_id", "props"))
+    rows = I.table(spark, sf_dir, "events")
+    return M.latest_log_rows(rows, "ts", ("ts", "event_id", "props"), ties=("event_id",))
 
 
 # --- sinks ---------------------------------------------------------------------------------------
@@ -610,8 +607,8 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     rows = FD.decode_stream(I.stream_records(spark, sf_dir)).filter(F.col("record").isNotNull())
     record = F.col("record")
-    stamp = parsing.whole_number(parsing.field(record, "timestamp"))
-    at = landing_time(stamp, q.has(record, "timestamp"), F.col("now"))
+    own = parsing.event_time(parsing.field(record, "timestamp"))
+    at = landing_time(own, q.has(record, "timestamp"), F.col("now"))
     key = partition_key(parsing.field(record, "exchange"), parsing.field(record, "symbol"), at)
     return rows.select("record_id", key.alias("partition_key"))
 
@@ -638,11 +635,12 @@ def _(spark, sf_dir):
 
 @query("write_warehouse")
 def _(spark, sf_dir):
-    """5-minute candles appended to a catalog table and read back."""
-    path = work_path(spark, "warehouse")
+    """5-minute candles written to a catalog table, half of the days twice, and read back."""
+    table = f"candles_5min_{uuid.uuid4().hex}"
     rows = candle_table(spark, sf_dir)
-    K.with_surrogate_id(K.project_candle_table(rows, 5)).write.mode("append").parquet(path)
-    stored = spark.read.parquet(path)
+    K.write_warehouse(rows, table)
+    K.write_warehouse(rows.filter(F.col("day") % 2 == 0), table)
+    stored = spark.table(table)
     return stored.groupBy("symbol", "exchange").agg(
         F.count(F.lit(1)).alias("candles"),
         F.count_distinct("id").alias("ids"),
@@ -688,6 +686,38 @@ def _(spark, sf_dir):
     )
 
 
+@query("process_two_days")
+def _(spark, sf_dir):
+    """The daily job over two days, run in either order and once again; ISO times are part of both days."""
+    lake, out = raw_lake(spark, sf_dir), work_path(spark, "two-days")
+    for day in ("2024/01/15", "2024/01/14", "2024/01/15"):
+        jobs.process_day(spark, lake, out, day)
+    return spark.read.parquet(out).groupBy("candle_table", "year", "month", "day").agg(
+        F.count(F.lit(1)).alias("candles"), F.sum("trade_count").alias("trades")
+    )
+
+
+def _metric_table(name: str, build: Query) -> None:
+    @query(f"stored_{name}")
+    def _(spark, sf_dir):
+        """Written to a catalog table twice and read back in its stored types."""
+        table = f"{name}_{uuid.uuid4().hex}"
+        rows = build(spark, sf_dir)
+        K.write_metric_table(rows, name, table)
+        K.write_metric_table(rows, name, table)
+        stored = spark.table(table)
+        types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stored.schema.fields if f.name != "created_at")
+        return stored.drop("id", "created_at").withColumn("types", F.lit(types))
+
+
+_metric_table("data_quality_metrics", quality_table)
+_metric_table("daily_stats", lambda spark, sf_dir: R.daily_stats(candle_table(spark, sf_dir)))
+_metric_table(
+    "exchange_performance",
+    lambda spark, sf_dir: R.exchange_performance(candle_table(spark, sf_dir), quality_table(spark, sf_dir)),
+)
+
+
 # --- monitoring ----------------------------------------------------------------------------------
 
 
@@ -696,13 +726,20 @@ def _(spark, sf_dir):
     return M.metric_rollup(metric_rows(spark, sf_dir), 3600)
 
 
-@query("metric_alarm")
-def _(spark, sf_dir):
-    rollup = M.metric_rollup(M.across_dimensions(metric_rows(spark, sf_dir)), 3600)
-    rule = ALARMS["errors"]
-    return M.metric_alarm(rollup, type(rule)(rule.metric, rule.statistic, rule.threshold, rule.above, 3600)).drop(
-        "exchange"
-    )
+def _alarm(rule_name: str) -> Query:
+    def build(spark, sf_dir):
+        rollup = M.metric_rollup(M.across_dimensions(metric_rows(spark, sf_dir)), 3600)
+        rule = ALARMS[rule_name]
+        return M.metric_alarm(rollup, type(rule)(rule.metric, rule.statistic, rule.threshold, rule.above, 3600)).drop(
+            "exchange"
+        )
+
+    return build
+
+
+query("metric_alarm")(_alarm("errors"))
+query("metric_alarm_lag")(_alarm("lag"))
+query("metric_alarm_data_quality")(_alarm("data_quality"))
 
 
 def _health(name: str, build: Callable[[SparkSession, str, Column], DataFrame], detail: str) -> None:
@@ -747,7 +784,7 @@ def _(spark, sf_dir):
 
 @query("latency_summary")
 def _(spark, sf_dir):
-    """Each trade's time to the next trade of its symbol as latency; error events as errors."""
+    """Latencies made of each trade's price and microseconds; one trade in twenty is an error without a latency."""
     ticks = I.trades(spark, sf_dir)
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     failed = F.col("trade_id") % 20 == 9
@@ -763,9 +800,23 @@ def _(spark, sf_dir):
 # --- streams -------------------------------------------------------------------------------------
 
 
+#: Micro-batches that a stream query gets its events in.
+STREAM_FILES = 4
+
+
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = I.table(spark, sf_dir, "events").schema
-    return file_stream(spark, sf_dir, schema, glob="events.parquet")
+    """All events in order of time, a quarter in each micro-batch."""
+    events = I.table(spark, sf_dir, "events")
+
+    def write(path: str) -> None:
+        shares = [i / STREAM_FILES for i in range(1, STREAM_FILES)]
+        micros = F.unix_micros(F.col("ts").cast("timestamp"))
+        cuts = events.agg(F.percentile_approx(micros, shares).alias("q")).first()["q"] or []
+        part = sum(((micros > cut).cast("int") for cut in cuts), F.lit(0))
+        for n in range(len(cuts) + 1):  # one after the other: a stream takes files by their age
+            events.filter(part == n).coalesce(1).write.mode("append").parquet(path)
+
+    return file_stream(spark, _once(spark, sf_dir, "event-files", write), events.schema, files_per_batch=1)
 
 
 def _cores(spark: SparkSession) -> int:
@@ -812,7 +863,9 @@ def _(spark, sf_dir):
 def _quality_stream(spark: SparkSession, sf_dir: str) -> STQ.StreamPaths:
     def write(path: str) -> None:
         source = I.stream_records_from(_event_stream(spark, sf_dir))
-        STQ.stream_quality(spark, source, STQ.StreamPaths(path), now=F.col("now")).awaitTermination()
+        STQ.stream_quality(
+            spark, source, STQ.StreamPaths(path), now=F.col("now"), dlq_enabled=True
+        ).awaitTermination()
 
     return STQ.StreamPaths(_once(spark, sf_dir, "stream-quality", write))
 

@@ -34,16 +34,6 @@ BATCH_DOCUMENT = _struct(
     ("partition", _S),
 )
 
-METRIC = _struct(
-    ("name", _S), ("value", _D), ("unit", _S), ("timestamp", T.TimestampType()),
-    ("dimensions", T.MapType(_S, _S)),
-)
-
-HEALTH = _struct(
-    ("component", _S), ("status", _S), ("message", _S),
-    ("details", T.MapType(_S, _S)), ("checked_at", T.TimestampType()),
-)
-
 # All directory levels a landed record can be filed under, and the ones used by default. A directory per
 # series and hour makes tiny files at scale; the full key stays in each document's ``partition`` field.
 PARTITION_COLUMNS = ("exchange", "symbol", "year", "month", "day", "hour")
@@ -76,6 +66,28 @@ CANDLE_TABLE_COLUMNS = {
     1440: (*_BASE, *_TREND, *_MOMENTUM, *_OSCILLATORS, "year", "month", "day"),
 }
 
+# Columns and natural keys of the stored metric tables (fixed values).
+METRIC_TABLE_COLUMNS = {
+    "data_quality_metrics": (
+        "exchange", "symbol", "date", "total_records", "valid_records", "invalid_records", "quality_score",
+        "avg_price", "avg_volume", "min_price", "max_price",
+    ),
+    "daily_stats": (
+        "symbol", "exchange", "date", "open_price", "close_price", "high_price", "low_price", "total_volume",
+        "total_trades", "price_change", "price_change_percentage", "avg_spread", "avg_spread_percentage",
+        "volatility", "rsi_avg",
+    ),
+    "exchange_performance": (
+        "exchange", "date", "total_volume", "total_trades", "avg_spread", "avg_spread_percentage",
+        "data_quality_score", "uptime_percentage",
+    ),
+}
+METRIC_TABLE_KEYS = {
+    "data_quality_metrics": ("exchange", "symbol", "date"),
+    "daily_stats": ("symbol", "exchange", "date"),
+    "exchange_performance": ("exchange", "date"),
+}
+
 _PERCENT_COLUMNS = {"avg_spread_percentage", "price_change_percentage", "rsi", "rsi_avg"}
 _INTEGER_COLUMNS = {
     "trade_count", "year", "month", "day", "hour", "total_trades",

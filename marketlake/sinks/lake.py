@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,19 +16,19 @@ DOCUMENT_RECORDS = 100
 
 
 def documents(
-    records: DataFrame, at: Column, limit: int = DOCUMENT_RECORDS, splits: int = 8
+    records: DataFrame, at: Column, limit: int = DOCUMENT_RECORDS
 ) -> DataFrame:
     """Envelope documents of at most ``limit`` records, with their directory levels as columns.
 
-    A partition key (exchange, symbol, hour) can hold any number of records. They are first spread over
-    ``splits`` hash groups, each group is numbered and cut every ``limit`` records, and only those few are
-    collected into one row. Numbering and collecting share one shuffle.
+    A partition key (exchange, symbol, hour) can hold any number of records. What one input task has of a key
+    is a group: it is numbered and cut every ``limit`` records, and only those few are collected into one row.
+    So no task gets more of a key than an input task had, and numbering and collecting share one shuffle.
     """
     levels = partition_columns(F.col("exchange"), F.col("symbol"), F.col("landed"))
     key = partition_key(F.col("exchange"), F.col("symbol"), F.col("landed"))
     names = [f"_{name}" for name in levels]
     keyed = records.withColumns({f"_{name}": c for name, c in levels.items()}).withColumns(
-        {"_key": key, "_split": F.pmod(F.xxhash64("trade_id", "landed"), F.lit(splits))}
+        {"_key": key, "_split": F.spark_partition_id()}
     )
     group = ["_key", "_split"]
     numbered = keyed.withColumn(
@@ -60,24 +61,26 @@ def write_raw_json(
     records: DataFrame,
     path: str,
     at: Column | None = None,
-    batch: str = "0",
+    batch: str | None = None,
     limit: int = DOCUMENT_RECORDS,
     levels: Sequence[str] = schemas.DATE_LEVELS,
 ) -> None:
     """Land records as JSON documents under the given directory levels and a batch level.
 
-    The batch level makes a repeated write of the same batch replace its own files and no others.
+    A batch has a folder of its own above those levels, so a repeated write of a batch replaces its files,
+    all of them and no others, even where its records are filed under another day this time. A write without
+    a label is a batch of its own.
     """
     docs = documents(records, F.current_timestamp() if at is None else at, limit)
     fields = schemas.BATCH_DOCUMENT.fieldNames()
     # Rebalancing keeps a directory's documents together yet splits an oversized one.
     (
-        docs.select(*fields, *levels, F.lit(batch).alias("batch"))
+        docs.select(*fields, *levels)
         .hint("rebalance", *levels)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*levels, "batch")
-        .json(path)
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*levels)
+        .json(f"{path}/batch={batch or uuid.uuid4().hex}")
     )
 
 
@@ -102,8 +105,12 @@ def project_candle_table(candles: DataFrame, minutes: int) -> DataFrame:
 
 
 def with_surrogate_id(df: DataFrame, key: tuple[str, ...] = ("symbol", "exchange", "interval_start")) -> DataFrame:
-    """Row id and creation time. The id is a hash of the natural key: the same row gets the same id again."""
-    return df.withColumns({"id": F.xxhash64(*key), "created_at": F.current_timestamp()})
+    """Row id and creation time. The id is a 128-bit hash of the natural key: the same row gets the same id again.
+
+    Ids that are counted up would need all rows in order; 64 bits would collide at billions of rows.
+    """
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in key]
+    return df.withColumns({"id": F.md5(F.concat_ws("\x1f", *parts)), "created_at": F.current_timestamp()})
 
 
 def write_candles_parquet(candles: DataFrame, root: str) -> None:
@@ -123,10 +130,36 @@ def candle_path(root: str, minutes: int) -> str:
     return f"{root}/candle_table={INTERVAL_TABLES[minutes]}"
 
 
-def write_warehouse(candles: DataFrame, table: str, minutes: int = 5, mode: str = "append") -> None:
-    """Append an interval's candles to a catalog table."""
-    rows = with_surrogate_id(project_candle_table(candles, minutes))
-    rows.write.mode(mode).option("compression", "zstd").format("parquet").saveAsTable(table)
+def _replace_days(rows: DataFrame, table: str, levels: Sequence[str]) -> None:
+    """Write rows to a catalog table partitioned by day; days that it has already are replaced, others stay."""
+    spark = rows.sparkSession
+    if not spark.catalog.tableExists(table):
+        rows.write.option("compression", "zstd").format("parquet").partitionBy(*levels).saveAsTable(table)
+        return
+    # Dynamic overwrite is a session setting of configure(); inserting goes by position.
+    rows.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+
+
+def write_warehouse(candles: DataFrame, table: str, minutes: int = 5) -> None:
+    """An interval's candles in a catalog table. A day that is written again is replaced, so reruns leave no doubles."""
+    _replace_days(with_surrogate_id(project_candle_table(candles, minutes)), table, ("year", "month", "day"))
+
+
+def project_metric_table(rows: DataFrame, table: str) -> DataFrame:
+    """The stored columns of ``data_quality_metrics``, ``daily_stats`` or ``exchange_performance`` in their types."""
+    kinds = {name: schemas.storage_type(name) for name in schemas.METRIC_TABLE_COLUMNS[table]}
+    return rows.select(*[F.col(n) if k is None else F.col(n).cast(k).alias(n) for n, k in kinds.items()])
+
+
+def write_metric_table(rows: DataFrame, table: str, catalog_table: str | None = None) -> None:
+    """One of the three metric tables with id and creation time; days written again are replaced.
+
+    Records without a day (unreadable ones) have no place in a table by day and are left out here.
+    """
+    key = schemas.METRIC_TABLE_KEYS[table]
+    stored = with_surrogate_id(project_metric_table(rows.filter("date is not null"), table), key)
+    ordered = stored.hint("rebalance", "date").sortWithinPartitions("date", key[0])
+    _replace_days(ordered, catalog_table or table, ("date",))
 
 
 def write_jdbc(candles: DataFrame, url: str, table: str, minutes: int = 5, mode: str = "append", **options) -> None:

@@ -10,11 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake import schemas
-from marketlake.functions.calendar import calendar_parts
 from marketlake.functions.parsing import event_time
 
 
-
 def read_documents(spark: SparkSession, path: str, levels: Sequence[str] = schemas.DATE_LEVELS) -> DataFrame:
     """Landed batch documents with their directory levels as columns."""
     # Levels are read as text: symbols like "1e5" or months like "01" stay what they are.
@@ -68,7 +66,3 @@ def infer_raw_schema(spark: SparkSession, path: str) -> DataFrame:
 def scan_candles(spark: SparkSession, path: str, columns: tuple[str, ...] = ("*",)) -> DataFrame:
     """Rows of a stored candle table; only the named columns are read."""
     return spark.read.parquet(path).select(*columns)
-
-
-def with_calendar(df: DataFrame, column: str = "interval_start") -> DataFrame:
-    return df.withColumns(calendar_parts(F.col(column)))

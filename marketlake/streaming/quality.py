@@ -105,8 +105,9 @@ def stream_quality(
     paths: StreamPaths,
     now: Column | None = None,
     bounds: QualityBounds = QualityBounds(),
-    dlq_enabled: bool = True,
+    dlq_enabled: bool = False,
     chunk_seconds: int = 300,
+    encoding: str = "base64",
     **trigger,
 ) -> StreamingQuery:
     """Consume (record_id, data, ...) rows and fill the lake, failed, late, metrics and stats folders.
@@ -117,7 +118,14 @@ def stream_quality(
     prices = CarriedPrices(spark, paths.prices, chunk_seconds)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        scored = score_records(decode_stream(batch), bounds, moment).persist(StorageLevel.MEMORY_AND_DISK)
+        decoded = decode_stream(batch, encoding=encoding)
+        scored = score_records(decoded, bounds, moment).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_all(scored, batch_id)
+        finally:
+            scored.unpersist()
+
+    def write_all(scored: DataFrame, batch_id: int) -> None:
         routed = split_valid_invalid(scored, dlq_enabled=dlq_enabled)
         valid = add_live_spread(typed_records(routed.valid, moment)).withColumn("processed_at", F.current_timestamp())
         label = f"{batch_id:012d}"
@@ -131,7 +139,6 @@ def stream_quality(
         ):
             rows.write.mode("overwrite").parquet(f"{getattr(paths, name)}/batch={batch_id}")
         prices.advance(valid, batch_id)
-        scored.unpersist()
 
     return run_batches(source, step, paths.checkpoint, cache=False, **trigger)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from threading import Lock
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -25,17 +26,29 @@ def file_stream(
     return reader.options(**{k: v for k, v in options.items() if v is not None}).load(path)
 
 
-def broker_stream(spark: SparkSession, servers: str, topic: str, records_per_batch: int = 500) -> DataFrame:
-    """A message broker topic from its latest position; the key is the symbol, the value the payload."""
-    return (
+def broker_stream(
+    spark: SparkSession, servers: str, topic: str, records_per_batch: int | None = None
+) -> DataFrame:
+    """A message broker topic from its latest position, as (record_id, partition_key, data).
+
+    The value is the payload as text (decode it with ``encoding="plain"``, or "base64" where producers encode),
+    the key the symbol. ``records_per_batch`` bounds a micro-batch over the whole topic.
+    """
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "latest")
-        .option("maxOffsetsPerTrigger", records_per_batch)
-        .load()
-        .selectExpr("concat_ws('-', topic, partition, offset) AS record_id", "CAST(value AS STRING) AS data")
     )
+    if records_per_batch is not None:
+        reader = reader.option("maxOffsetsPerTrigger", records_per_batch)
+    return reader.load().selectExpr(
+        "concat_ws('-', topic, partition, offset) AS record_id", "CAST(key AS STRING) AS partition_key",
+        "CAST(value AS STRING) AS data",
+    )
+
+
+_starting = Lock()
 
 
 @contextmanager
@@ -43,16 +56,19 @@ def state_partitions(spark: SparkSession, count: int | None) -> Iterator[None]:
     """Start a stream with this many state partitions (fixed for its lifetime by its first batch).
 
     A stream copies the session settings when it starts, so the session's own value is put back at once.
+    One stream is started at a time, so that none takes another's value.
     """
     if count is None:
         yield
         return
-    setting, before = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set(setting, str(count))
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
+    setting = "spark.sql.shuffle.partitions"
+    with _starting:
+        before = spark.conf.get(setting)
+        spark.conf.set(setting, str(count))
+        try:
+            yield
+        finally:
+            spark.conf.set(setting, before)
 
 
 def run_batches(

@@ -141,12 +141,12 @@ def test_lower_threshold_fails_unreadable_price(spark):
 
 def test_routing_and_stats(spark):
     scored = _scored(spark, GOOD, {**GOOD, "price": -1.0}, "not json", {**GOOD, "exchange": "it's"})
-    routed = Q.split_valid_invalid(scored)
+    routed = Q.split_valid_invalid(scored, dlq_enabled=True)
     assert routed.valid.count() == 2
     reasons = {r.record_id: r.reason for r in routed.failed.collect()}
     assert reasons[1] == "Data quality validation failed: ['Price -1.0 outside valid range [0.01, 1000000.0]']"
     assert reasons[2].startswith("Processing error")
-    assert Q.split_valid_invalid(scored, dlq_enabled=False).failed.count() == 1
+    assert Q.split_valid_invalid(scored).failed.count() == 1
     stats = Q.batch_stats(scored).first()
     assert (stats.total_records, stats.valid_records, stats.invalid_records) == (4, 2, 2)
     assert stats.alert == "High error rate detected: 2/4 records failed"
@@ -201,14 +201,54 @@ def test_tick_statistics_by_definition(spark, chunk):
             assert got[key][name] == (None if value is None else pytest.approx(value, abs=1e-9)), (key, name)
 
 
-def test_chunk_length_follows_density(spark):
-    base = int(NOW.timestamp())
-    df = spark.range(10_000).select(
-        F.lit("hot").alias("symbol"), F.timestamp_seconds(F.lit(base) + F.floor(F.col("id") / 10)).alias("ts")
-    )
-    assert E.pick_chunk_seconds(df, ["symbol"], "ts", target_rows=20_000) == 86_400
-    assert E.pick_chunk_seconds(df, ["symbol"], "ts", target_rows=700) == 60
-    assert E.pick_chunk_seconds(df, ["symbol"], "ts", target_rows=1) == 1
+def test_ticks_are_read_once(spark, tmp_path):
+    """The tails of the chunks come from the shuffle that the windows read too."""
+    path = str(tmp_path / "ticks")
+    rows = [(i, "hot", NOW + timedelta(seconds=90 * i), float(i), "more") for i in range(300)]
+    spark.createDataFrame(rows, "trade_id bigint, symbol string, ts timestamp_ntz, price double, other string").write.parquet(path)
+    df = E.tick_enrich(spark.read.parquet(path)).select("trade_id", "symbol", "sma_5", "sma_10")
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("Initial Plan")[0]
+    assert final.count("Scan parquet") == 1 and "ReusedExchange" in final
+
+
+def test_feeds_of_one_table_are_read_once(spark, tmp_path):
+    path = str(tmp_path / "messages")
+    binance = '{"e":"trade","s":"BTCUSDT","p":"1.5","q":"2","T":1640995200000,"t":"1"}'
+    coinbase = '{"type":"match","product_id":"BTC-USD","price":"3","size":"1","time":"2022-01-01T00:00:00.000Z","trade_id":"2"}'
+    rows = [("binance", binance), ("coinbase", coinbase), ("binance", coinbase), ("nobody", binance), ("kraken", "x")]
+    spark.createDataFrame(rows, "feed string, message string").write.parquet(path)
+    messages = spark.read.parquet(path)
+    once = FD.admit_feeds(messages)
+    parts = FD.union_feeds({name: messages.filter(F.col("feed") == name) for name in FD.FEEDS})
+    assert sorted(map(str, once.collect())) == sorted(map(str, parts.collect())) and once.count() == 2
+    assert once._jdf.queryExecution().executedPlan().toString().count("Scan parquet") == 1
+
+
+@pytest.mark.parametrize("data,plain", [("?? no base64 ??", False), ("//57fQ==", False), ("e30", False), (None, False), ("", True), (None, True)])
+def test_no_payload_ends_the_batch(spark, data, plain):
+    df = spark.createDataFrame([(1, data)], "record_id bigint, data string")
+    scored = Q.score_records(FD.decode_stream(df, encoding="plain" if plain else "base64"), now=F.current_timestamp())
+    assert [r.status for r in scored.collect()] in ([Q.FAILED], [Q.INVALID])
+
+
+def test_plain_payloads(spark):
+    df = spark.createDataFrame([(1, json.dumps(GOOD))], "record_id bigint, data string")
+    assert FD.decode_stream(df, encoding="plain").first().record["exchange"] == GOOD["exchange"]
+
+
+def test_iso_times_can_be_late(spark):
+    scored = _scored(spark, {**GOOD, "timestamp": (NOW - timedelta(days=1)).isoformat() + "Z"}, {**GOOD, "timestamp": NOW.isoformat() + "Z"})
+    assert Q.late_records(scored, F.lit(NOW.isoformat(sep=" ")).cast("timestamp")).count() == 1
+
+
+def test_number_texts(spark):
+    from marketlake.functions.parsing import plain_decimal_text
+
+    values = [0.0005, 0.0001, 0.00005, 1.5e-7, -1.0, 12.5, 1e7, 123456789.25, 1e15, 1e16, 2e22, 0.0, 1e-100]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v double").select(plain_decimal_text(F.col("v"))).collect()]
+    assert got == [str(v) for v in values]
 
 
 def test_symbol_lookup_matches_both_spellings(spark):

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketlake import schemas
-from marketlake.functions.parsing import whole_number
+from marketlake.functions.parsing import event_time
 from marketlake.functions.paths import landing_time, partition_key
 from marketlake.operators.candles import candles
 from marketlake.operators.indicators import indicators
@@ -37,7 +37,7 @@ def _records(spark, n=450, hot=400, start=datetime(2024, 1, 15, 22)):
 def test_partition_key(spark):
     rows = [("binance", "btcusdt", "1640995200000", True), (None, None, None, False), ("b", "s", "soon", True)]
     df = spark.createDataFrame(rows, "e string, s string, t string, present boolean")
-    at = landing_time(whole_number(F.col("t")), F.col("present"), F.lit(NOW).cast("timestamp"))
+    at = landing_time(event_time(F.col("t")), F.col("present"), F.lit(NOW).cast("timestamp"))
     keys = [r[0] for r in df.select(partition_key(F.col("e"), F.col("s"), at)).collect()]
     assert keys == [
         "binance/btcusdt/year=2022/month=01/day=01/hour=00",
@@ -133,6 +133,7 @@ def test_warehouse_table(spark):
     spark.sql("DROP TABLE IF EXISTS ohlcv_test")
     K.write_warehouse(rows.filter("day = 15"), "ohlcv_test")
     K.write_warehouse(rows.filter("day = 16"), "ohlcv_test")
+    K.write_warehouse(rows.filter("day = 16"), "ohlcv_test")  # a rerun leaves no doubles
     stored = spark.table("ohlcv_test")
     assert stored.count() == rows.count()
     assert stored.select("id").distinct().count() == rows.count()
@@ -162,6 +163,70 @@ def test_daily_job(spark, tmp_path):
     assert spark.table("job_5min").agg(F.sum("trade_count")).first()[0] == 450
 
 
+def test_daily_job_leaves_other_days_alone(spark, tmp_path):
+    """A trade of the evening that lands after midnight, with an ISO time, belongs to its own day only."""
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    schema = "exchange string, symbol string, timestamp string, price double, volume double, trade_id string"
+    evening = [("binance", "btcusdt", f"2024-01-14T23:00:{i % 60:02d}.000Z", 100.0 + i, 1.0, str(i)) for i in range(100)]
+    stray = [("coinbase", "btcusd", "2024-01-14T23:59:59.900Z", 50.0, 1.0, "s")]
+    after = [("binance", "btcusdt", "1705276801000", 99.0, 1.0, "n")]
+
+    def land(rows, batch):
+        records = spark.createDataFrame(rows, schema)
+        own = event_time(F.col("timestamp"))
+        records = records.withColumn("landed", landing_time(own, F.lit(True), F.lit("2024-01-15 00:00:05").cast("timestamp")))
+        K.write_raw_json(records.withColumn("quality_score", F.lit(0.9)), raw, batch=batch)
+
+    def daily():
+        rows = L.scan_candles(spark, K.candle_path(out, 1440)).groupBy("day").agg(F.sum("trade_count").alias("n"))
+        return {r.day: r.n for r in rows.collect()}
+
+    land(evening, "0")
+    assert process_day(spark, raw, out, "2024/01/14") and daily() == {14: 100}
+    land(stray + after, "1")
+    assert process_day(spark, raw, out, "2024/01/15") and daily() == {14: 100, 15: 1}
+    assert process_day(spark, raw, out, "2024/01/14") and daily() == {14: 101, 15: 1}
+
+
+def test_a_batch_landed_again_under_another_day_leaves_no_doubles(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    for start in (datetime(2024, 1, 15), datetime(2024, 1, 16)):
+        K.write_raw_json(_records(spark, start=start), path, batch="7")
+    days = L.read_documents(spark, path).select("day").distinct().collect()
+    assert [r.day for r in days] == ["16"]
+
+
+def test_metric_tables(spark):
+    day = date(2024, 1, 15)
+    quality = spark.createDataFrame(
+        [("x", "s", day, 4, 3, 1, 0.875, 1.5, 2.0, 1.0, 2.0), ("unknown", "unknown", None, 1, 0, 1, None, None, None, None, None)],
+        "exchange string, symbol string, date date, total_records bigint, valid_records bigint, invalid_records bigint, "
+        "quality_score double, avg_price double, avg_volume double, min_price double, max_price double",
+    )
+    spark.sql("DROP TABLE IF EXISTS dq_test")
+    for _ in range(2):
+        K.write_metric_table(quality, "data_quality_metrics", "dq_test")
+    stored = spark.table("dq_test")
+    types = dict(stored.dtypes)
+    assert (types["quality_score"], types["avg_price"], types["total_records"]) == ("decimal(5,4)", "decimal(20,8)", "int")
+    row = stored.collect()
+    assert len(row) == 1 and row[0].created_at is not None and len(row[0].id) == 32
+
+
+def test_store_metrics(spark):
+    from marketlake.operators.quality import score_records
+    from marketlake.plans.jobs import store_metrics
+    from marketlake.sources.feeds import decode_stream
+
+    record = '{"exchange":"binance","symbol":"btcusdt","timestamp":"1705313400000","price":1.5,"volume":2}'
+    rows = decode_stream(spark.createDataFrame([(1, record), (2, "no json")], "record_id long, data string"), encoding="plain")
+    store_metrics(score_records(rows, now=F.lit("2024-01-15 10:10:00").cast("timestamp")), _hourly(spark), "m_")
+    counts = {name: spark.table(f"m_{name}").count() for name in schemas.METRIC_TABLE_COLUMNS}
+    assert counts["data_quality_metrics"] == 1 and counts["daily_stats"] > 0 and counts["exchange_performance"] > 0
+    for name in counts:
+        spark.sql(f"DROP TABLE m_{name}")
+
+
 def test_work_paths_follow_the_session_setting(spark):
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert shared_root(spark) == root

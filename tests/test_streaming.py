@@ -151,7 +151,7 @@ def test_stream_quality_outputs(spark, tmp_path):
     path = _files(spark, str(tmp_path / "in"), rows, RECORD_SCHEMA, 2)
     stream = file_stream(spark, path, spark.read.parquet(path).schema, files_per_batch=1)
     paths = STQ.StreamPaths(str(tmp_path / "run"))
-    STQ.stream_quality(spark, stream, paths, now=F.col("now")).awaitTermination()
+    STQ.stream_quality(spark, stream, paths, now=F.col("now"), dlq_enabled=True).awaitTermination()
     landed = L.read_batches(spark, paths.lake, "*")
     failed = spark.read.parquet(paths.failed)
     broken = sum(1 for i in range(160) if i % 40 == 9)

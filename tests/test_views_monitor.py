@@ -114,6 +114,8 @@ def test_exchange_uptime(spark):
     )
     row = R.exchange_performance(_table(spark, rows), quality).first()
     assert row.uptime_percentage == 50.0 and row.data_quality_score == pytest.approx(0.875)
+    gap = R.exchange_performance(_table(spark, rows), quality.filter("false")).first()
+    assert gap.uptime_percentage == 50.0 and gap.data_quality_score is None
 
 
 def _metrics(spark, rows):
