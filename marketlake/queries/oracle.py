@@ -652,14 +652,19 @@ SQL["write_warehouse"] = f"""with {PREPARED}, {candles(5)} select symbol, exchan
   count(*) as ids, {r6('sum(volume)', 'volume')} from candles group by 1, 2"""
 
 
+def _decimal_text(expr: str, stored: int) -> str:
+    """A decimal stored with so many digits, which it gets by way of nine, as text of six at most."""
+    return f"round(round(try_cast(({expr})::double as decimal(38,9)), {stored}), {min(stored, 6)})::varchar"
+
+
 def _decimal(column: str) -> str:
     if column in ("symbol", "exchange", "interval_start", "interval_end"):
         return column
     if column in ("trade_count", "year", "month", "day", "hour"):
         return f"{column}::int as {column}"
     if column in ("avg_spread_percentage", "price_change_percentage", "rsi"):
-        return f"{column}::decimal(10,4)::varchar as {column}"
-    return f"round({column}::decimal(20,8), 6)::varchar as {column}"
+        return f"{_decimal_text(column, 4)} as {column}"
+    return f"{_decimal_text(column, 8)} as {column}"
 
 
 _BASE_COLUMNS = ["symbol", "exchange", "interval_start", "interval_end", "open", "high", "low", "close", "volume",
@@ -719,9 +724,9 @@ def _as_stored(types: str) -> str:
     out = []
     for name, kind in (part.split(" ") for part in types.split(", ")):
         if kind == "decimal(20,8)":
-            out.append(f"round({name}::decimal(20,8), 6)::varchar as {name}")
+            out.append(f"{_decimal_text(name, 8)} as {name}")
         elif kind.startswith("decimal"):
-            out.append(f"{name}::{kind}::varchar as {name}")
+            out.append(f"{_decimal_text(name, int(kind[-2]))} as {name}")
         elif name != "id":
             out.append(name)
     return f"select {', '.join(out)}, '{types}' as types"
@@ -856,13 +861,15 @@ from total left join picked using (component)"""
 _CLOSED = f"interval_end <= {AS_OF} - interval '5 minutes'"
 SQL["stream_candles"] = SQL["ohlcv_1h"] + f" where {_CLOSED}"
 SQL["stream_indicators"] = SQL["indicators_1h"] + f" where {_CLOSED}"
+# Micro-batches come one after the other, each with the events of eight days; a late record is late in its own.
+_ARRIVED_TICKS = f"with {_VALID}, {ticks('valid', '(day(now) - 1) // 8, ms, trade_id')}"
 SQL["stateful_enrich"] = (
-    f"{_VALID_TICKS} select trade_id, symbol, {r6s('price')}, {r6s(*_TICK_COLUMNS)} from ticks"
+    f"{_ARRIVED_TICKS} select trade_id, symbol, {r6s('price')}, {r6s(*_TICK_COLUMNS)} from ticks"
 )
 SQL["late_data"] = (
     f"with {RECORDS} select record_id, {r6s('quality_score')} from scored where abs(epoch_us(now) // 1000 - ms) > 300000"
 )
-SQL["stream_quality"] = f"{_VALID_TICKS} select {_RECORD_OUT}, {_LIVE_SPREAD}, {r6s(*_TICK_COLUMNS)} from ticks"
+SQL["stream_quality"] = f"{_ARRIVED_TICKS} select {_RECORD_OUT}, {_LIVE_SPREAD}, {r6s(*_TICK_COLUMNS)} from ticks"
 SQL["stream_quality_failed"] = (
     f"with {RECORDS} select record_id, status, {_REASON} as reason from scored where status <> 'valid'"
 )

@@ -800,21 +800,18 @@ def _(spark, sf_dir):
 # --- streams -------------------------------------------------------------------------------------
 
 
-#: Micro-batches that a stream query gets its events in.
-STREAM_FILES = 4
+#: Days of a month whose events a stream query gets in one micro-batch.
+STREAM_DAYS = 8
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events in order of time, a quarter in each micro-batch."""
+    """All events in several micro-batches, one for each run of days of the month."""
     events = I.table(spark, sf_dir, "events")
 
     def write(path: str) -> None:
-        shares = [i / STREAM_FILES for i in range(1, STREAM_FILES)]
-        micros = F.unix_micros(F.col("ts").cast("timestamp"))
-        cuts = events.agg(F.percentile_approx(micros, shares).alias("q")).first()["q"] or []
-        part = sum(((micros > cut).cast("int") for cut in cuts), F.lit(0))
-        for n in range(len(cuts) + 1):  # one after the other: a stream takes files by their age
-            events.filter(part == n).coalesce(1).write.mode("append").parquet(path)
+        part = F.floor((F.dayofmonth("ts") - 1) / STREAM_DAYS)
+        for n in range(0, 31, STREAM_DAYS):  # one after the other: a stream takes files by their age
+            events.filter(part == n // STREAM_DAYS).coalesce(1).write.mode("append").parquet(path)
 
     return file_stream(spark, _once(spark, sf_dir, "event-files", write), events.schema, files_per_batch=1)
 

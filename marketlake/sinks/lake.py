@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlake import schemas
 from marketlake.config import INTERVAL_TABLES
@@ -100,10 +101,18 @@ def project_candle_table(candles: DataFrame, minutes: int) -> DataFrame:
     columns = []
     for name in schemas.CANDLE_TABLE_COLUMNS[minutes]:
         kind = schemas.storage_type(name)
-        columns.append(F.col(name) if kind is None else F.col(name).cast(kind).alias(name))
+        columns.append(_as_stored(name, kind))
     return candles.select(*columns)
 
 
+def _as_stored(name: str, kind: T.DataType | None) -> Column:
+    """A column in its storage type. A decimal is rounded from nine digits, which the order of a sum can't change."""
+    if kind is None:
+        return F.col(name)
+    value = F.round(name, 9) if isinstance(kind, T.DecimalType) else F.col(name)
+    return value.cast(kind).alias(name)
+
+
 def with_surrogate_id(df: DataFrame, key: tuple[str, ...] = ("symbol", "exchange", "interval_start")) -> DataFrame:
     """Row id and creation time. The id is a 128-bit hash of the natural key: the same row gets the same id again.
 
@@ -148,7 +157,7 @@ def write_warehouse(candles: DataFrame, table: str, minutes: int = 5) -> None:
 def project_metric_table(rows: DataFrame, table: str) -> DataFrame:
     """The stored columns of ``data_quality_metrics``, ``daily_stats`` or ``exchange_performance`` in their types."""
     kinds = {name: schemas.storage_type(name) for name in schemas.METRIC_TABLE_COLUMNS[table]}
-    return rows.select(*[F.col(n) if k is None else F.col(n).cast(k).alias(n) for n, k in kinds.items()])
+    return rows.select(*[_as_stored(name, kind) for name, kind in kinds.items()])
 
 
 def write_metric_table(rows: DataFrame, table: str, catalog_table: str | None = None) -> None:
