@@ -124,8 +124,8 @@ def batch_stats(scored: DataFrame, alert_share: float = 0.1) -> DataFrame:
     ).withColumn("alert", F.when((F.col("total_records") > 0) & (bad > alert_share), text))
 
 
-def emit_metrics(scored: DataFrame, at: Column) -> DataFrame:
-    """METRIC rows of a batch: per exchange for valid records, totals for all.
+def emit_metrics(scored: DataFrame, at: Column, processing_seconds: float | None = None) -> DataFrame:
+    """METRIC rows of a batch: per exchange for valid records, totals for all, and how long it took if given.
 
     One grouping by exchange yields every row, so the records are read once; a second grouping over those
     few rows adds up the totals.
@@ -155,10 +155,13 @@ def emit_metrics(scored: DataFrame, at: Column) -> DataFrame:
         row("DataQualityScore", F.col("score"), "None", F.col("exchange")),
     ]
     rows = F.when(F.col("exchange").isNull(), F.array(*totals)).otherwise(F.array(*totals, *own))
+    times = [] if processing_seconds is None else [("ProcessingTime", "Seconds", None, float(processing_seconds))]
+    took = scored.sparkSession.createDataFrame(times, "name string, unit string, exchange string, value double")
     return (
         per_exchange.select(F.inline(rows))
         .groupBy("name", "unit", "exchange")
         .agg(F.sum("value").alias("value"))
+        .unionByName(took)
         .select(
             "name",
             "value",
@@ -221,11 +224,12 @@ def data_quality_metrics(scored: DataFrame) -> DataFrame:
     )
 
 
-def validation_error_types(scored: DataFrame) -> DataFrame:
-    """How often each kind of validation error occurred."""
+def validation_error_types(scored: DataFrame, at: Column | None = None, period_seconds: int = 300) -> DataFrame:
+    """How often each kind of validation error occurred; with ``at``, the records' time, in each period."""
+    period = [] if at is None else [F.window(at, f"{period_seconds} seconds")["start"].alias("period_start")]
     return (
-        scored.select(F.explode("errors").alias("message"))
-        .groupBy(error_type(F.col("message")).alias("error_type"))
+        scored.select(F.explode("errors").alias("message"), *([] if at is None else [at]))
+        .groupBy(*period, error_type(F.col("message")).alias("error_type"))
         .agg(F.count(F.lit(1)).alias("errors"))
     )
 

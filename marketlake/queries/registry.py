@@ -110,7 +110,7 @@ def raw_lake(spark: SparkSession, sf_dir: str) -> str:
 
     def write(path: str) -> None:
         records = valid_typed(spark, sf_dir)
-        K.write_raw_json(TR.add_live_spread(records), path, F.lit("2024-02-01").cast("timestamp"))
+        K.write_raw_json(TR.add_live_spread(records), path, F.lit("2024-02-01").cast("timestamp"), batch="first")
 
     return _once(spark, sf_dir, "lake", write)
 
@@ -368,7 +368,7 @@ def _(spark, sf_dir):
 
 @query("emit_metrics")
 def _(spark, sf_dir):
-    rows = Q.emit_metrics(scored(spark, sf_dir), F.lit("2024-02-01").cast("timestamp"))
+    rows = Q.emit_metrics(scored(spark, sf_dir), F.lit("2024-02-01").cast("timestamp"), processing_seconds=1.5)
     return rows.select("name", "value", "unit", F.try_element_at("dimensions", F.lit("Exchange")).alias("exchange"))
 
 
@@ -766,6 +766,11 @@ def _(spark, sf_dir):
     return Q.validation_error_types(scored(spark, sf_dir))
 
 
+@query("validation_error_periods")
+def _(spark, sf_dir):
+    return Q.validation_error_types(scored(spark, sf_dir), at=F.col("now"))
+
+
 @query("symbol_coverage")
 def _(spark, sf_dir):
     return M.symbol_coverage(I.trades(spark, sf_dir), 3600)
@@ -825,18 +830,24 @@ def _paths(spark: SparkSession, label: str) -> STQ.StreamPaths:
     return STQ.StreamPaths(work_path(spark, label))
 
 
-@query("stream_candles")
-def _(spark, sf_dir):
-    paths = _paths(spark, "stream-candles")
-    rows = STC.stream_candles(I.trades_from(_event_stream(spark, sf_dir)), 60)
-    writer = (
-        rows.writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", paths.checkpoint).option("path", paths.candles).trigger(availableNow=True)
-    )
-    with state_partitions(spark, _cores(spark)):
-        running = writer.start()
-    running.awaitTermination()
-    return spark.read.parquet(paths.candles)
+def _stream_candles(minutes: int) -> Query:
+    def build(spark, sf_dir):
+        paths = _paths(spark, "stream-candles")
+        rows = STC.stream_candles(I.trades_from(_event_stream(spark, sf_dir)), minutes)
+        writer = (
+            rows.writeStream.format("parquet").outputMode("append")
+            .option("checkpointLocation", paths.checkpoint).option("path", paths.candles).trigger(availableNow=True)
+        )
+        with state_partitions(spark, _cores(spark)):
+            running = writer.start()
+        running.awaitTermination()
+        return spark.read.parquet(paths.candles)
+
+    return build
+
+
+query("stream_candles")(_stream_candles(60))
+query("stream_candles_5m")(_stream_candles(5))
 
 
 @query("stream_indicators")

@@ -56,9 +56,9 @@ def read_batches(
     return explode_records(documents)
 
 
-def infer_raw_schema(spark: SparkSession, path: str) -> DataFrame:
-    """Columns and types found in the landed documents and their directories."""
-    found = spark.read.json(path).schema
+def infer_raw_schema(spark: SparkSession, path: str, sample: float = 1.0) -> DataFrame:
+    """Columns and types found in the landed documents and their directories, from a share of the documents."""
+    found = spark.read.option("samplingRatio", sample).json(path).schema
     rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(found.fields)]
     return spark.createDataFrame(rows, "position int, column_name string, data_type string, nullable boolean")
 

@@ -7,6 +7,7 @@ micro-batch is therefore cut into time chunks like any other hot series and is n
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -126,6 +127,7 @@ def stream_quality(
             scored.unpersist()
 
     def write_all(scored: DataFrame, batch_id: int) -> None:
+        started = time.monotonic()
         routed = split_valid_invalid(scored, dlq_enabled=dlq_enabled)
         valid = add_live_spread(typed_records(routed.valid, moment)).withColumn("processed_at", F.current_timestamp())
         label = f"{batch_id:012d}"
@@ -134,11 +136,12 @@ def stream_quality(
         for name, rows in (
             ("failed", routed.failed),
             ("late", late_records(scored, moment, bounds).select("record_id", "payload", "quality_score")),
-            ("metrics", emit_metrics(scored, at)),
             ("stats", batch_stats(scored)),
         ):
             rows.write.mode("overwrite").parquet(f"{getattr(paths, name)}/batch={batch_id}")
         prices.advance(valid, batch_id)
+        metrics = emit_metrics(scored, at, time.monotonic() - started)
+        metrics.write.mode("overwrite").parquet(f"{paths.metrics}/batch={batch_id}")
 
     return run_batches(source, step, paths.checkpoint, cache=False, **trigger)
 

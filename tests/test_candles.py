@@ -24,6 +24,7 @@ def _trades(spark, prices, volumes, step=timedelta(seconds=1), symbol="btcusdt",
 
 
 def test_golden_candle(spark):
+    # Fixed values of the golden candle.
     trades = _trades(spark, [50000, 50100, 49900, 50050, 50150], [1.0, 1.5, 0.8, 1.2, 1.8])
     row = C.candles(trades, 5).first()
     assert (row.open, row.high, row.low, row.close) == (50000.0, 50150.0, 49900.0, 50150.0)
