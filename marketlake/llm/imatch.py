@@ -11,7 +11,6 @@ fingerprint too, for documents that differ in size. Likeness is the share of equ
 from __future__ import annotations
 
 import hashlib
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,7 +30,8 @@ SUBSETS = 24
 #: Place of rows without doc_id: after all others.
 LAST = -(1 << 63)
 
-_WORD = re.compile(r"\w+")
+#: Words are runs of letters, digits, _ and any character beyond ASCII; all other bytes become spaces.
+_TO_WORDS = bytes(c if c >= 128 or chr(c).isalnum() or c == ord("_") else 32 for c in range(256))
 _MASK = (1 << SLOT_BITS) - 1
 # Odd multipliers, one a subset, from a fixed seed.
 _MULTIPLIERS = np.random.default_rng(42).integers(1, 1 << 63, SUBSETS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -39,8 +39,10 @@ _MULTIPLIERS = np.random.default_rng(42).integers(1, 1 << 63, SUBSETS, dtype=np.
 
 def terms(text: str) -> np.ndarray:
     """The distinct slots of a text's words, sorted."""
-    words = set(_WORD.findall(text.lower()))
-    return np.unique(np.fromiter((zlib.crc32(w.encode("utf-8", "replace")) & _MASK for w in words), np.int64, len(words)))
+    words = set(text.lower().encode("utf-8", "replace").translate(_TO_WORDS).split())
+    slots = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) & _MASK
+    slots.sort()
+    return slots[np.flatnonzero(np.diff(slots, prepend=-1))]
 
 
 def _count_documents(batches):
@@ -78,10 +80,24 @@ class Lexicon:
         return np.unpackbits(np.frombuffer(self.bits, np.uint8)).astype(bool)
 
 
+def _mixed(values: np.ndarray) -> np.ndarray:
+    values = values ^ (values >> np.uint64(32))
+    return values * np.uint64(0x9E3779B97F4A7C15)
+
+
 def _hashes(kept: np.ndarray, mixed: np.ndarray, level: int) -> list[str]:
-    """Hash of the terms in each subset of a level; empty where there is none."""
-    chosen = mixed >> np.uint64(64 - level) == 0 if level else np.ones(mixed.shape, bool)
-    return [f"{zlib.crc32(kept[row].tobytes()):08x}" if row.any() else "" for row in chosen]
+    """Hash of the sorted terms in each subset of a level; empty where there is none.
+
+    A subset's hash is a polynomial of its terms, the place among them being the power.
+    """
+    chosen = mixed < np.uint64(1 << (64 - level)) if level else np.ones(mixed.shape, bool)
+    subset, term = np.nonzero(chosen)
+    sizes = np.bincount(subset, minlength=len(chosen))
+    place = np.arange(len(subset)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    parts = _mixed(kept[term] + np.uint64(1)) * _mixed(2 * place.astype(np.uint64) + np.uint64(1))
+    ends = np.concatenate([np.zeros(1, np.uint64), np.cumsum(parts)])[np.cumsum(sizes)]
+    sums = ends - np.concatenate([np.zeros(1, np.uint64), ends[:-1]])
+    return [f"{h:08x}" if n else "" for h, n in zip((_mixed(sums) >> np.uint64(32)).tolist(), sizes.tolist())]
 
 
 def fingerprint(text: str, known: np.ndarray) -> str:
@@ -91,9 +107,8 @@ def fingerprint(text: str, known: np.ndarray) -> str:
     if not len(kept):
         return f"-:{zlib.crc32(own.tobytes()):08x}"
     level = int(np.log2(len(kept))) + 1
-    mixed = (kept.astype(np.uint64)[None, :] + np.uint64(1)) * _MULTIPLIERS[:, None]
-    mixed ^= mixed >> np.uint64(32)
-    mixed *= np.uint64(0x9E3779B97F4A7C15)
+    kept = kept.astype(np.uint64)
+    mixed = _mixed((kept[None, :] + np.uint64(1)) * _MULTIPLIERS[:, None])
     return ";".join(f"{n}:{','.join(_hashes(kept, mixed, n))}" for n in (level, level + 1))
 
 
