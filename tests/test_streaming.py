@@ -164,7 +164,9 @@ def test_stream_quality_outputs(spark, tmp_path):
     totals = spark.read.parquet(paths.stats).agg(F.sum("total_records"), F.sum("invalid_records")).first()
     assert tuple(totals) == (160, broken + invalid)
     names = {r[0] for r in spark.read.parquet(paths.metrics).select("name").distinct().collect()}
-    assert names == {"RecordsProcessed", "DataQualityScore", "TotalRecords", "ValidRecords", "InvalidRecords"}
+    assert names == {
+        "RecordsProcessed", "DataQualityScore", "TotalRecords", "ValidRecords", "InvalidRecords", "ProcessingTime",
+    }
     single = E.enrich_records(STQ.valid_records(spark.createDataFrame(rows, RECORD_SCHEMA), F.col("now")))
     assert landed.agg(F.count("volatility")).first()[0] == single.agg(F.count("volatility")).first()[0]
 
