@@ -161,7 +161,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Factori
     for label, share in shares.items():
         kept = kept | ((F.col("toxic") == label) & (chance < share))
     chosen = F.broadcast(labels.where(kept))
-    to_terms = F.arrow_udf(_terms_of_batches, "array<long>")
+    to_terms = F.arrow_udf(_terms_of_batches, "array<int>")
     found = (
         docs.select("doc_id", "text").join(chosen, "doc_id")
         .select("doc_id", to_terms("text").alias("terms"), F.col("toxic").cast("int").alias("toxic"))
@@ -174,7 +174,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Factori
 
 def _terms_of_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
-        yield pa.array([terms(value.as_py()).tolist() for value in batch], pa.list_(pa.int64()))
+        yield pa.array([terms(value.as_py()).tolist() for value in batch], pa.list_(pa.int32()))
 
 
 def rate(docs: DataFrame, model: FactorizationMachine) -> DataFrame:
