@@ -9,14 +9,15 @@ from marketlake.llm.common import field, stored, whole_row
 from marketlake.llm.language import UNDETERMINED, LanguageModel, identify
 from marketlake.llm.line_dedup import dedup_lines
 from marketlake.llm.mixing import mix
+from marketlake.llm.near_copies import near_copies
 from marketlake.llm.packing import pack
-from marketlake.llm.simhash import keep_one, near_groups
+from marketlake.llm.simhash import keep_one
 
 #: Documents whose language is less likely than this are rejected.
 LEAST_SCORE = 0.5
-#: Near copies share 0.8 of their five-word shingles: their fingerprints of 3 x 64 bits then differ in 29 bits on
-#: average. Of two such, one of twelve blocks differs in one bit at most in 98 of 100 cases.
-NEAR = {"words": 5, "prints": 3, "bits_apart": 30, "each": 4, "reach": 1, "shard_rows": 65_536}
+#: Near copies share 0.8 of their five-word shingles, which is checked. The search sees 4 x 64 SimHash bits: at 0.8 they
+#: differ in 39 bits on average, and of such pairs 3 in a million differ in over 2 bits in each of the 16 blocks.
+NEAR = {"words": 5, "prints": 4, "each": 4, "reach": 2, "bits_apart": 72, "shard_rows": 262_144}
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +42,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: that with the smallest doc_id. Texts without words are one group."""
-    return keep_one(docs, near_groups(docs, **NEAR))
+    return keep_one(docs, near_copies(docs, **NEAR))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

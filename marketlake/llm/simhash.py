@@ -54,27 +54,35 @@ def _remixed(hashes: np.ndarray, n: int) -> np.ndarray:
     return hashes
 
 
-def fingerprint(text: str, words: int, prints: int = 1, seed: int = 42) -> np.ndarray:
-    """SimHash of a text's word shingles, repeats counted, in ``prints`` numbers of 64 bits; 0 without words."""
+def shingle_hashes(text: str, words: int, seed: int = 42) -> np.ndarray:
+    """Hashes of a text's word shingles in order, repeats too; none without words."""
     from xxhash import xxh64_digest
 
     split = text.encode("utf-8", "replace").lower().split()
     if not split:
-        return np.zeros(prints, np.uint64)
+        return np.zeros(0, np.uint64)
     whole = b" ".join(split)
     lengths = np.fromiter(map(len, split), np.int64, len(split))
     ends = np.cumsum(lengths) + np.arange(len(split))
     starts = ends - lengths
     size = min(words, len(split))
-    first, last = starts[: len(split) - size + 1], ends[size - 1 :]
+    first, last = starts[: len(split) - size + 1].tolist(), ends[size - 1 :].tolist()
+    return np.frombuffer(b"".join([xxh64_digest(whole[s:e], seed) for s, e in zip(first, last)]), ">u8").astype(np.uint64)
+
+
+def majority(hashes: np.ndarray, prints: int = 1) -> np.ndarray:
+    """The bits that most of some hashes have, in ``prints`` numbers of 64 bits; 0 without hashes."""
     ones = np.zeros((prints, BITS), np.int64)
-    for at in range(0, len(first), 16_384):
-        spans = zip(first[at : at + 16_384].tolist(), last[at : at + 16_384].tolist())
-        hashes = np.frombuffer(b"".join([xxh64_digest(whole[s:e], seed) for s, e in spans]), ">u8")
+    for at in range(0, len(hashes), 16_384):
         for n in range(prints):
-            digests = _remixed(hashes, n).astype(">u8").view(np.uint8).reshape(-1, 8)
+            digests = _remixed(hashes[at : at + 16_384], n).astype(">u8").view(np.uint8).reshape(-1, 8)
             ones[n] += np.unpackbits(digests, axis=1).sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * ones > len(first), axis=1).view(">u8").astype(np.uint64).ravel()
+    return np.packbits(2 * ones > len(hashes), axis=1).view(">u8").astype(np.uint64).ravel()
+
+
+def fingerprint(text: str, words: int, prints: int = 1, seed: int = 42) -> np.ndarray:
+    """SimHash of a text's word shingles, repeats counted, in ``prints`` numbers of 64 bits; 0 without words."""
+    return majority(shingle_hashes(text, words, seed), prints)
 
 
 def _names(prints: int) -> list[str]:
@@ -195,12 +203,14 @@ def _points(batch: pa.RecordBatch | pa.Table, prints: int) -> np.ndarray:
     return np.stack([np.asarray(batch.column(n).to_numpy(), np.int64) for n in _names(prints)]).view(np.uint64)
 
 
-def _router(blocks: list[Block], prints: int):
-    schema = pa.schema([("shard", pa.int32()), ("home", pa.bool_()), *_longs(_names(prints))[1]])
+def _router(blocks: list[Block], prints: int, others: tuple[str, ...] = ()):
+    """Fingerprints by shard; ``others`` are further columns of numbers that go with them."""
+    schema = pa.schema([("shard", pa.int32()), ("home", pa.bool_()), *_longs([*_names(prints), *others])[1]])
 
     def run(batches):
         for batch in batches:
             points = _points(batch, prints)
+            carried = [batch.column(n).to_numpy() for n in others]
             found: list[tuple[int, bool, np.ndarray]] = []
 
             def walk(node: Node | int, values: np.ndarray, reach: int, home: np.ndarray, visit: np.ndarray) -> None:
@@ -218,6 +228,7 @@ def _router(blocks: list[Block], prints: int):
             for shard, home, rows in found:
                 if len(rows):
                     own = [pa.array(x) for x in np.ascontiguousarray(points[:, rows]).view(np.int64)]
+                    own += [pa.array(x[rows]) for x in carried]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(rows), shard, np.int32)), pa.array(np.full(len(rows), home)), *own],
                         schema=schema,

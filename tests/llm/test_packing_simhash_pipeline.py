@@ -12,7 +12,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 import corpus_pipeline as pipeline
-from marketlake.llm import packing, simhash
+from marketlake.llm import near_copies, packing, simhash
 from marketlake.llm.common import stored
 
 # --- packing -------------------------------------------------------------------------------------
@@ -252,6 +252,49 @@ def test_pipeline_stages(spark):
     assert sum(r.length for r in packed) == sum(len(ids_of(r.text)) for r in mixed)
 
 
+def planted(shared, own, at):
+    """Two texts of distinct words; their sets have ``shared`` shingles in common and ``own`` more each."""
+    words = [f"w{at}x{i}" for i in range(shared + 4)]
+    return [" ".join([*words, *(f"{side}{at}y{i}" for i in range(own))]) for side in "ab"]
+
+
+def test_near_dedup_decides_by_the_shingles(spark):
+    """Pairs of a Jaccard similarity of 0.75 stay, pairs of 0.80 and 0.85 lose one."""
+    kinds = {0.75: (150, 25), 0.80: (160, 20), 0.85: (170, 15)}
+    rows, pair_of = [], {}
+    for kind, (shared, own) in kinds.items():
+        for _ in range(60):
+            for text in planted(shared, own, len(rows)):
+                pair_of[len(rows)] = (kind, len(rows) // 2)
+                rows.append((len(rows), text, "en", "a", len(text)))
+    kept = Counter(pair_of[r.doc_id] for r in pipeline.near_dedup(spark, cases.frame(spark, rows), "").collect())
+    assert len(kept) == 180
+    for kind in kinds:
+        assert {n for (k, _), n in kept.items() if k == kind} == {2 if kind < 0.8 else 1}
+
+
+def test_near_dedup_links_like_all_pairs(spark):
+    """Chains, a large group, short texts and repeats, over several shards."""
+    rng = random.Random(6)
+    texts = [" ".join(f"v{rng.randrange(3000)}" for _ in range(rng.choice([6, 9, 14, 60, 200]))) for _ in range(150)]
+    for _ in range(250):
+        words = rng.choice(texts).split()
+        words[rng.randrange(len(words))] = "changed"
+        texts.append(" ".join(words + ["more"] * rng.randrange(2)))
+    hot = texts[0].split() * 3 + [f"h{i}" for i in range(200)]
+    texts += [" ".join([*hot, f"last{i}"]) for i in range(400)] + ["", " ", None, texts[3], texts[3]]
+    docs = cases.frame(spark, [(i, t, "en", "a", 0) for i, t in enumerate(texts)])
+    got = defaultdict(set)
+    for r in near_copies.near_copies(docs, **{**pipeline.NEAR, "shard_rows": 100}).collect():
+        got[r.component].add(r.doc_id)
+    sets = [{" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := (t or "").split()) else set() for t in texts]
+    linked = [(i, j) for i in range(len(sets)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    expected = defaultdict(set)
+    for i, root in enumerate(components(len(sets), linked)):
+        expected[root].add(i)
+    assert {frozenset(x) for x in got.values()} == {frozenset(x) for x in expected.values()}
+
+
 def test_pipeline_of_nothing(spark):
     assert [df.count() for _, df in ran(spark, cases.empty(spark), "packing")] == [0] * 5
 
