@@ -46,10 +46,16 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it. A last pass that takes under half of its words is left out."""
+    """Each document as often as the mix takes it. A last pass that takes under half of its words is left out.
+
+    Rows are written by shard, and inside a shard in the order of its shuffle: files in order of their names are
+    the shards one after the other, each in as many files as it is large.
+    """
     drawn = mix(docs, carry=True)
     passes = F.filter("draws", lambda d: 2 * d["words"] >= F.col("size"))
-    return drawn.select("row", F.explode(passes)).select(*[field(c) for c in docs.columns])
+    taken = stored(drawn.select("row", F.explode(passes).alias("draw")), "draws")
+    place = [F.col("draw.shard"), F.col("draw.shuffle_key")]
+    return taken.repartitionByRange(*place).sortWithinPartitions(*place).select(*[field(c) for c in docs.columns])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

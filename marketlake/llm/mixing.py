@@ -93,7 +93,7 @@ def mix(
 
     ``carry`` adds that row as ``row``. ``draws`` has an entry (pass, words, shard, shuffle_key) for each time the mix takes the document: whole
     passes first, and a last one of fewer words where the target is reached inside the document; ``taken`` is
-    the sum of their words. There are ``2 ** depth`` shards; ``shuffle_key`` is the order inside a shard.
+    the sum of their words. An entry is a unit that the tree has given to a shard. There are ``2 ** depth`` shards; ``shuffle_key`` is the order inside a shard.
     A null or wordless text has size 0 and is never taken. Null sources are one source, the last. Null ids and
     repeated rows are documents of their own. An empty table gives an empty one. Other columns are
     ignored, whatever their names. Everything follows from ids, texts and ``seed``, so reruns agree.
@@ -126,8 +126,12 @@ def mix(
     units = blocks.where(passes > 0).select(
         "source_key", "block", F.explode(F.sequence(F.lit(1).cast("long"), passes)).alias("pass")
     )
-    shards = _split(units, depth, seed).groupBy("source_key", "block").agg(
-        F.map_from_entries(F.collect_list(F.struct("pass", "shard"))).alias("shards")
+    # What the tree dealt out, and nothing else, is what a row can be taken for.
+    shards = stored(
+        _split(units, depth, seed).groupBy("source_key", "block").agg(
+            F.array_sort(F.collect_list(F.struct("pass", "shard"))).alias("units")
+        ),
+        "units",
     )
     inside = Window.partitionBy("source_key", "block").orderBy("order_key", "doc_id", "tie").rowsBetween(
         Window.unboundedPreceding, -1
@@ -138,20 +142,21 @@ def mix(
         .withColumn("extra", F.greatest(F.lit(0), F.least("size", F.col("rest_words") - F.col("before"))))
         .join(shards, ["source_key", "block"], "left")
     )
-    count = F.col("passes") + (F.col("extra") > 0).cast("int")
     draws = F.transform(
-        F.sequence(F.lit(1).cast("long"), count),
-        lambda n: F.struct(
-            n.alias("pass"),
-            F.when(n <= F.col("passes"), F.col("size")).otherwise(F.col("extra")).alias("words"),
-            F.element_at("shards", n).alias("shard"),
-            F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("tie"), n).alias("shuffle_key"),
+        "units",
+        lambda u: F.struct(
+            u["pass"].alias("pass"),
+            F.when(u["pass"] <= F.col("passes"), F.col("size")).otherwise(F.col("extra")).alias("words"),
+            u["shard"].alias("shard"),
+            F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("tie"), u["pass"]).alias("shuffle_key"),
         ),
     )
+    drawn = drawn.withColumn("draws", F.filter(draws, lambda d: d["words"] > 0))
+    taken = F.aggregate("draws", F.lit(0).cast("long"), lambda total, d: total + d["words"])
     return drawn.select(
         "doc_id", "size", "source_size", "target",
-        (F.col("passes") * F.col("size") + F.col("extra")).cast("long").alias("taken"),
-        F.when((count > 0) & (F.col("size") > 0), draws).alias("draws"),
+        F.coalesce(taken, F.lit(0)).cast("long").alias("taken"),
+        F.when(F.size("draws") > 0, F.col("draws")).alias("draws"),
         *row,
     )
 

@@ -152,6 +152,20 @@ def test_splitting_tree_is_exact_and_random(spark):
     assert other != Counter(r.shard for r in got if r.source_key == "=a")
 
 
+def test_tree_decides_what_is_taken(spark, monkeypatch):
+    """A shard's units that are lost on the way are words that are not taken."""
+    whole = {r.doc_id: r for r in mixing.mix(cases.frame(spark)).collect() if r.doc_id is not None}
+    split = mixing._split
+    monkeypatch.setattr(mixing, "_split", lambda *a: split(*a).where("shard <> 3"))
+    lost = 0
+    for r in mixing.mix(cases.frame(spark)).select("doc_id", "taken").collect():
+        if r.doc_id is not None:
+            in_three = sum(d.words for d in whole[r.doc_id].draws or () if d.shard == 3)
+            assert r.taken == whole[r.doc_id].taken - in_three
+            lost += in_three
+    assert lost > 0
+
+
 def test_mix_of_nothing(spark):
     assert mixing.mix(cases.empty(spark)).count() == 0
     wordless = cases.frame(spark, [(1, None, None, None, None), (2, " ", None, "a", 1)])

@@ -12,7 +12,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 import corpus_pipeline as pipeline
-from marketlake.llm import near_copies, packing, simhash
+from marketlake.llm import mixing, near_copies, packing, simhash
 from marketlake.llm.common import stored
 
 # --- packing -------------------------------------------------------------------------------------
@@ -295,6 +295,14 @@ def test_near_dedup_links_like_all_pairs(spark):
     assert {frozenset(x) for x in got.values()} == {frozenset(x) for x in expected.values()}
 
 
+def test_mixing_is_written_by_shard(spark):
+    rng = random.Random(3)
+    rows = [(i, cases.sentence(rng, 20) + f" {i}", "en", "ab"[i % 2], 0) for i in range(300)]
+    docs = cases.frame(spark, rows)
+    draws = [(d.shard, d.shuffle_key, r.doc_id) for r in mixing.mix(docs).collect() for d in r.draws or () if 2 * d.words >= r["size"]]
+    assert [r.doc_id for r in pipeline.mixing(spark, docs, "").collect()] == [doc_id for *_, doc_id in sorted(draws)]
+
+
 def test_pipeline_of_nothing(spark):
     assert [df.count() for _, df in ran(spark, cases.empty(spark), "packing")] == [0] * 5
 
