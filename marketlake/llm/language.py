@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 #: Answer for a text that is null or has no letter.
 UNDETERMINED = "und"
-#: Labelled texts to learn from: all, or about so many where there are more.
+#: Labelled texts to learn from, of each language: all, or about so many where there are more.
 TRAIN_ROWS = 20_000
 SLOT_BITS = 15
 ORDERS = (1, 2, 3)
@@ -81,13 +81,19 @@ class LanguageModel:
     def train(cls, labelled: DataFrame, rows: int = TRAIN_ROWS) -> LanguageModel:
         """From columns doc_id, text and lang; rows where text or lang is null don't count.
 
-        With more than ``rows`` rows, those whose hash of the doc_id is small are taken, about ``rows`` in all.
+        Of a language with more than ``rows`` rows, those whose hash of the doc_id is small are taken, about ``rows``;
+        of one with fewer, all. Rows without a doc_id are drawn by their texts.
         """
         labelled = labelled.select("doc_id", "text", "lang").where("text is not null and lang is not null")
         sizes = {row.lang: row.n for row in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
         languages, total = sorted(sizes), sum(sizes.values())
-        chance = F.pmod(F.xxhash64(F.lit("train"), F.col("doc_id")), F.lit(1_000_000))
-        sample = labelled if total <= rows else labelled.where(chance < int(1_000_000 * rows / total))
+        key = [F.col("doc_id"), F.when(F.col("doc_id").isNull(), F.col("text"))]
+        chance = F.pmod(F.xxhash64(F.lit("train"), *key), F.lit(1_000_000))
+        large = {language: int(1_000_000 * rows / n) for language, n in sizes.items() if n > rows}
+        kept = ~F.col("lang").isin(list(large))
+        for language, share in large.items():
+            kept = kept | ((F.col("lang") == language) & (chance < share))
+        sample = labelled.where(kept) if large else labelled
         counted = (
             sample.select("lang", "text").repartition(TRAIN_TASKS)
             .mapInArrow(_count_slots(languages), "language int, slot int, n long")

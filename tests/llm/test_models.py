@@ -49,6 +49,18 @@ def test_language_sums_are_those_of_each_text_alone(monkeypatch):
         assert np.allclose(sums, alone) and n.tolist() == numbers
 
 
+def test_rare_language_is_learned_beside_a_large_one(spark):
+    rng = random.Random(2)
+    rows = [(i, made_up("en", rng, 8), "en", "s", 0) for i in range(4000)]
+    rows += [(4000 + i, made_up("fr", rng, 30), "fr", "s", 0) for i in range(6)]
+    rows += [(None, made_up("de", rng, 8), "de", "s", 0) for _ in range(400)]
+    model = language.LanguageModel.train(spark.createDataFrame(rows, cases.SCHEMA), rows=20)
+    flat = {x for n, x in enumerate(model.languages) if np.ptp(model.logs[:, n]) == 0}
+    assert not flat
+    texts = [made_up("fr", rng, 60) for _ in range(40)]
+    assert model.predict(texts)[0].count("fr") > 35
+
+
 def test_language_of_awkward_rows(spark):
     docs = cases.frame(spark)
     model = language.LanguageModel.train(docs)
