@@ -4,9 +4,10 @@ A document is its set of hashed word shingles; two are linked if their sets' Jac
 more. The trees of ``simhash`` find the candidates by the sets' fingerprints, widely enough that hardly a pair of
 that similarity is lost, and each candidate pair is then decided by its two sets.
 
-A large group of near copies must not become all its pairs. So a first and narrow search gives one candidate for
-each fingerprint and shard. What the sets confirm is joined, and the second, wide search gives only pairs between
-different groups of the first.
+So that a large group of near copies is not all its pairs, a first and narrow search gives one candidate for each
+fingerprint and shard. What the sets confirm is joined, and the second, wide search gives only pairs between
+different groups of the first. A large group whose members are mostly between 0.5 and 0.8 alike is not joined by the
+first, and its pairs are all compared.
 """
 
 from __future__ import annotations
