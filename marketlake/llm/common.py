@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +57,27 @@ def ranked(df: DataFrame, group: Sequence[str], bucket: str, order: Sequence[Col
     )
 
 
+def running(
+    df: DataFrame, group: Sequence[str], bucket: str, order: Sequence[Column], values: Mapping[str, Column]
+) -> DataFrame:
+    """Adds running sums of ``values`` in each group, the row's own included, by ``bucket`` and then by ``order``.
+
+    Only a bucket of a group meets in one task, and one row for each bucket. ``df`` is read twice, so it should be
+    stored. ``group`` and ``bucket`` have no nulls.
+    """
+    keys = [*group, bucket]
+    totals = df.groupBy(*keys).agg(*[F.sum(value).alias(f"__{name}") for name, value in values.items()])
+    earlier = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(*keys, *[F.coalesce(F.sum(f"__{n}").over(earlier), F.lit(0)).alias(f"__{n}") for n in values])
+    inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        df.withColumns({name: F.sum(value).over(inside) for name, value in values.items()})
+        .join(starts, keys)
+        .withColumns({name: F.col(name) + F.col(f"__{name}") for name in values})
+        .drop(*[f"__{name}" for name in values])
+    )
+
+
 def whole_row(df: DataFrame) -> Column:
     """All columns as one, ``row``, so that none of their names can clash with an operator's own."""
     return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")

@@ -10,6 +10,7 @@ from marketlake.llm import (
     mixing,
     packing,
     secrets,
+    sharding,
     simhash,
     toxicity,
     url_filter,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_mixing": mixing.op10_mixing,
+    "op11_sharding": sharding.op11_sharding,
 }
 
 SQL = {
