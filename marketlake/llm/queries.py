@@ -14,6 +14,7 @@ from marketlake.llm import (
     simhash,
     toxicity,
     url_filter,
+    whitening,
 )
 
 QUERIES = {
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_mixing": mixing.op10_mixing,
     "op11_sharding": sharding.op11_sharding,
+    "op13_whitening": whitening.op13_whitening,
 }
 
 SQL = {
