@@ -273,11 +273,13 @@ def jacobi_davidson(
             image = product(basis)  # the space is whole: only the products' own rounding is left
             continue
         open_ = [i for i in range(locked, len(values)) if not done[i]][: max(1, min(block, dim - basis.shape[1]))]
-        found = ritz[:, : max(open_[-1] + 1, locked)]
-        new = _orthonormal(corrections(product, found, values[open_], residuals[:, open_]), basis)
+        new = basis[:, :0]
+        if open_:
+            found = ritz[:, : max(open_[-1] + 1, locked)]
+            new = _orthonormal(corrections(product, found, values[open_], residuals[:, open_]), basis)
         if not new.shape[1]:
-            # The space holds every correction (repeated eigenvalues): a new direction goes on.
-            new = _orthonormal(random.standard_normal((dim, 1)), basis)
+            # The space holds every correction (repeated eigenvalues, or fewer pairs than wanted): new directions go on.
+            new = _orthonormal(random.standard_normal((dim, min(block, dim - basis.shape[1]))), basis)
         new = new[:, : max(1, space - basis.shape[1])]
         basis, image = np.column_stack([basis, new]), np.column_stack([image, product(new)])
     raise ArithmeticError(f"Jacobi-Davidson did not reach double precision in {MAX_ROUNDS} rounds")
