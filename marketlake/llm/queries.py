@@ -9,6 +9,7 @@ from marketlake.llm import (
     line_dedup,
     mixing,
     packing,
+    prefix_trie,
     secrets,
     sharding,
     simhash,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_mixing": mixing.op10_mixing,
     "op11_sharding": sharding.op11_sharding,
+    "op12_prefix_trie": prefix_trie.op12_prefix_trie,
     "op13_whitening": whitening.op13_whitening,
 }
 
@@ -37,4 +39,5 @@ SQL = {
     "op5_exact_dedup": exact_dedup.SQL,
     "op6_url_filter": url_filter.SQL,
     "op10_mixing": mixing.SQL,
+    "op12_prefix_trie": prefix_trie.SQL,
 }
