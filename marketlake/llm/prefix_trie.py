@@ -25,8 +25,8 @@ from marketlake.llm.textkeys import WORD
 
 #: Fixed values of the contract: conversations c - c % GROUP lend up to crc32(c) % LENT first turns.
 GROUP, LENT = 20, 4
-#: Turns of a conversation, or siblings, that are put in order in one task.
-STRETCH = 4_096
+#: Turns of a conversation that are summed, and siblings that are put in order, in one task.
+STRETCH, SIBLINGS = 4_096, 256
 #: Arcs of the tour that are summed in one task.
 TOUR_STRETCH = 65_536
 #: The contracted list is ranked on the driver once it is no longer than this.
@@ -144,7 +144,7 @@ def euler_tour(nodes: DataFrame) -> DataFrame:
 
     Siblings follow each other in stretches by a hash, then by id.
     """
-    stretch = F.pmod(F.xxhash64("node"), F.ceil(F.col("siblings") / STRETCH))
+    stretch = F.pmod(F.xxhash64("node"), F.ceil(F.col("siblings") / SIBLINGS))
     siblings = nodes.where("parent is not null").select("node", "parent", stretch.alias("stretch"))
     firsts = siblings.groupBy("parent", "stretch").agg(F.min("node").alias("first"))
     by_stretch = Window.partitionBy("parent").orderBy("stretch")
