@@ -68,8 +68,8 @@ def weighted_vwap(price: Column, volume: Column) -> Column:
     return F.try_divide(worth.cast("double"), traded.cast("double"))
 
 
-def candle_parts(trades: DataFrame, minutes: int = 1) -> DataFrame:
-    """Mergeable bucket summaries of prepared trades."""
+def candle_parts(trades: DataFrame, minutes: int = 1, **more: Column) -> DataFrame:
+    """Mergeable bucket summaries of prepared trades; ``more`` aggregates are added by name."""
     price, spread, percent = F.col("price"), F.col("spread"), F.col("spread_percentage")
     measures = {
         **open_close(price, trade_order(trades)),
@@ -79,6 +79,7 @@ def candle_parts(trades: DataFrame, minutes: int = 1) -> DataFrame:
         "spread_count": F.count(spread),
         "percent_sum": F.sum(percent),
         "percent_count": F.count(percent),
+        **more,
     }
     # Grouping by the window itself (not its start) keeps a stream's watermark on the key.
     return (
@@ -88,26 +89,27 @@ def candle_parts(trades: DataFrame, minutes: int = 1) -> DataFrame:
     )
 
 
-def merge_parts(parts: DataFrame, minutes: int, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Parts of a coarser bucket. Starts are unique per series, so they order open and close."""
-    start = F.col("interval_start")
-    merged = [
-        F.min_by("open", start).alias("open"),
-        F.max_by("close", start).alias("close"),
+SUMS = ("volume", "trade_count", "price_sum", "spread_sum", "spread_count", "percent_sum", "percent_count")
+
+
+def merged_measures(first: Column, last: Column) -> list[Column]:
+    """Parts of one bucket as one; ``first`` and ``last`` order them by their first and their last trade."""
+    return [
+        F.min_by("open", first).alias("open"),
+        F.max_by("close", last).alias("close"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
-        *[
-            F.sum(c).alias(c)
-            for c in (
-                "volume", "trade_count", "price_sum",
-                "spread_sum", "spread_count", "percent_sum", "percent_count",
-            )
-        ],
+        *[F.sum(c).alias(c) for c in SUMS],
     ]
+
+
+def merge_parts(parts: DataFrame, minutes: int, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Parts of a coarser bucket. Starts are unique per series, so they order open and close."""
+    start = F.col("interval_start")
     return (
         parts.withColumn("_bucket", bucket_start(start, minutes))
         .groupBy(*SERIES, *keep, "_bucket")
-        .agg(*merged)
+        .agg(*merged_measures(start, start))
         .withColumnRenamed("_bucket", "interval_start")
     )
 

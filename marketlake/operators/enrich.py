@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions.calendar import epoch_seconds
 from marketlake.functions.market import percent_of
 from marketlake.functions.parsing import canonical_symbol
-from marketlake.operators.lookback import Frames, over_chunks
+from marketlake.operators.lookback import Frames, RowChunks, over_chunks
 from marketlake.operators.trades import add_live_spread
 
 # The longest statistic covers ten prices: the row's own and nine before it.
@@ -16,10 +15,6 @@ REACH = 9
 TICK_COLUMNS = ("price_change", "price_change_percentage", "sma_5", "sma_10", "volatility")
 
 
-def time_chunk(ts: str, seconds: int) -> Column:
-    return F.floor(epoch_seconds(F.col(ts)) / seconds)
-
-
 def tick_statistics(df: DataFrame, window: Frames, price: Column) -> DataFrame:
     """Change against the previous price, and means and deviation once enough prices exist."""
     previous = F.lag("_p").over(window())
@@ -43,23 +38,24 @@ def tick_statistics(df: DataFrame, window: Frames, price: Column) -> DataFrame:
 
 
 def tick_enrich(
-    trades: DataFrame, ts: str = "ts", tie: str = "trade_id", chunk_seconds: int | None = 3_600
+    trades: DataFrame, ts: str = "ts", tie: str = "trade_id", chunks: RowChunks | None = RowChunks()
 ) -> DataFrame:
     """Price change, sma_5, sma_10 and volatility per symbol across all exchanges, in (time, id) order.
 
-    A record without price counts as price 0. ``chunk_seconds`` cuts each symbol's history into time
-    chunks (see :mod:`marketlake.operators.lookback`): a symbol's trades of one chunk meet in one task.
+    A record without price counts as price 0. ``chunks`` bounds how many of a symbol's trades meet in one task,
+    however many fall on one second or have no time (see :mod:`marketlake.operators.lookback`).
     """
-    chunk = None if chunk_seconds is None else time_chunk(ts, chunk_seconds)
     return over_chunks(
-        trades, ["symbol"], [ts, tie], chunk, REACH, lambda df, w: tick_statistics(df, w, F.col("price")), ["price"]
+        trades, ["symbol"], [ts, tie], chunks, REACH, lambda df, w: tick_statistics(df, w, F.col("price")), ["price"]
     )
 
 
-def enrich_records(records: DataFrame, processed_at: Column | None = None, chunk_seconds: int = 3_600) -> DataFrame:
-    """Everything a landed record carries beyond the trade itself."""
+def enrich_records(
+    records: DataFrame, processed_at: Column | None = None, chunks: RowChunks = RowChunks(store=True)
+) -> DataFrame:
+    """Everything a landed record carries beyond the trade itself. Parsed records are stored, so parsed once."""
     stamped = records.withColumn("processed_at", F.current_timestamp() if processed_at is None else processed_at)
-    return tick_enrich(add_live_spread(stamped), ts="landed", chunk_seconds=chunk_seconds)
+    return tick_enrich(add_live_spread(stamped), ts="landed", chunks=chunks)
 
 
 def enrich_symbol_dim(trades: DataFrame, symbols: DataFrame) -> DataFrame:

@@ -888,6 +888,16 @@ _ARRIVED_TICKS = f"with {_VALID}, {ticks('valid', '(day(now) - 1) // 8, ms, trad
 SQL["stateful_enrich"] = (
     f"{_ARRIVED_TICKS} select trade_id, symbol, {r6s('price')}, {r6s(*_TICK_COLUMNS)} from ticks"
 )
+SQL["stateful_enrich_keyed"] = SQL["stateful_enrich"]
+SQL["stream_candles_mended"] = SQL["stream_candles"]
+# A trade is late if its hour had ended at the newest time of the runs before its own, less 5 minutes.
+SQL["late_trades"] = f"""with {PREPARED}, arrived as (
+  select *, least(3, (day(ts) - 1) // 8 + (trade_id % 11 = 0)::int)::bigint as run from prepared),
+marks as (
+  select run, max(max(ts)) over (order by run rows between unbounded preceding and 1 preceding) - interval '5 minutes' as mark
+  from arrived group by run)
+select trade_id, symbol, {r6s('price')}, run from arrived join marks using (run)
+where time_bucket(interval '1 hour', ts) + interval '1 hour' <= mark"""
 SQL["late_data"] = (
     f"with {RECORDS} select record_id, {r6s('quality_score')} from scored where abs(epoch_us(now) // 1000 - ms) > 300000"
 )

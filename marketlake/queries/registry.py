@@ -27,7 +27,9 @@ from marketlake.sources import lake as L
 from marketlake.storage import work_path
 from marketlake.streaming import alarms as STA
 from marketlake.streaming import candles as STC
+from marketlake.streaming import late as STL
 from marketlake.streaming import quality as STQ
+from marketlake.streaming import state as STS
 from marketlake.streaming.run import file_stream, state_partitions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -868,6 +870,56 @@ def _(spark, sf_dir):
     return spark.read.parquet(paths.enriched).select("trade_id", "symbol", "price", *E.TICK_COLUMNS)
 
 
+def _in_runs(
+    spark: SparkSession, events: DataFrame, run: Column, paths: STQ.StreamPaths, start: Callable[[DataFrame], object]
+) -> None:
+    """Events arrive run by run; the stream is started for each and goes on from where the last one stopped."""
+    for n in range(0, 31, STREAM_DAYS):
+        events.filter(run == n // STREAM_DAYS).write.mode("append").parquet(paths.arrived)
+        start(file_stream(spark, paths.arrived, events.schema)).awaitTermination()
+
+
+@query("stateful_enrich_keyed")
+def _(spark, sf_dir):
+    """Prices in the stream's own state store; it stops and restarts between the runs of days."""
+    paths = _paths(spark, "stream-keyed")
+
+    def start(arrived: DataFrame):
+        records = STQ.valid_records(I.stream_records_from(arrived), F.col("now"))
+        with state_partitions(spark, _cores(spark)):
+            return (
+                STS.keyed_enrich(records).writeStream.format("parquet").option("path", paths.enriched)
+                .option("checkpointLocation", paths.checkpoint).trigger(availableNow=True).start()
+            )
+
+    _in_runs(spark, I.table(spark, sf_dir, "events"), F.floor((F.dayofmonth("ts") - 1) / STREAM_DAYS), paths, start)
+    return spark.read.parquet(paths.enriched).select("trade_id", "symbol", "price", *E.TICK_COLUMNS)
+
+
+def _mended(spark: SparkSession, sf_dir: str) -> str:
+    """Hourly candles of a stream to which every eleventh trade comes a run of days late, but for the last run's."""
+
+    def write(path: str) -> None:
+        run = F.floor((F.dayofmonth("ts") - 1) / STREAM_DAYS) + (F.col("event_id") % 11 == 0).cast("int")
+        last = F.lit(30 // STREAM_DAYS)
+        _in_runs(
+            spark, I.table(spark, sf_dir, "events"), F.least(run, last), STQ.StreamPaths(path),
+            lambda arrived: STL.stream_mended_candles(spark, I.trades_from(arrived), path, 60),
+        )
+
+    return _once(spark, sf_dir, "stream-mended", write)
+
+
+@query("stream_candles_mended")
+def _(spark, sf_dir):
+    return STL.mended_candles(spark, _mended(spark, sf_dir))
+
+
+@query("late_trades")
+def _(spark, sf_dir):
+    return STL.late_trades(spark, _mended(spark, sf_dir)).select("trade_id", "symbol", "price", F.col("batch").alias("run"))
+
+
 def _quality_stream(spark: SparkSession, sf_dir: str) -> STQ.StreamPaths:
     def write(path: str) -> None:
         source = I.stream_records_from(_event_stream(spark, sf_dir))

@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _local_root: dict[str, str] = {}
@@ -30,3 +30,10 @@ def shared_root(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, label: str) -> str:
     """A new path under the shared root, never handed out twice."""
     return f"{shared_root(spark)}/marketlake/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written under the shared root and read back: evaluated once, whatever reads it later."""
+    path = work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

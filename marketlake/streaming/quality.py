@@ -2,7 +2,7 @@
 
 Enrichment needs the last few prices of each symbol. They are carried between micro-batches in a small
 table, and a batch is enriched by the same window operator the batch jobs use. A symbol that dominates a
-micro-batch is therefore cut into time chunks like any other hot series and is never held by one task.
+micro-batch is therefore cut into chunks of rows like any other hot series and is never held by one task.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from marketlake.config import QualityBounds
-from marketlake.operators.enrich import REACH, tick_statistics, time_chunk
-from marketlake.operators.lookback import over_chunks
+from marketlake.operators.enrich import REACH, tick_statistics
+from marketlake.operators.lookback import RowChunks, over_chunks
 from marketlake.operators.quality import (
     VALID,
     batch_stats,
@@ -49,20 +49,18 @@ _ORDER = ("position", "landed", "trade_id")
 class CarriedPrices:
     """Tick statistics across micro-batches: at most REACH + 1 prices are kept per symbol."""
 
-    def __init__(self, spark: SparkSession, path: str, chunk_seconds: int = 300):
+    def __init__(self, spark: SparkSession, path: str, chunks: RowChunks = RowChunks()):
         self.slots = SlotTable(spark, path, PRICE_STATE)
-        self.chunk_seconds = chunk_seconds
+        self.chunks = chunks
 
     def _merged(self, batch: DataFrame, batch_id: int) -> DataFrame:
         carried = self.slots.before(batch_id)
         return batch.withColumn("position", F.lit(0).cast("bigint")).unionByName(carried, allowMissingColumns=True)
 
     def enrich(self, batch: DataFrame, batch_id: int) -> DataFrame:
-        first = F.lit(-(2**40))
-        chunk = F.when(F.col("position") < 0, first).otherwise(time_chunk("landed", self.chunk_seconds))
         enriched = over_chunks(
-            self._merged(batch, batch_id), ["symbol"], _ORDER, chunk, REACH,
-            lambda df, w: tick_statistics(df, w, F.col("price")),
+            self._merged(batch, batch_id), ["symbol"], _ORDER, self.chunks, REACH,
+            lambda df, w: tick_statistics(df, w, F.col("price")), ["price"],
         )
         return enriched.filter(F.col("position") == 0).drop("position")
 
@@ -88,10 +86,10 @@ class StreamPaths:
 
 
 def stateful_enrich(
-    spark: SparkSession, records: DataFrame, paths: StreamPaths, chunk_seconds: int = 300, **trigger
+    spark: SparkSession, records: DataFrame, paths: StreamPaths, chunks: RowChunks = RowChunks(), **trigger
 ) -> StreamingQuery:
     """Enrich a stream of typed valid records (with ``landed``) and write it as Parquet."""
-    prices = CarriedPrices(spark, paths.prices, chunk_seconds)
+    prices = CarriedPrices(spark, paths.prices, chunks)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         prices.enrich(batch, batch_id).write.mode("overwrite").parquet(f"{paths.enriched}/batch={batch_id}")
@@ -107,7 +105,7 @@ def stream_quality(
     now: Column | None = None,
     bounds: QualityBounds = QualityBounds(),
     dlq_enabled: bool = False,
-    chunk_seconds: int = 300,
+    chunks: RowChunks = RowChunks(),
     encoding: str = "base64",
     **trigger,
 ) -> StreamingQuery:
@@ -116,7 +114,7 @@ def stream_quality(
     Every output of batch n is an overwrite of its own folder, so a repeated batch leaves no doubles.
     """
     moment = F.current_timestamp() if now is None else now
-    prices = CarriedPrices(spark, paths.prices, chunk_seconds)
+    prices = CarriedPrices(spark, paths.prices, chunks)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         decoded = decode_stream(batch, encoding=encoding)

@@ -9,6 +9,7 @@ from marketlake.config import FEEDS, QualityBounds
 from marketlake.functions import parsing
 from marketlake.functions.quality import source_score
 from marketlake.operators import enrich as E
+from marketlake.operators.lookback import RowChunks
 from marketlake.operators import quality as Q
 from marketlake.sources import feeds as FD
 
@@ -185,7 +186,7 @@ def _tick_expected(ticks):
     return out
 
 
-@pytest.mark.parametrize("chunk", [None, 60, 3600])
+@pytest.mark.parametrize("chunk", [None, 7, 200_000])
 def test_tick_statistics_by_definition(spark, chunk):
     rows, at = [], NOW
     for i in range(300):
@@ -193,7 +194,7 @@ def test_tick_statistics_by_definition(spark, chunk):
         symbol = "hot" if i % 3 else "cold"
         rows.append((i, symbol, at, None if i % 29 == 0 else float(10 + i * 13 % 17)))
     df = spark.createDataFrame(rows, "trade_id bigint, symbol string, ts timestamp_ntz, price double")
-    got = {r.trade_id: r for r in E.tick_enrich(df, chunk_seconds=chunk).collect()}
+    got = {r.trade_id: r for r in E.tick_enrich(df, chunks=None if chunk is None else RowChunks(chunk)).collect()}
     expected = _tick_expected([(r[0], r[1], r[3]) for r in rows])
     assert got.keys() == expected.keys()
     for key, values in expected.items():

@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from marketlake.operators.lookback import over_chunks
+from marketlake.operators.lookback import CHUNK, RowChunks, over_chunks, with_lookback
 
 
 def _series(seed: int) -> pd.DataFrame:
@@ -22,7 +22,7 @@ def _series(seed: int) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["k", "t", "x"])
 
 
-@pytest.mark.parametrize("seed,width", [(1, 10), (2, 1), (3, 64), (4, 1000)])
+@pytest.mark.parametrize("seed,width", [(1, 10), (2, 1), (3, 64), (4, 1000), (5, None), (6, None)])
 def test_chunked_equals_whole(spark, seed, width):
     pdf = _series(seed)
     df = spark.createDataFrame(pdf)
@@ -33,7 +33,8 @@ def test_chunked_equals_whole(spark, seed, width):
         )
         return first.withColumn("mean_of_mean", F.avg("mean").over(window(4)))
 
-    chunk = F.floor(F.col("t") / width)
+    # Chunks of a handful of rows, shorter than the windows' reach, or of a width in time.
+    chunk = RowChunks(3 + seed) if width is None else F.floor(F.col("t") / width)
     actual = over_chunks(df, ["k"], ["t"], chunk, 7, compute).orderBy("k", "t").toPandas()
     whole = over_chunks(df, ["k"], ["t"], None, 7, compute).orderBy("k", "t").toPandas()
     pd.testing.assert_frame_equal(actual, whole)
@@ -63,3 +64,34 @@ def test_rows_may_hold_maps(spark):
         df, ["k"], ["id"], F.floor(F.col("id") / 10), 2, lambda f, w: f.withColumn("p", F.lag("m", 2).over(w()))
     )
     assert [r.p["a"] for r in out.orderBy("id").collect()[2:]] == list(range(48))
+
+
+def test_chunks_of_rows_hold_no_hot_second(spark):
+    """One series and one second, or no time at all, have most rows; no chunk holds much more than it may."""
+    most = 250
+    hot = spark.range(6_000).select(
+        F.lit("hot").alias("k"), F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.lit(7)).cast("long").alias("t"), "id"
+    )
+    rest = spark.range(6_000, 7_000).select((F.col("id") % 50).cast("string").alias("k"), F.col("id").alias("t"), "id")
+    df = hot.unionByName(rest).withColumn("x", F.pmod(F.xxhash64("id"), F.lit(1000)).cast("double"))
+    sizes = with_lookback(df, ["k"], ["t", "id"], RowChunks(most), 4, ["x"]).groupBy("k", CHUNK).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 2 * most
+
+    def compute(frame, window):
+        return frame.withColumn("mean", F.avg("x").over(window(5))).withColumn("lag", F.lag("x", 4).over(window()))
+
+    cut = over_chunks(df, ["k"], ["t", "id"], RowChunks(most), 4, compute, ["x"]).orderBy("k", "t", "id").toPandas()
+    whole = over_chunks(df, ["k"], ["t", "id"], None, 4, compute).orderBy("k", "t", "id").toPandas()
+    pd.testing.assert_frame_equal(cut[whole.columns], whole)
+
+
+def test_stored_input_is_evaluated_once(spark, tmp_path):
+    path = str(tmp_path / "in")
+    spark.range(500).selectExpr("'k' as k", "id", "cast(id as double) as x", "'{\"a\":1}' as js").write.parquet(path)
+    df = spark.read.parquet(path).withColumn("parsed", F.from_json("js", "a int"))
+    out = over_chunks(
+        df, ["k"], ["id"], RowChunks(100, store=True), 3, lambda f, w: f.withColumn("m", F.avg("x").over(w(4))), ["x"]
+    )
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "from_json" not in plan and path not in plan

@@ -2,6 +2,7 @@
 
 import base64
 import json
+import time
 from datetime import datetime, timedelta
 
 import pandas as pd
@@ -12,13 +13,16 @@ from marketlake.config import AlarmRule
 from marketlake.operators import candles as C
 from marketlake.operators import enrich as E
 from marketlake.operators import indicators as N
+from marketlake.operators.lookback import RowChunks
 from marketlake.operators.trades import prepare_trades
 from marketlake.plans import monitor as M
 from marketlake.sources import lake as L
 from marketlake.sources.feeds import union_feeds
 from marketlake.streaming import alarms as STA
 from marketlake.streaming import candles as STC
+from marketlake.streaming import late as STL
 from marketlake.streaming import quality as STQ
+from marketlake.streaming import state as STS
 from marketlake.streaming.run import file_stream
 
 START = datetime(2024, 1, 1)
@@ -119,7 +123,7 @@ def _enriched_in_arrival_order(spark, rows, files):
     return out
 
 
-@pytest.mark.parametrize("chunk", [60, 3600])
+@pytest.mark.parametrize("chunk", [5, 200_000])
 def test_stateful_enrich_over_batches_and_restart(spark, tmp_path, chunk):
     rows, files = _records(), 5
     path = str(tmp_path / "in")
@@ -129,7 +133,7 @@ def test_stateful_enrich_over_batches_and_restart(spark, tmp_path, chunk):
     def run():
         stream = file_stream(spark, path, spark.read.parquet(path).schema, files_per_batch=1)
         STQ.stateful_enrich(
-            spark, STQ.valid_records(stream, F.col("now")), paths, chunk_seconds=chunk
+            spark, STQ.valid_records(stream, F.col("now")), paths, RowChunks(chunk)
         ).awaitTermination()
 
     # Two files, a stop, then the others: the second run goes on from the checkpoint and carried prices.
@@ -188,3 +192,126 @@ def test_stream_alarms_carry_periods(spark, tmp_path):
     expected = batch.filter(F.col("period_start") <= F.lit(limit)).select("period_start", "value", "state")
     assert sorted(got.collect()) == sorted(expected.collect())
     assert {r.state for r in got.collect()} == {"OK", "ALARM"}
+
+
+def _append(spark, path, rows, files=1):
+    size = -(-len(rows) // files)
+    for i in range(files):
+        spark.createDataFrame(rows[i * size: (i + 1) * size], RECORD_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+
+
+def _keyed(spark, tmp_path, idle=None):
+    path = str(tmp_path / "in")
+    stream = file_stream(spark, path, spark.read.parquet(path).schema, files_per_batch=1)
+    return (
+        STS.keyed_enrich(STQ.valid_records(stream, F.col("now")), idle).writeStream.format("parquet")
+        .option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp"))
+    )
+
+
+def test_keyed_state_over_batches_and_restart(spark, tmp_path):
+    rows = _records()
+    for part, files in ((rows[:64], 2), (rows[64:], 3)):
+        _append(spark, str(tmp_path / "in"), part, files)
+        _keyed(spark, tmp_path).trigger(availableNow=True).start().awaitTermination()
+    got = {r.trade_id: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    expected = _enriched_in_arrival_order(spark, rows, 5)
+    assert got.keys() == expected.keys()
+    for key, (change, sma) in expected.items():
+        assert got[key].price_change == (None if change is None else pytest.approx(change)), key
+        assert got[key].sma_5 == (None if sma is None else pytest.approx(sma)), key
+
+
+@pytest.mark.parametrize("idle", [0.05, 3600])
+def test_keyed_state_expires(spark, tmp_path, idle):
+    """A symbol silent for longer than the limit starts anew, as the timer has removed its state; else it goes on."""
+    rows, path = _records(), str(tmp_path / "in")
+    _append(spark, path, rows[:80])
+    running = _keyed(spark, tmp_path, idle).trigger(processingTime="200 milliseconds").start()
+
+    def wait_for(batches, seconds=60):
+        until = time.monotonic() + seconds
+        while time.monotonic() < until:
+            if sum(p.numInputRows > 0 for p in running.recentProgress) >= batches:
+                return {r.trade_id: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+            time.sleep(0.2)
+        raise TimeoutError(str(running.lastProgress))
+
+    try:
+        first = wait_for(1)
+        assert any(r.sma_10 is not None for r in first.values())
+        time.sleep(2)  # batches without data let the timer fire
+        _append(spark, path, rows[80:])
+        second = {key: r for key, r in wait_for(2).items() if key not in first}
+    finally:
+        running.stop()
+    anew = [r.symbol for r in second.values() if r.price_change is None]
+    assert sorted(anew) == (sorted({r.symbol for r in second.values()}) if idle < 1 else [])
+
+
+def test_tick_columns_by_definition():
+    import statistics
+
+    import numpy as np
+
+    prices = [0.0, 3.0, 5.0, 0.0, 2.0, *[float(7 * i % 11) for i in range(30)]]
+    for carried in (0, 3, 9, 20):
+        got = STS.tick_columns(np.asarray(prices), carried)
+        for i in range(carried, len(prices)):
+            before = prices[i - 1] if i else 0.0
+            want = {
+                "price_change": prices[i] - before if before > 0 else None,
+                "price_change_percentage": (prices[i] - before) / before * 100 if before > 0 else None,
+                "sma_5": sum(prices[i - 4: i + 1]) / 5 if i >= 4 else None,
+                "sma_10": sum(prices[i - 9: i + 1]) / 10 if i >= 9 else None,
+                "volatility": statistics.pstdev(prices[i - 9: i + 1]) if i >= 9 else None,
+            }
+            for name, value in want.items():
+                x = got[name][i - carried]
+                assert np.isnan(x) if value is None else x == pytest.approx(value, abs=1e-9)
+
+
+def test_late_trades_mend_candles(spark, tmp_path):
+    """Stream and batch candles agree although every fifth trade comes hours late; the late ones are listed."""
+    rows = _trade_rows()
+    on_time = [r for i, r in enumerate(rows) if i % 5]
+    late = [r for i, r in enumerate(rows) if i % 5 == 0]
+    batches = [on_time[:60], late[:10] + on_time[60:120], on_time[120:], late[10:40], late[40:]]
+    path, root = str(tmp_path / "in"), str(tmp_path / "run")
+    for stop in (3, 5):  # a restart between
+        for part in batches[stop - 3 if stop == 3 else 3: stop]:
+            spark.createDataFrame(part, TRADE_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+        stream = file_stream(spark, path, spark.read.parquet(path).schema, files_per_batch=1)
+        STL.stream_mended_candles(spark, stream, root, 15).awaitTermination()
+    order = ["symbol", "exchange", "interval_start"]
+    got = STL.mended_candles(spark, root).orderBy(*order).toPandas()
+    batch = C.candles(prepare_trades(spark.createDataFrame(rows, TRADE_SCHEMA).withColumn("ts", F.col("ts").cast("timestamp_ntz"))), 15)
+    last = max(r[2] for r in rows) - timedelta(minutes=5)
+    closed = batch.filter(F.col("interval_end") <= F.lit(last).cast("timestamp_ntz")).orderBy(*order).toPandas()
+    assert len(got) == len(closed) > 40
+    pd.testing.assert_frame_equal(got[closed.columns.tolist()], closed, check_exact=False)
+
+    expected, reached = set(), datetime.min
+    for n, part in enumerate(batches):
+        for r in part:
+            end = START + (((r[2] - START) // timedelta(minutes=15)) + 1) * timedelta(minutes=15)
+            if end <= reached:
+                expected.add((r[3], n))
+        reached = max(reached, max(r[2] for r in part) - timedelta(minutes=5))
+    found = {(r.trade_id, r.batch) for r in STL.late_trades(spark, root).collect()}
+    assert found == expected and len(expected) > 20
+
+
+def test_mended_candles_repeat_a_batch(spark, tmp_path):
+    """A batch that runs twice leaves the same tables; batches without a usable trade change nothing."""
+    rows = _trade_rows(80)
+    tables = STL.MendedCandles(spark, str(tmp_path / "run"), 15)
+    parts = [rows[:40], [("hot", "x", START, 1, -1.0, 1.0)], rows[40:] + rows[:3]]
+    for n in (0, 0, 1, 2, 2):
+        tables.step(spark.createDataFrame(parts[n], TRADE_SCHEMA), n)
+    once = STL.MendedCandles(spark, str(tmp_path / "once"), 15)
+    for n in (0, 1, 2):
+        once.step(spark.createDataFrame(parts[n], TRADE_SCHEMA), n)
+    for read in (STL.mended_candles, STL.late_trades):
+        a, b = (sorted(map(str, read(spark, t.root).collect())) for t in (tables, once))
+        assert a == b and a
