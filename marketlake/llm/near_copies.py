@@ -1,19 +1,17 @@
 """Near copies by the similarity of their shingle sets, with SimHash's vantage-point trees as the search.
 
 A document is its set of hashed word shingles; two are linked if their sets' Jaccard similarity is ``LEAST`` or
-more. The trees of ``simhash`` find the candidates by the sets' fingerprints, widely enough that hardly a pair of
-that similarity is lost, and each candidate pair is then decided by its two sets.
+more. The trees of ``simhash`` join the sets by their fingerprints, widely enough that hardly a pair of that similarity
+is lost, into coarse groups: a shard gives one link for each fingerprint, whatever the size of a group. The sets of
+a coarse group then meet and decide themselves: a set is compared with those that are not joined to it yet, and again at
+most one link for each set comes back, never the pairs.
 
-So that a large group of near copies is not all its pairs, a first and narrow search gives one candidate for each
-fingerprint and shard. What the sets confirm is joined, and the second, wide search gives only pairs between
-different groups of the first. A large group whose members are mostly between 0.5 and 0.8 alike is not joined by the
-first, and its pairs are all compared.
+A coarse group is dealt into blocks of bounded size by a hash, and every two of its blocks meet in one task; so a group
+of any size is whole, and no task has more than two blocks of it.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,20 +20,10 @@ from pyspark.sql import functions as F
 from marketlake.llm.common import join_unique, stored
 from marketlake.llm.simhash import (
     BITS,
-    LEAF,
-    SAMPLE,
-    _blocks,
-    _distance,
-    _far_apart,
+    _key,
     _longs,
     _names,
-    _points,
-    _router,
-    _search,
-    _shard_count,
-    _sides,
-    _upper_trees,
-    _vantage,
+    links,
     majority,
     shingle_hashes,
     star_components,
@@ -43,8 +31,8 @@ from marketlake.llm.simhash import (
 
 #: Linked sets share LEAST[0] / LEAST[1] of their union at least.
 LEAST = (4, 5)
-#: Of linked sets the larger has 1.25 times the elements at most: their bands of this width are neighbours.
-BAND = math.log(1.2501)
+#: Shingles of a block, about; a set of more is a block's part like any other.
+BLOCK_SHINGLES = 1 << 17
 
 
 def shingle_set(text: str | None, words: int) -> np.ndarray:
@@ -89,113 +77,84 @@ def _set_reader(words: int):
     return run
 
 
-# --- candidates ----------------------------------------------------------------------------------
-
-
-def _meetings(values: np.ndarray, home: np.ndarray, sizes: np.ndarray, reach: int):
-    """(own, others) whose pairs hold every pair with one point at home, ``reach`` and neighbouring bands of size."""
-    bands = np.floor(np.log(np.maximum(sizes, 1)) / BAND).astype(np.int64)
-    for band in np.unique(bands[home]):
-        near = (bands == band + 1) | (~home & ((bands == band) | (bands == band - 1)))
-        waiting = [(np.flatnonzero(home & (bands == band)), np.flatnonzero(near))]
-        while waiting:
-            own, visit = waiting.pop()
-            if not len(own):
-                continue
-            split = _vantage(values[own]) if len(own) > LEAF else None
-            if split is not None:
-                waiting += _sides(values, *split, reach, own, visit)
-                continue
-            if len(own) > LEAF:
-                visit = visit[_distance(values[visit], values[own[0]]) <= reach]
-            yield own, visit
-
-
-def _across(own: np.ndarray, visit: np.ndarray, labels: np.ndarray):
-    """(rows, columns) of a leaf, in pieces of bounded size; a large label's points are not met by each other."""
-    names, counts = np.unique(labels[own], return_counts=True)
-    everyone = np.concatenate([own, visit])
-    for name in names[counts > LEAF]:
-        others = everyone[labels[everyone] != name]
-        rows = own[labels[own] == name]
-        for at in range(0, len(rows), LEAF):
-            yield rows[at : at + LEAF], others
-    rest = own[np.isin(labels[own], names[counts <= LEAF])]
-    for at in range(0, len(rest), LEAF):
-        yield rest[at : at + LEAF], np.concatenate([rest[at:], visit])
-
-
-def _pairs(points, values, home, sizes, labels, reach, bits_apart) -> np.ndarray:
-    """Pairs of places, the smaller first, between different labels."""
-    found = [np.zeros((0, 2), np.int64)]
-    for own, visit in _meetings(values, home, sizes, reach):
-        for rows, columns in _across(own, visit, labels):
-            for to in range(0, len(columns), 8_192):
-                part = columns[to : to + 8_192]
-                a, b = np.nonzero(_far_apart(points, rows[:, None], part[None, :]) <= bits_apart)
-                a, b = rows[a], part[b]
-                low, high = np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b])
-                fits = (labels[a] != labels[b]) & (LEAST[1] * low >= LEAST[0] * high)
-                found.append(np.stack([np.minimum(a, b)[fits], np.maximum(a, b)[fits]], axis=1))
-    return np.unique(np.concatenate(found), axis=0)
-
-
-def _finder(blocks, owner: list[int], bits_apart: int, prints: int, narrow: bool):
-    def run(table: pa.Table) -> pa.Table:
-        points = _points(table, prints)
-        home = table.column("home").to_numpy(zero_copy_only=False).astype(bool)
-        ids, sizes, labels = (table.column(n).to_numpy() for n in ("set_id", "size", "label"))
-        block = blocks[owner[table.column("shard")[0].as_py()]]
-        if narrow:
-            root = _search(points, block.of(points), home, block.reach, bits_apart)
-            joined = np.flatnonzero(root != np.arange(len(root)))
-            pairs = np.stack([root[joined], joined], axis=1)
-        else:
-            pairs = _pairs(points, block.of(points), home, sizes, labels, block.reach, bits_apart)
-        a, b = ids[pairs[:, 0]], ids[pairs[:, 1]]
-        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+# --- decisions -----------------------------------------------------------------------------------
 
-    return run
 
+def _similar(shingles: np.ndarray, sizes: np.ndarray, side: np.ndarray, apart: bool) -> np.ndarray:
+    """The root of each set, joining sets that are similar enough; ``apart``: only those of different sides.
 
-def _candidates(sets: DataFrame, prints: int, each: int, reach: int, bits_apart: int, shard_rows: int, narrow: bool):
-    """(a, b), set_ids in order: pairs worth a look. ``sets`` is unique in set_id and has a ``label``."""
+    Reached sets look at those that are not reached yet, by the lists of the sets that have a shingle.
+    """
+    n = len(sizes)
+    _, at = np.unique(shingles, return_inverse=True)
+    owner = np.repeat(np.arange(n), sizes)[np.argsort(at, kind="stable")]
+    ends = np.cumsum(np.bincount(at, minlength=1))
+    begins = ends - np.bincount(at, minlength=1)
+    last = np.cumsum(sizes)
+    first = last - sizes
+    root, waiting = np.arange(n), np.ones(n, bool)
+
+    def near(x: int) -> np.ndarray:
+        own = at[first[x] : last[x]]
+        count = ends[own] - begins[own]
+        places = np.repeat(begins[own] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        shared = np.bincount(owner[places], minlength=n)
+        # shared / union >= LEAST, with union = both sizes - shared
+        fits = waiting & (shared * sum(LEAST) >= (sizes + sizes[x]) * LEAST[0])
+        return np.flatnonzero(fits & (side != side[x]) if apart else fits)
+
+    for start in range(n):
+        if not waiting[start]:
+            continue
+        waiting[start], reached = False, [start]
+        while reached:
+            new = near(reached.pop())
+            root[new], waiting[new] = start, False
+            reached.extend(new.tolist())
+    return root
+
+
+def _decide(table: pa.Table) -> pa.Table:
+    """Two blocks of a coarse group: a link from each set that is joined to the first of those it is joined to."""
+    sets = table.column("shingles").combine_chunks()
+    sizes = sets.value_lengths().to_numpy(zero_copy_only=False)
+    side = table.column("block").to_numpy()
+    apart = table.column("low")[0].as_py() != table.column("high")[0].as_py()
+    root = _similar(sets.flatten().to_numpy(zero_copy_only=False), sizes, side, apart)
+    ids, joined = table.column("set_id").to_numpy(), root != np.arange(len(root))
+    a, b = ids[joined], ids[root[joined]]
+    return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+
+
+def _grouped(sets: DataFrame, prints: int, each: int, reach: int, bits_apart: int, shard_rows: int) -> DataFrame:
+    """The sets of coarse groups of more than one set, with their group, its number of blocks and their own block."""
     names = _names(prints)
-    chosen = sets.select(*names).orderBy(F.xxhash64(*names), *names).limit(SAMPLE).toArrow()
-    blocks = _blocks(prints, each, reach)
-    _upper_trees(_points(chosen, prints), max(0, math.ceil(math.log2(max(1, sets.count()) / shard_rows))), blocks)
-    owner = [n for n, block in enumerate(blocks) for _ in range(_shard_count(block.tree))]
-    carried = ("set_id", "size", "label")
-    routed = sets.select(*names, *carried).mapInArrow(
-        _router(blocks, prints, carried), f"shard int, home boolean, {_longs([*names, *carried])[0]}"
+    classes = stored(sets.select(*names).distinct(), "classes")
+    stars = star_components(links(classes, bits_apart, prints, each, reach, shard_rows=shard_rows))
+    rooted = sets.withColumn("key", _key(prints)).join(
+        stars.select(F.col("a").alias("key"), F.col("b").alias("root")), "key", "left"
     )
-    found = routed.groupBy("shard").applyInArrow(_finder(blocks, owner, bits_apart, prints, narrow), "a long, b long")
-    return stored(found.distinct(), "candidates")
-
-
-# --- links ---------------------------------------------------------------------------------------
+    rooted = stored(rooted.select("set_id", "size", "first", F.coalesce("root", "key").alias("coarse")), "coarse")
+    groups = rooted.groupBy("coarse").agg(F.count("*").alias("n_sets"), F.sum("size").alias("shingles")).where("n_sets > 1")
+    groups = groups.select("coarse", "n_sets", F.ceil((F.col("shingles") + 1) / BLOCK_SHINGLES).alias("blocks"))
+    found = join_unique(rooted, groups, ["coarse"], "n_sets", rooted.count())
+    return stored(found.withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks"))), "grouped")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """Those pairs whose sets are similar enough. Only sets in a pair are made again from their texts."""
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    source = sets.join(asked, "set_id", "left_semi").select("first.doc_id", "first.row_key").alias("s")
+def _linked(grouped: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """(a, b): links whose components are those of all similar pairs. Only sets in groups are made again."""
+    source = grouped.select("first.doc_id", "first.row_key").alias("s")
     same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.row_key") == F.col("s.row_key"))
     texts = docs.alias("d").join(source, same, "left_semi").select("text")
     made = texts.mapInArrow(_set_reader(words), "set_id long, shingles array<long>").dropDuplicates(["set_id"])
-    made = stored(made, "shingles")
-    for side in ("a", "b"):
-        pairs = pairs.join(made.select(F.col("set_id").alias(side), F.col("shingles").alias(f"in_{side}")), side)
-    shared = F.size(F.array_intersect("in_a", "in_b"))
-    # shared / union >= LEAST, with union = both sizes - shared
-    enough = shared * sum(LEAST) >= (F.size("in_a") + F.size("in_b")) * LEAST[0]
-    return stored(pairs.where(enough).select("a", "b"), "similar")
-
-
-def _labelled(sets: DataFrame, links: DataFrame) -> DataFrame:
-    stars = star_components(links).select(F.col("a").alias("set_id"), F.col("b").alias("root"))
-    joined = sets.drop("label").join(stars, "set_id", "left")
-    return stored(joined.withColumn("label", F.coalesce("root", "set_id")).drop("root"), "labelled")
+    met = made.join(grouped.select("set_id", "coarse", "block", "blocks"), "set_id").withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    )
+    cells = met.select(
+        "coarse", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        "set_id", "block", "shingles",
+    )
+    return cells.groupBy("coarse", "low", "high").applyInArrow(_decide, "a long, b long")
 
 
 def near_copies(
@@ -204,18 +163,21 @@ def near_copies(
     """(doc_id, row_key, component), a row for each row of ``docs``.
 
     Documents whose sets of shingles of ``words`` words have a Jaccard similarity of 0.8 or more are linked, and
-    ``component`` names what links reach. Nothing under 0.8 is linked. A pair is looked at if its fingerprints
-    (``prints`` numbers of 64 bits, ``each`` blocks in each) differ in at most ``bits_apart`` bits and in at most
-    ``reach`` bits of one block. Texts without words are one component. An empty table gives an empty one.
+    ``component`` names what links reach. Nothing under 0.8 is linked. Sets are compared if links of fingerprints
+    (``prints`` numbers of 64 bits, ``each`` blocks in each) that differ in at most ``bits_apart`` bits, and in at most
+    ``reach`` bits of one block, lead from one to the other. Texts without words are one component. Very long texts
+    are whole sets. Repeated rows and equal texts are one set. An empty table gives an empty one.
     """
     names = _names(prints)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row_key"), "text")
     ddl = _longs(["doc_id", "row_key", "set_id", "size", *names])[0]
     printed = stored(rows.mapInArrow(_printer(words, prints), ddl), "prints")
     sets = printed.groupBy("set_id", "size", *names).agg(F.min(F.struct("doc_id", "row_key")).alias("first"), F.count("*").alias("n"))
-    sets = stored(sets.withColumn("label", F.col("set_id")), "sets")
-    close = _linked(_candidates(sets, prints, each, 0, bits_apart // 2, shard_rows, True), sets, rows, words)
-    grouped = _labelled(sets, close)
-    wide = _linked(_candidates(grouped, prints, each, reach, bits_apart, shard_rows, False), sets, rows, words)
-    final = _labelled(sets, close.union(wide)).select("set_id", "n", F.col("label").alias("component"))
-    return join_unique(printed, final, ["set_id"], "n", printed.count()).select("doc_id", "row_key", "component")
+    sets = stored(sets, "sets")
+    similar = star_components(_linked(_grouped(sets, prints, each, reach, bits_apart, shard_rows), rows, words))
+    final = sets.select("set_id", "n").join(
+        similar.select(F.col("a").alias("set_id"), F.col("b").alias("root")), "set_id", "left"
+    ).select("set_id", "n", F.coalesce("root", "set_id").alias("component"))
+    return join_unique(printed, stored(final, "labelled"), ["set_id"], "n", printed.count()).select(
+        "doc_id", "row_key", "component"
+    )
