@@ -17,7 +17,7 @@ from marketlake.llm.simhash import keep_one
 LEAST_SCORE = 0.5
 #: Near copies share 0.8 of their five-word shingles, which is checked. The search sees 4 x 64 SimHash bits: at 0.8 they
 #: differ in 39 bits on average, and of such pairs 3 in a million differ in over 2 bits in each of the 16 blocks.
-NEAR = {"words": 5, "prints": 4, "each": 4, "reach": 2, "bits_apart": 72, "shard_rows": 262_144}
+NEAR = {"words": 5, "prints": 4, "each": 4, "reach": 2, "bits_apart": 72, "shard_rows": 32_768}
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
