@@ -1,8 +1,10 @@
 """Language, toxicity, secrets and I-Match: held-out accuracy, brute force and defined results for awkward rows."""
 
 import hashlib
+import itertools
 import random
 import re
+import string
 import zlib
 from collections import Counter
 
@@ -187,6 +189,56 @@ def test_secrets(spark):
     assert secrets.find_secrets(cases.frame(spark)).count() == len(cases.rows())
 
 
+def _secret_model(spark, rng):
+    key = lambda n: "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(n))
+    plain = [f"{cases.sentence(rng, 60)} Call 555-{rng.randint(1000, 9999)}, see /usr/share/{rng.choice(cases.WORDS)}_v2" for _ in range(400)]
+    marked = [f"{cases.sentence(rng, 20)} secret: {key(rng.randint(8, 40))}" for _ in range(60)]
+    docs = spark.createDataFrame([(t,) for t in plain + marked], "text string")
+    return secrets.MarkovModel.train(docs)
+
+
+def _summed_by_hand(model, token):
+    """One character after the other, from an edge to an edge."""
+    alphabet = "\0" + secrets._ALPHABET.decode()
+    total, before = 0.0, 0
+    for c in [*token, "\0"]:
+        total, before = total + model.ratio[before, alphabet.index(c)], alphabet.index(c)
+    return total
+
+
+def test_the_summed_ratio_decides(spark):
+    rng = random.Random(12)
+    model = _secret_model(spark, rng)
+    kinds = {"base62": string.ascii_letters + string.digits, "letters": string.ascii_letters, "upper hex": "0123456789ABCDEF"}
+    for (kind, alphabet), n in itertools.product(kinds.items(), (19, 24, 40)):
+        tokens = ["".join(rng.choice(alphabet) for _ in range(n)) for _ in range(200)]
+        found = 0
+        for token in tokens:
+            text = f"é {token}, alpha"
+            spans = secrets.added_spans(text, [], model)
+            by_hand = _summed_by_hand(model, token)
+            least = max(model.least, model.least_each * (n + 1))
+            if abs(by_hand - least) > 1e-6:
+                assert (("markov:2:" + str(2 + n)) in secrets.joined(spans)) == (by_hand >= least), token
+            found += bool(spans)
+        # Sixteen characters say less than sixty-two, in a sample of 60 secrets without any such key.
+        assert found >= (90 if kind == "upper hex" else 190), (kind, n, found)
+    # No ordinary token of other texts is taken for a secret: fewer than one in 20,000.
+    ordinary = " ".join(cases.sentence(rng, 60) for _ in range(350)) + " 555-1234 /usr/share/alpha_v2 omikron_v2"
+    assert secrets.added_spans(ordinary, [], model) == []
+
+
+def test_parts_beside_a_base_span_are_scored(spark):
+    rng = random.Random(13)
+    model = _secret_model(spark, rng)
+    first, last = ("".join(rng.choice(string.ascii_letters) for _ in range(n)) for n in (24, 20))
+    text = f"ü {first}Z{'0123456789abcdef' * 2}Z{last} end"
+    base = [s for s, _ in secrets.base_spans(text)]
+    assert [k for *_, k in base] == ["hex"]
+    spans = secrets.added_spans(text, base, model)
+    assert [(s, e) for s, e, _ in spans] == [(2, base[0][0]), (base[0][1], len(text) - 4)]
+
+
 # --- I-Match -------------------------------------------------------------------------------------
 
 
