@@ -10,13 +10,13 @@ import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.functions.calendar import epoch_seconds
 from marketlake.functions.market import percent_of
 from marketlake.operators.lookback import CHUNK, COPY, Frames, over_chunks
+from marketlake.storage import stored
 
 SERIES = ("symbol", "exchange")
 # Candles per chunk: a chunk covers this many grid steps, so it can never hold more rows.
@@ -142,15 +142,59 @@ def indicators(
     return over_chunks(candles, keys, ["interval_start"], chunk, MAX_REACH, run)
 
 
+#: Chunks whose maps are composed together: a fold holds so many at once.
+FOLDED_CHUNKS = 512
+
+
+def _values_before(maps: Column, first: Column, decay: Callable[[Column], Column]) -> Column:
+    """An array of (_at, value): the value that comes into each of the affine maps, which are in order."""
+
+    def step(state: Column, m: Column) -> Column:
+        into = F.array(F.struct(m["_at"].alias("_at"), state["value"].alias("value")))
+        return F.struct(
+            F.concat(state["into"], into).alias("into"), (state["value"] * decay(m) + m["b"]).alias("value")
+        )
+
+    nothing = F.array().cast("array<struct<_at: bigint, value: double>>")
+    return F.aggregate(maps, F.struct(nothing.alias("into"), first.cast("double").alias("value")), step)["into"]
+
+
+def _incoming(ends: DataFrame, q: float) -> DataFrame:
+    """(series, _chunk, _in): the value that comes into each chunk, by a two-level scan of the chunks' maps.
+
+    ``ends`` has each chunk's number of rows n, its own sum b and its first value. Maps of up to ``FOLDED_CHUNKS``
+    chunks are composed into one; values run through these, one row for so many chunks, and then inside them.
+    """
+    def decay(m: Column) -> Column:
+        return F.pow(F.lit(q), m["n"])
+
+    in_order = F.array_sort(F.collect_list(F.struct(F.col("_chunk").alias("_at"), "n", "b", "first")))
+    groups = ends.groupBy(*SERIES, F.floor(F.col("_chunk") / FOLDED_CHUNKS).alias("_group")).agg(in_order.alias("maps"))
+    identity = F.struct(F.lit(1.0).alias("a"), F.lit(0.0).alias("b"))
+    whole = F.aggregate(
+        "maps", identity,
+        lambda done, m: F.struct((done["a"] * decay(m)).alias("a"), (done["b"] * decay(m) + m["b"]).alias("b")),
+    )
+    composed = groups.select(*SERIES, "_group", whole.alias("whole"), F.col("maps")[0]["first"].alias("first"))
+    chains = composed.groupBy(*SERIES).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("_group").alias("_at"), "whole.a", "whole.b", "first"))).alias("maps")
+    )
+    into_groups = chains.select(
+        *SERIES, F.inline(_values_before(F.col("maps"), F.col("maps")[0]["first"], lambda m: m["a"]))
+    ).select(*SERIES, F.col("_at").alias("_group"), F.col("value").alias("_value"))
+    return groups.join(into_groups, [*SERIES, "_group"]).select(
+        *SERIES, F.inline(_values_before(F.col("maps"), F.col("_value"), decay))
+    ).select(*SERIES, F.col("_at").alias("_chunk"), F.col("value").alias("_in"))
+
+
 def ema_recursive(
     candles: DataFrame, period: int, minutes: int, column: str = "close", steps_per_chunk: int = 256
 ) -> DataFrame:
     """True recursive EMA: seeded with the first value, then e = a*x + (1-a)*e.
 
     A run of n steps maps the incoming e to q**n * e + b with q = 1-a, and such maps compose. So each
-    chunk is folded on its own by a running sum, chunks are chained through one (n, b) row each, and
-    the incoming value is added back with its decay. Only the chunk rows meet in one place. The input is
-    read twice; select just the needed columns first and the second read reuses the first's shuffle.
+    chunk is folded on its own by a running sum, the chunks' maps are scanned in two levels, and the incoming value is
+    added back with its decay. Folded rows are stored: the candles are read once, and no task sees all chunks of a series.
     """
     alpha, q = 2.0 / (period + 1), 1 - 2.0 / (period + 1)
     if q <= 0:
@@ -166,24 +210,15 @@ def ema_recursive(
         .withColumn("_local", F.col("_sum") * F.pow(F.lit(q), F.col("_n")))
         .drop("_sum")
     )
+    local = stored(local, "ema")
     ends = local.groupBy(*SERIES, "_chunk").agg(
         F.max("_n").alias("n"),
         F.max_by("_local", "_n").alias("b"),
         F.min_by(column, "_n").cast("double").alias("first"),
     )
-
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_chunk")
-        incoming, value = [], float(pdf["first"].iloc[0])
-        for n, b in zip(pdf["n"], pdf["b"]):
-            incoming.append(value)
-            value = value * q**n + b
-        return pdf[[*SERIES, "_chunk"]].assign(_in=incoming)
-
-    carried = ends.groupBy(*SERIES).applyInPandas(chain, "symbol string, exchange string, _chunk bigint, _in double")
     value = F.col("_local") + F.pow(F.lit(q), F.col("_n")) * F.col("_in")
     return (
-        local.join(carried, [*SERIES, "_chunk"])
+        local.join(_incoming(ends, q), [*SERIES, "_chunk"])
         .withColumn(f"ema_recursive_{period}", value)
         .drop("_chunk", "_n", "_local", "_in")
     )

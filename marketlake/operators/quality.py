@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.config import QualityBounds
@@ -110,18 +110,40 @@ def split_valid_invalid(scored: DataFrame, record_id: str = "record_id", dlq_ena
     return Routed(scored.filter(F.col("status") == VALID), failed)
 
 
-def batch_stats(scored: DataFrame, alert_share: float = 0.1) -> DataFrame:
-    """Totals of a batch and the alert text when too many records were rejected."""
+def _totals() -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("total_records"),
+        F.count_if(F.col("status") == VALID).alias("valid_records"),
+        F.count_if(F.col("status") != VALID).alias("invalid_records"),
+    ]
+
+
+def _with_alert(totals: DataFrame, alert_share: float) -> DataFrame:
     bad = F.col("invalid_records") / F.col("total_records")
     text = F.concat(
         F.lit("High error rate detected: "), F.col("invalid_records").cast("string"), F.lit("/"),
         F.col("total_records").cast("string"), F.lit(" records failed"),
     )
-    return scored.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.count_if(F.col("status") == VALID).alias("valid_records"),
-        F.count_if(F.col("status") != VALID).alias("invalid_records"),
-    ).withColumn("alert", F.when((F.col("total_records") > 0) & (bad > alert_share), text))
+    return totals.withColumn("alert", F.when((F.col("total_records") > 0) & (bad > alert_share), text))
+
+
+def batch_stats(scored: DataFrame, alert_share: float = 0.1) -> DataFrame:
+    """Totals of a batch and the alert text when too many records were rejected."""
+    return _with_alert(scored.agg(*_totals()), alert_share)
+
+
+def observe_totals(scored: DataFrame) -> tuple[DataFrame, Observation]:
+    """``scored`` whose totals are counted while another job evaluates it; see ``observed_stats``."""
+    observation = Observation()
+    return scored.observe(observation, *_totals()), observation
+
+
+def observed_stats(spark: SparkSession, observation: Observation, alert_share: float = 0.1) -> DataFrame:
+    """``batch_stats`` without a job of its own, once an action has evaluated all observed rows."""
+    totals = observation.get
+    names = ("total_records", "valid_records", "invalid_records")
+    row = spark.createDataFrame([tuple(totals[n] for n in names)], ", ".join(f"{n} long" for n in names))
+    return _with_alert(row, alert_share)
 
 
 def emit_metrics(scored: DataFrame, at: Column, processing_seconds: float | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.config import AlarmRule
+from marketlake.storage import stored
 
 HEALTHY, WARNING, CRITICAL, UNKNOWN = "HEALTHY", "WARNING", "CRITICAL", "UNKNOWN"
 
@@ -225,7 +226,7 @@ def latency_summary(samples: DataFrame, percentiles: tuple[int, ...] = (95, 99))
     the value at position int(n * p / 100) of the sorted latencies. Latencies are first counted by value;
     positions then come from running counts inside value ranges of 2**20 microseconds, offset by the
     ranges before, so no component is ever sorted in one task. Totals come from the same counts, errors
-    being those of the null latency: the samples are read once.
+    being those of the null latency. The counts are stored, so the samples are read and shuffled once, at once.
     """
     every = (
         samples.groupBy("component", F.shiftright("latency_us", 20).alias("range"), "latency_us")
@@ -235,6 +236,7 @@ def latency_summary(samples: DataFrame, percentiles: tuple[int, ...] = (95, 99))
             F.max(F.unix_micros(F.col("done_at").cast("timestamp"))).alias("_to"),
         )
     )
+    every = stored(every, "latencies")
     good = F.col("latency_us").isNotNull()
     totals = every.groupBy("component").agg(
         F.coalesce(F.sum(F.when(good, F.col("n"))), F.lit(0)).alias("records_processed"),

@@ -905,6 +905,11 @@ SQL["stream_quality"] = f"{_ARRIVED_TICKS} select {_RECORD_OUT}, {_LIVE_SPREAD},
 SQL["stream_quality_failed"] = (
     f"with {RECORDS} select record_id, status, {_REASON} as reason from scored where status <> 'valid'"
 )
+SQL["stream_quality_stats"] = f"""with {RECORDS}, s as (
+  select ((day(now) - 1) // 8)::int as run, count(*) as total_records, count(*) filter (status = 'valid') as valid_records,
+         count(*) filter (status <> 'valid') as invalid_records from scored group by 1)
+  select *, case when invalid_records / total_records::double > 0.1
+    then 'High error rate detected: ' || invalid_records || '/' || total_records || ' records failed' end as alert from s"""
 SQL["stream_alarms"] = (
     f"with {_ALARM} select {_ALARM_OUT} from alarm "
     "where period_start + interval '1 hour' <= "

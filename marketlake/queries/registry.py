@@ -188,15 +188,9 @@ query("normalize_coinbase")(_normalized("coinbase"))
 query("normalize_by_config")(_normalized("kraken"))
 
 
-def _per_feed(spark, sf_dir, build: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    parts = [build(feed_messages(spark, sf_dir, name), name) for name in FEEDS]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
-
-
 @query("filter_event_type")
 def _(spark, sf_dir):
-    kept = _per_feed(spark, sf_dir, lambda df, name: FD.filter_event_type(df, FEEDS[name]))
-    return kept.select("message_id", "feed")
+    return FD.filter_event_types(I.raw_messages(spark, sf_dir)).select("message_id", "feed")
 
 
 @query("canonical_symbol")
@@ -946,6 +940,11 @@ def _(spark, sf_dir):
     return spark.read.parquet(_quality_stream(spark, sf_dir).failed).select("record_id", "status", "reason")
 
 
+@query("stream_quality_stats")
+def _(spark, sf_dir):
+    return spark.read.parquet(_quality_stream(spark, sf_dir).stats).withColumnRenamed("batch", "run")
+
+
 @query("stream_alarms")
 def _(spark, sf_dir):
     paths = _paths(spark, "stream-alarms")

@@ -65,6 +65,20 @@ def filter_event_type(messages: DataFrame, feed: FeedFormat, text: str = "messag
     return messages.filter(value == feed.type_value)
 
 
+def filter_event_types(
+    messages: DataFrame, feeds: dict[str, FeedFormat] = FEEDS, text: str = "message", feed: str = "feed"
+) -> DataFrame:
+    """``filter_event_type`` for feeds that lie in one table: each message by its own feed's rule, in one scan."""
+
+    def kept(own: FeedFormat) -> Column:
+        if own.type_field is None:
+            return F.lit(True)
+        return field(F.col("_record"), own.type_field) == own.type_value
+
+    parsed = evaluated(messages.withColumn("_record", json_map(F.col(text))), "_record")
+    return parsed.filter(by_feed(kept, feeds, feed)).drop("_record")
+
+
 def normalize(messages: DataFrame, feed: FeedFormat, keep: tuple[str, ...] = ()) -> DataFrame:
     """Trades of one feed. The feed's field map is all that differs between exchanges."""
     record = F.col("record")

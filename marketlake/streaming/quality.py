@@ -11,7 +11,7 @@ import time
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -21,9 +21,10 @@ from marketlake.operators.enrich import REACH, tick_statistics
 from marketlake.operators.lookback import RowChunks, over_chunks
 from marketlake.operators.quality import (
     VALID,
-    batch_stats,
     emit_metrics,
     late_records,
+    observe_totals,
+    observed_stats,
     score_records,
     split_valid_invalid,
     typed_records,
@@ -117,24 +118,28 @@ def stream_quality(
     prices = CarriedPrices(spark, paths.prices, chunks)
 
     def step(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return  # what is never evaluated is never observed
         decoded = decode_stream(batch, encoding=encoding)
-        scored = score_records(decoded, bounds, moment).persist(StorageLevel.MEMORY_AND_DISK)
+        scored, totals = observe_totals(score_records(decoded, bounds, moment))
+        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write_all(scored, batch_id)
+            write_all(scored, totals, batch_id)
         finally:
             scored.unpersist()
 
-    def write_all(scored: DataFrame, batch_id: int) -> None:
+    def write_all(scored: DataFrame, totals: Observation, batch_id: int) -> None:
         started = time.monotonic()
         routed = split_valid_invalid(scored, dlq_enabled=dlq_enabled)
         valid = add_live_spread(typed_records(routed.valid, moment)).withColumn("processed_at", F.current_timestamp())
+        # The first job on the persisted records evaluates all of them and so counts the totals.
         label = f"{batch_id:012d}"
         at = F.current_timestamp()
         write_raw_json(prices.enrich(valid, batch_id), paths.lake, at, batch=label)
         for name, rows in (
             ("failed", routed.failed),
             ("late", late_records(scored, moment, bounds).select("record_id", "payload", "quality_score")),
-            ("stats", batch_stats(scored)),
+            ("stats", observed_stats(spark, totals)),
         ):
             rows.write.mode("overwrite").parquet(f"{getattr(paths, name)}/batch={batch_id}")
         prices.advance(valid, batch_id)
