@@ -28,11 +28,15 @@ STEMS = (3, 4, 5, 6, 7)
 FACTORS = 8
 #: A term must occur in so many of the texts learned from.
 LEAST_TEXTS = 5
-#: And its shares in the two classes must lie so many standard errors apart.
-LEAST_APART = 4.0
+#: And its shares in the two classes must lie so many standard errors apart, or those of it together with another term.
+LEAST_APART, LEAST_APART_IN_PAIRS = 4.0, 7.0
+#: Terms that pairs are looked for among: those that vary most over the texts learned from.
+PAIR_TERMS = 2_048
 LINEAR_EPOCHS, EPOCHS, BATCH, RATE = 15, 10, 128, 0.2
-#: L1 prices of weights and factors, in texts: what so many texts say alone is taken for chance.
-WEIGHT_PRICE, FACTOR_PRICE = 1.0, 5.0
+#: L1 price of weights, in texts: what so many texts say alone is taken for chance. That of factors is the one of these
+#: with which the other texts explain a held-back share of them best.
+WEIGHT_PRICE, FACTOR_PRICES = 1.0, (0.05, 0.2, 1.0)
+HELD_BACK = 5
 
 _WORD = re.compile(r"\w+")
 
@@ -60,7 +64,7 @@ def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def _telling(texts: Sequence[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """The slots whose share of texts differs between the classes by more than chance.
+    """The slots that differ between the classes by more than chance, alone or in how they meet another one.
 
     A long text has thousands of terms that say nothing; even small weights of theirs would add up.
     """
@@ -73,8 +77,35 @@ def _telling(texts: Sequence[np.ndarray], labels: np.ndarray) -> np.ndarray:
     both = (seen[0] + seen[1]) / max(n.sum(), 1)
     with np.errstate(divide="ignore", invalid="ignore"):
         apart = np.abs(seen[1] / n[1] - seen[0] / n[0]) / np.sqrt(both * (1 - both) * (1 / n[0] + 1 / n[1]))
-    enough = seen[0] + seen[1] >= min(LEAST_TEXTS, max(1, len(texts) // 10))
-    return np.flatnonzero(enough & (np.nan_to_num(apart) >= LEAST_APART))
+    enough = seen[0] + seen[1] >= LEAST_TEXTS
+    alone = np.flatnonzero(enough & (np.nan_to_num(apart) >= LEAST_APART))
+    return np.union1d(alone, _telling_in_pairs(texts, labels, np.flatnonzero(enough), both))
+
+
+def _telling_in_pairs(
+    texts: Sequence[np.ndarray], labels: np.ndarray, slots: np.ndarray, share: np.ndarray
+) -> np.ndarray:
+    """Those slots whose covariance with another slot differs between the classes by more than chance."""
+    slots = np.sort(slots[np.argsort(-share[slots] * (1 - share[slots]), kind="stable")[:PAIR_TERMS]])
+    n = [int((labels == label).sum()) for label in (0, 1)]
+    if len(slots) < 2 or min(n) < 2:
+        return slots[:0]
+    place = np.full(1 << SLOT_BITS, -1, np.int32)
+    place[slots] = np.arange(len(slots))
+    covariance, error = [], np.zeros((len(slots), len(slots)), np.float32)
+    for label in (0, 1):
+        x = np.zeros((n[label], len(slots)), np.float32)
+        for row, t in zip(x, (t for t, y in zip(texts, labels) if y == label)):
+            at = place[t]
+            row[at[at >= 0]] = 1
+        x -= x.mean(axis=0)
+        covariance.append(x.T @ x / n[label])
+        x *= x
+        error += (x.T @ x / n[label] - covariance[-1] ** 2) / n[label]
+    # A pair seen a few times only has no error worth the name: one text more or less of each class.
+    apart = np.abs(covariance[1] - covariance[0]) / np.sqrt(error + 1 / n[0] ** 2 + 1 / n[1] ** 2)
+    np.fill_diagonal(apart, 0)
+    return slots[(apart >= LEAST_APART_IN_PAIRS).any(axis=1)]
 
 
 @dataclass
@@ -85,9 +116,17 @@ class FactorizationMachine:
     bias: float
 
     @classmethod
-    def fit(cls, texts: Sequence[np.ndarray], labels: Sequence[int], prior_shift: float = 0.0, seed: int = 42):
-        """Logistic loss, Adagrad. ``prior_shift`` is added to the bias, for samples that favour one class."""
+    def fit(
+        cls, texts: Sequence[np.ndarray], labels: Sequence[int], prior_shift: float = 0.0, seed: int = 42,
+        factor_price: float | None = None,
+    ):
+        """Logistic loss, Adagrad. ``prior_shift`` is added to the bias, for samples that favour one class.
+
+        The price of factors is chosen on every ``HELD_BACK``-th text where none is given.
+        """
         labels = np.asarray(labels, float)
+        if factor_price is None:
+            factor_price = cls._price(texts, labels, seed)
         known = _telling(texts, labels)
         place = np.full(1 << SLOT_BITS, -1, np.int32)
         place[known] = np.arange(len(known))
@@ -117,7 +156,7 @@ class FactorizationMachine:
                 pull = spread[:, None] * (np.repeat(sums, sizes, axis=0) - factors)
                 bend = np.stack([np.bincount(inverse, pull[:, f], len(used)) for f in range(FACTORS)], axis=1)
                 for values, history, gradient, price in (
-                    (model.weights, grown[0], slope, WEIGHT_PRICE), (model.factors, grown[1], bend, FACTOR_PRICE)
+                    (model.weights, grown[0], slope, WEIGHT_PRICE), (model.factors, grown[1], bend, factor_price)
                 )[: 1 + pairwise]:
                     history[used] += gradient**2
                     values[used] -= RATE * gradient / np.sqrt(history[used])
@@ -129,6 +168,17 @@ class FactorizationMachine:
         model.bias += prior_shift
         return model
 
+    @classmethod
+    def _price(cls, texts: Sequence[np.ndarray], labels: np.ndarray, seed: int) -> float:
+        back = np.arange(len(texts)) % HELD_BACK == 0
+        held = [t for t, is_back in zip(texts, back) if is_back]
+        others = [t for t, is_back in zip(texts, back) if not is_back]
+        losses = []
+        for price in FACTOR_PRICES:
+            score = np.clip(cls.fit(others, labels[~back], seed=seed, factor_price=price).score(held), 1e-6, 1 - 1e-6)
+            losses.append(-(labels[back] * np.log(score) + (1 - labels[back]) * np.log(1 - score)).sum())
+        return FACTOR_PRICES[int(np.argmin(losses))]
+
     def _raw(self, terms_: np.ndarray, factors: np.ndarray, sums: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         linear = _sums(self.weights[terms_], sizes)
         pairs = 0.5 * (sums**2 - _sums(factors**2, sizes)).sum(axis=1)

@@ -102,6 +102,35 @@ def test_factorization_machine_learns_pairs():
     assert both > 0.5 > max(one, other)
 
 
+def test_terms_that_tell_in_pairs_only():
+    """One of two words makes a text toxic, both or none don't: neither says anything alone."""
+    rng = random.Random(5)
+    texts, labels = [], []
+    for _ in range(3000):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        words = [f"word{rng.randrange(400)}" for _ in range(30)] + ["gronk"] * a + ["zabs"] * b
+        texts.append(toxicity.terms(" ".join(words)))
+        labels.append(int(a != b))
+    model = toxicity.FactorizationMachine.fit(texts[:2400], labels[:2400])
+    right = (model.score(texts[2400:]) >= 0.5) == np.asarray(labels[2400:])
+    assert right.mean() > 0.97 and (model.factors != 0).any()
+
+
+def test_score_is_the_sum_over_all_pairs():
+    rng = np.random.default_rng(4)
+    place = np.full(1 << toxicity.SLOT_BITS, -1, np.int32)
+    slots = np.unique(toxicity.terms("alpha beta gamma delta epsilon zeta eta theta iota kappa"))
+    place[slots] = np.arange(len(slots))
+    factors = rng.normal(size=(len(slots), toxicity.FACTORS))
+    model = toxicity.FactorizationMachine(place, rng.normal(size=len(slots)), factors, 0.3)
+    texts = ["", "alpha", "alpha unknown beta", "zeta eta theta iota", "alpha beta gamma delta epsilon zeta eta theta iota kappa"]
+    for text, score in zip(texts, model.score([toxicity.terms(t) for t in texts])):
+        own = [place[t] for t in toxicity.terms(text) if place[t] >= 0]
+        total = model.bias + sum(model.weights[i] for i in own)
+        total += sum(float(factors[i] @ factors[j]) for i, j in itertools.combinations(own, 2))
+        assert score == pytest.approx(1 / (1 + np.exp(-np.clip(total, -50, 50))), abs=1e-12)
+
+
 def toxic_docs(n=600):
     rng = random.Random(5)
     docs, labels = [], []
