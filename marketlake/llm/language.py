@@ -23,12 +23,12 @@ SLOT_BITS = 15
 ORDERS = (1, 2, 3)
 #: Added to every count.
 SMOOTHING = 0.5
-#: A posterior is that of so many n-grams at most; those of a long text are far from independent.
+#: The score is the posterior of so many n-grams at most; those of a long text are far from independent.
 EVIDENCE = 200
 #: Code points that are hashed at once.
 PIECE = 1 << 18
-#: Tasks that count the sample's n-grams.
-TRAIN_TASKS = 8
+#: Texts of the sample whose n-grams one task counts, about.
+TRAIN_TASK_ROWS = 2_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -94,8 +94,9 @@ class LanguageModel:
         for language, share in large.items():
             kept = kept | ((F.col("lang") == language) & (chance < share))
         sample = labelled.where(kept) if large else labelled
+        tasks = 1 + sum(min(n, rows) for n in sizes.values()) // TRAIN_TASK_ROWS
         counted = (
-            sample.select("lang", "text").repartition(TRAIN_TASKS)
+            sample.select("lang", "text").repartition(tasks)
             .mapInArrow(_count_slots(languages), "language int, slot int, n long")
             .groupBy("language", "slot").agg(F.sum("n").alias("n"))
         )
@@ -151,9 +152,10 @@ class LanguageModel:
         return sums, numbers
 
     def _decide(self, sums: np.ndarray, n: int) -> tuple[str, float]:
-        likely = sums * min(1.0, EVIDENCE / max(n, 1)) + self.prior
-        odds = np.exp(likely - likely.max())
-        best = int(odds.argmax())
+        likely = sums + self.prior
+        best = int(likely.argmax())
+        # Only the score is tempered: scaled as a whole, the sums keep their order.
+        odds = np.exp((likely - likely[best]) * min(1.0, EVIDENCE / max(n, 1)))
         return self.languages[best], float(odds[best] / odds.sum())
 
 
@@ -161,7 +163,9 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """Adds ``lang_pred`` and ``score`` (0 to 1) to every row, replacing columns of these names.
 
     Only ``text`` is looked at. Null texts, texts without a letter, and all texts if the model has learned no
-    language are ``und`` with score 0. Repeated rows get the same result each.
+    language are ``und`` with score 0. The language is the one with the largest sum of log-probabilities over all
+    n-grams, however long the text is; a very long one is summed in pieces. Repeated rows get the same result each.
+    An empty table gives an empty one.
     """
 
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

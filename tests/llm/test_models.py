@@ -51,6 +51,19 @@ def test_language_sums_are_those_of_each_text_alone(monkeypatch):
         assert np.allclose(sums, alone) and n.tolist() == numbers
 
 
+@pytest.mark.parametrize("length", [10, 400, 5_000, 50_000])
+def test_language_is_the_largest_sum_at_every_length(length):
+    """A frequent language against one that is a little likelier for each n-gram: long texts overrule the prior."""
+    logs = np.tile([-5.0, -5.02], (1 << language.SLOT_BITS, 1))
+    model = language.LanguageModel(["rare", "usual"], logs, np.log([0.001, 0.999]))
+    text = "ab c" * (length // 4 + 1)
+    codes = language._codes(text)
+    sums = sum(logs[slots].sum(axis=0) for slots in language._slots(codes)) + model.prior
+    names, scores = model.predict([text])
+    assert names == [model.languages[int(np.argmax(sums))]] and 0.5 <= scores[0] <= 1
+    assert names == ["usual" if length == 10 else "rare"]
+
+
 def test_rare_language_is_learned_beside_a_large_one(spark):
     rng = random.Random(2)
     rows = [(i, made_up("en", rng, 8), "en", "s", 0) for i in range(4000)]
