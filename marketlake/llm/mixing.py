@@ -14,11 +14,11 @@ is spread over its blocks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from marketlake.llm.common import join_unique, stored, whole_row
+from marketlake.llm.common import join_unique, ranked, stored, whole_row
 from marketlake.llm.textkeys import WORD
 
 #: Weights of the sources in code point order, repeated; null comes last.
@@ -27,6 +27,8 @@ WEIGHTS = (1, 2, 3)
 MAX_PASSES = 3
 #: Hash values of the permutation lie below this.
 SPACE = 1 << 32
+#: Hex digits of a unit's chance that name its range: 4,096 ranges, the size of what one task numbers.
+RANGE_DIGITS = 3
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_passes: int = MAX_PASSES) -> DataFrame:
@@ -55,14 +57,20 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_passes: in
 
 
 def _split(units: DataFrame, depth: int, seed: int) -> DataFrame:
-    """Adds ``shard``: each level of the tree sends a random half of a node's units to the left."""
+    """Adds ``shard``: each level of the tree sends a random half of a node's units to the left.
+
+    Units are numbered by ranges of their chance with the counts of the ranges before them, so that a node with all
+    units is no single task. Levels are written, since each reads its units twice.
+    """
     units = units.withColumn("shard", F.lit(0))
     for level in range(depth):
-        chance = F.xxhash64(F.lit(seed), F.lit(level), "source_key", "pass", "block")
-        node = Window.partitionBy("shard")
-        place = F.row_number().over(node.orderBy(chance, "source_key", "pass", "block"))
-        left = place <= F.floor((F.count("*").over(node) + 1) / 2)
-        units = units.withColumn("shard", F.col("shard") * 2 + F.when(left, 0).otherwise(1))
+        chance = F.md5(F.concat_ws(":", F.lit(seed), F.lit(level), "source_key", "pass", "block"))
+        drawn = stored(units.withColumn("chance", chance).withColumn("range", F.substring("chance", 1, RANGE_DIGITS)), "level")
+        nodes = drawn.groupBy("shard").agg(F.count("*").alias("node_units"))
+        order = [F.col("chance"), F.col("source_key"), F.col("pass"), F.col("block")]
+        placed = ranked(drawn, ["shard"], "range", order, "place").join(F.broadcast(nodes), "shard")
+        left = F.col("place") < F.floor((F.col("node_units") + 1) / 2)
+        units = placed.withColumn("shard", F.col("shard") * 2 + F.when(left, 0).otherwise(1)).select(*units.columns)
     return units
 
 
@@ -161,9 +169,27 @@ def mix(
     )
 
 
+def dealt(draws: Column | str = "draws") -> Column:
+    """The draws as text: ``pass:shard:words``, comma-joined; null where the mix doesn't take the row."""
+    parts = F.transform(draws, lambda d: F.concat_ws(":", d["pass"], d["shard"], d["words"]))
+    return F.when(F.size(parts) > 0, F.array_join(parts, ","))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mix(docs).select("doc_id", "size", "source_size", "target", "taken", dealt().alias("draws"))
+
+
+def _split_sql(depth: int, seed: int) -> str:
+    """Each level as a table: the units of level ``n`` with the node that they are in."""
+    tables = ["tree0 as (select *, 0 as shard from units)"]
+    for level in range(depth):
+        chance = f"md5('{seed}:{level}:' || source_key || ':' || pass || ':' || block)"
+        tables.append(f"""tree{level + 1} as (
+  select source_key, pass, block, shard * 2 + case when
+    row_number() over (partition by shard order by {chance}, source_key, pass, block)
+    <= (count(*) over (partition by shard) + 1) // 2 then 0 else 1 end as shard from tree{level})""")
+    return ",\n".join(tables)
 
 
 SQL = r"""
@@ -171,7 +197,7 @@ with sized as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size,
     md5(cast(doc_id as varchar)) as order_key from documents),
 sources as (
-  select source, sum(size)::bigint as source_size, 3 * sum(size)::bigint as cap,
+  select source, count(*) as n, sum(size)::bigint as source_size, 3 * sum(size)::bigint as cap,
     (row_number() over (order by source nulls last) - 1) % 3 + 1 as weight from sized group by source),
 levels as (
   select *, row_number() over by_cap as nth,
@@ -180,17 +206,33 @@ levels as (
       / (sum(weight) over (by_cap rows between current row and unbounded following))::bigint as level_here
   from sources window by_cap as (order by cap / weight, source nulls last)),
 chosen as (select arg_min(level_here, nth) as level from levels where level_here * weight <= cap),
-quotas as (
-  select source, source_size, least(cap::double, coalesce(level, 0) * weight) as target,
+shares as (
+  select source, source_size, n, least(cap::double, coalesce(level, 0) * weight) as target,
     cast(round(least(cap::double, coalesce(level, 0) * weight)) as bigint) as quota
   from levels, chosen),
+quotas as (
+  select *, ceil(sqrt(n))::bigint as blocks, case when source_size > 0 then quota // source_size else 0 end as passes
+  from shares),
 ordered as (
-  select s.doc_id, s.size, q.source_size, q.target,
-    case when q.source_size > 0 then q.quota // q.source_size else 0 end as passes, q.quota,
+  select s.doc_id, s.size, q.source_size, q.target, coalesce('=' || s.source, 'null') as source_key,
+    floor(cast('0x' || substr(order_key, 1, 8) as bigint) * q.blocks / 4294967296.0)::bigint as block,
+    q.passes, q.quota - q.passes * q.source_size as rest,
     coalesce(sum(s.size) over (partition by s.source order by order_key, doc_id
       rows between unbounded preceding and 1 preceding), 0) as before
-  from sized s join quotas q on s.source is not distinct from q.source)
-select doc_id, size, source_size, target,
-  cast(passes * size + greatest(0, least(size, quota - passes * source_size - before)) as bigint) as taken
-from ordered
+  from sized s join quotas q on s.source is not distinct from q.source),
+units as (
+  select source_key, block, unnest(range(1, passes + case when first < rest then 2 else 1 end)) as pass
+  from (select source_key, block, max(passes) as passes, max(rest) as rest, min(before) as first
+    from ordered group by all)),
+""" + _split_sql(4, 42) + r""",
+draws as (
+  select o.doc_id, t.pass, t.shard,
+    case when t.pass <= o.passes then o.size else greatest(0, least(o.size, o.rest - o.before)) end as words
+  from ordered o join tree4 t on t.source_key = o.source_key and t.block = o.block),
+drawn as (
+  select doc_id, sum(words)::bigint as taken,
+    string_agg(pass || ':' || shard || ':' || words::bigint, ',' order by pass) as draws
+  from draws where words > 0 group by doc_id)
+select o.doc_id, o.size, o.source_size, o.target, coalesce(d.taken, 0) as taken, d.draws
+from ordered o left join drawn d on d.doc_id = o.doc_id
 """

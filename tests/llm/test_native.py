@@ -152,6 +152,34 @@ def test_splitting_tree_is_exact_and_random(spark):
     assert other != Counter(r.shard for r in got if r.source_key == "=a")
 
 
+def test_splitting_tree_by_hand(spark):
+    """Level by level: the units of a node in the order of their chance, the first half to the left."""
+    rows = [(f"={s}", p, b) for s in "abc" for b in range(40) for p in range(1, 1 + len(s) + b % 3)]
+    nodes = {0: rows}
+    for level in range(3):
+        halves = {}
+        for node, units in nodes.items():
+            chance = lambda u: hashlib.md5(f"9:{level}:{u[0]}:{u[1]}:{u[2]}".encode()).hexdigest()
+            ordered = sorted(units, key=chance)
+            half = (len(units) + 1) // 2
+            halves[2 * node], halves[2 * node + 1] = ordered[:half], ordered[half:]
+        nodes = halves
+    units = spark.createDataFrame(rows, "source_key string, pass long, block long")
+    got = {(r.source_key, r["pass"], r.block): r.shard for r in mixing._split(units, 3, seed=9).collect()}
+    assert got == {unit: node for node, units in nodes.items() for unit in units}
+
+
+def test_mix_of_many_sources(spark):
+    rows = [(i, "w " * (1 + i % 7), None, f"host{i % 5000:04d}", 0) for i in range(10_000)]
+    got = mixing.mix(spark.createDataFrame(rows, cases.SCHEMA)).collect()
+    sizes, taken = Counter(), Counter()
+    for r, source in ((r, f"host{r.doc_id % 5000:04d}") for r in got):
+        sizes[source] += r["size"]
+        taken[source] += r.taken
+    target = targets_by_hand(sizes)
+    assert len(got) == 10_000 and all(abs(taken[s] - target[s]) <= 0.5 + 1e-6 for s in sizes)
+
+
 def test_tree_decides_what_is_taken(spark, monkeypatch):
     """A shard's units that are lost on the way are words that are not taken."""
     whole = {r.doc_id: r for r in mixing.mix(cases.frame(spark)).collect() if r.doc_id is not None}
