@@ -111,24 +111,26 @@ def dedup_lines(
     A line's key is the line without ASCII white space at both ends, A-Z lower-cased. Of the lines with one key
     of at least ``min_key`` code points only those in the smallest doc_id stay; other lines always stay. Rows
     with the same doc_id are one document, whose lines all stay; null ids are one document that comes last. A
-    null or empty text is one empty line and stays as it is. Repeated rows get the same result each. Other columns
-    are ignored, whatever their names. An empty table gives an empty one.
+    null or empty text is one empty line and stays as it is. A very long text is split whole; its lines are spread
+    by their hashes. Repeated rows get the same result each. Other columns are ignored, whatever their names. An empty
+    table gives an empty one. The runs' tables leave the catalog whether or not all went well.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text", *([whole_row(docs)] if carry else []))
     lines = stored(long_lines(docs.select("doc_id", "text"), min_key), "lines")
-    runs = LineRuns(spark, fanout)
     bounds = _bounds(lines, batches)
-    for low, high in zip([None, *bounds], [*bounds, None]):
-        batch = lines if low is None else lines.where(F.col("place") > low)
-        runs.add(batch if high is None else batch.where(F.col("place") <= high))
-
-    dropped = (
-        lines.join(runs.first_seen(), [*HASH, "place"], "left_anti")
-        .groupBy("place", "row_key").agg(F.collect_set("pos").alias("gone"))
-    )
-    dropped = stored(dropped, "dropped-lines")
-    runs.drop()
+    runs = LineRuns(spark, fanout)
+    try:
+        for low, high in zip([None, *bounds], [*bounds, None]):
+            batch = lines if low is None else lines.where(F.col("place") > low)
+            runs.add(batch if high is None else batch.where(F.col("place") <= high))
+        dropped = (
+            lines.join(runs.first_seen(), [*HASH, "place"], "left_anti")
+            .groupBy("place", "row_key").agg(F.collect_set("pos").alias("gone"))
+        )
+        dropped = stored(dropped, "dropped-lines")
+    finally:
+        runs.drop()
 
     marked = docs.withColumns({"place": F.coalesce("doc_id", F.lit(LAST)), "row_key": _row_key()}).join(
         dropped, ["place", "row_key"], "left"

@@ -67,6 +67,16 @@ def test_runs_are_compacted_and_dropped(spark):
     assert not any(spark.catalog.tableExists(name) for name in names)
 
 
+def test_runs_leave_the_catalog_after_a_fault(spark, monkeypatch):
+    def fails(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(line_dedup.LineRuns, "first_seen", fails)
+    with pytest.raises(RuntimeError, match="lost"):
+        line_dedup.dedup_lines(cases.frame(spark))
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("line_run_")]
+
+
 def test_line_dedup_of_nothing(spark):
     assert line_dedup.dedup_lines(cases.empty(spark)).count() == 0
 
