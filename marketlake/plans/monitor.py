@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from math import gcd
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,6 +30,28 @@ def metric_rollup(metrics: DataFrame, period_seconds: int) -> DataFrame:
     )
 
 
+def metric_rollups(metrics: DataFrame, periods: Sequence[int]) -> DataFrame:
+    """``metric_rollup`` for several periods with ``period_seconds``, from one scan.
+
+    Points are aggregated once at the largest period that divides all others; the rest is merged from those parts.
+    """
+    parts = metric_rollup(metrics, gcd(*periods)).withColumn("_s", F.unix_seconds("period_start"))
+    starts = F.explode(F.array(*[
+        F.struct(F.lit(p).alias("seconds"), F.timestamp_seconds(F.floor(F.col("_s") / p) * p).alias("start"))
+        for p in periods
+    ]))
+    return (
+        parts.withColumn("_at", starts)
+        .groupBy(
+            "name", "exchange", F.col("_at.seconds").alias("period_seconds"), F.col("_at.start").alias("period_start")
+        )
+        .agg(
+            F.try_divide(F.sum("sum"), F.sum("samples")).alias("avg"), F.sum("sum").alias("sum"),
+            F.max("max").alias("max"), F.min("min").alias("min"), F.sum("samples").alias("samples"),
+        )
+    )
+
+
 def across_dimensions(metrics: DataFrame) -> DataFrame:
     """The same metrics without dimensions, so a rollup covers all exchanges together."""
     return metrics.withColumn("dimensions", F.lit(None).cast("map<string,string>"))

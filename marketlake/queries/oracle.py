@@ -298,6 +298,29 @@ SQL["infer_raw_schema"] = " union all ".join(
     f"select {n} as position, '{name}' as column_name, '{kind}' as data_type, true as nullable"
     for n, (name, kind) in enumerate(_RAW_COLUMNS)
 )
+# Columns of the crawled lake's records and when they have a value (fixed values).
+_CRAWLED_COLUMNS = (
+    *[(c, "string", f"{c} is not null") for c in ("exchange", "symbol", "timestamp", "trade_id")],
+    *[(c, "double", f"{c} is not null") for c in ("price", "volume", "bid", "quality_score")],
+    *[(c, "double", "bid > 0 and ask > 0") for c in ("spread", "spread_percentage")],
+    ("ask", "double", "ask is not null and day(epoch_ms(ms)) < 20"),
+    ("processed_at", "string", "timestamp is not null and day(epoch_ms(ms)) >= 16"),
+)
+_CRAWL = f"{_VALID}, cols as (" + " union all ".join(
+    f"select cast(epoch_ms(ms) as date) as date, 'records.{name}' as column_name, '{kind}' as data_type, "
+    f"count(*) as n_values from valid where {filled} group by 1" for name, kind, filled in _CRAWLED_COLUMNS
+) + ")"
+SQL["schema_crawl"] = f"""with {_CRAWL} select strftime(date, '%Y') as year, strftime(date, '%m') as month,
+  strftime(date, '%d') as day, column_name, data_type, n_values from cols"""
+SQL["schema_drift"] = f"""with {_CRAWL}, days as (
+  select date, lag(date) over (order by date) as before from (select distinct date from cols)),
+now_and_before as (
+  select d.date, c.column_name, 'now' as side, c.data_type from days d join cols c on c.date = d.date
+  where before is not null
+  union all select d.date, c.column_name, 'before', c.data_type from days d join cols c on c.date = d.before)
+select date, column_name, case when bool_and(side = 'now') then 'added' else 'dropped' end as change,
+  max(case when side = 'now' then data_type end) as data_type, max(case when side = 'before' then data_type end) as type_before
+from now_and_before group by date, column_name having count(*) = 1"""
 SQL["scan_candles"] = f"with {PREPARED}, {candles(5)} select {_SERIES}, {r6s('close', 'volume')} from candles"
 
 # --- normalisers ---------------------------------------------------------------------------------
@@ -704,6 +727,10 @@ for _short, _columns in {
     )
 SQL["surrogate_id_defaults"] = f"""with {PREPARED}, {candles(1440)} select symbol, exchange, count(*) as candles,
   count(*) as ids from candles group by 1, 2"""
+SQL["distributed_by_symbol"] = f"""{TABLE_5M}, kept as (
+  select symbol, exchange, interval_start, round(volume, 8) as volume from ind)
+select symbol, exchange, interval_start, {r6s('volume')}, {r6('avg(volume) over (partition by symbol)', 'mean_volume')}
+from kept"""
 SQL["layout"] = f"with {PREPARED}, {candles(60)} select {_SERIES}, {r6s('close', 'volume')} from candles"
 _DAY_TRADES = f"""{_VALID}, day as (
   select symbol, exchange, epoch_ms(ms) as ts, trade_id, price, volume, null::double as spread,
@@ -715,6 +742,20 @@ SQL["skip_empty"] = f"""with {_DAY_TRADES}, {_DAY_ALL}, al as ({_UNION})
   select {_NAME_CASE} as candle_table, count(*) as candles, sum(trade_count)::bigint as trades,
   true as skipped_empty, true as built from al group by 1"""
 
+SQL["days_to_rerun"] = f"""with {_VALID}, landed as (
+  select cast(epoch_ms(ms) as date) as date, trade_id::bigint % 11 = 0 as late from valid),
+unseen as (
+  select distinct date, late from landed where late or date not in (date '2024-01-14', date '2024-01-15'))
+select strftime(date, '%Y') as year, strftime(date, '%m') as month, strftime(date, '%d') as day, count(*) as batches
+from unseen group by date"""
+SQL["process_day_metrics"] = f"""with {_DAY_TRADES}, dq as (
+  select distinct coalesce(exchange, 'unknown') as e, coalesce(symbol, 'unknown') as s from scored
+  where cast(epoch_ms(ms) as date) = date '2024-01-15')
+select date '2024-01-15' as date, 'data_quality_metrics' as metric_table, (select count(*) from dq) as n_rows,
+  (select count(*) from scored where cast(epoch_ms(ms) as date) = date '2024-01-15') as records
+union all select date '2024-01-15', 'daily_stats', count(distinct (symbol, exchange)), count(*) from day
+union all select date '2024-01-15', 'exchange_performance', count(distinct exchange), count(*) from day"""
+
 _TWO_DAYS = _DAY_TRADES.replace("= date '2024-01-15'", "in (date '2024-01-14', date '2024-01-15')")
 SQL["process_two_days"] = f"""with {_TWO_DAYS}, {_DAY_ALL}, al as ({_UNION})
   select {_NAME_CASE} as candle_table, year, month, day, count(*) as candles, sum(trade_count)::bigint as trades
@@ -777,6 +818,13 @@ SQL["metric_rollup"] = f"""with {_METRICS} select name, exchange, time_bucket(in
   count(value) as samples from metrics group by 1, 2, 3"""
 
 
+SQL["metric_rollup_periods"] = f"with {_METRICS} " + " union all ".join(
+    f"select name, exchange, {seconds} as period_seconds, time_bucket(interval '{seconds} seconds', now) as period_start, "
+    f"{r6('avg(value)', 'avg')}, {r6('sum(value)', 'sum')}, {r6('max(value)', 'max')}, {r6('min(value)', 'min')}, "
+    "count(value) as samples from metrics group by name, exchange, 4" for seconds in (300, 3600, 86400)
+)
+
+
 def _alarm(metric: str, statistic: str, breach: str) -> str:
     return f"""{_METRICS}, periods as (
   select name, time_bucket(interval '1 hour', now) as period_start, {statistic}(value) as value from metrics

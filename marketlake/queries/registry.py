@@ -22,9 +22,10 @@ from marketlake.operators import trades as TR
 from marketlake.plans import jobs, monitor as M, views as V
 from marketlake.queries import inputs as I
 from marketlake.sinks import lake as K
+from marketlake.sources import crawl as CR
 from marketlake.sources import feeds as FD
 from marketlake.sources import lake as L
-from marketlake.storage import work_path
+from marketlake.storage import stored, work_path
 from marketlake.streaming import alarms as STA
 from marketlake.streaming import candles as STC
 from marketlake.streaming import late as STL
@@ -117,6 +118,13 @@ def raw_lake(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "lake", write)
 
 
+def read_and_drop(spark: SparkSession, table: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``build`` makes of a catalog table, written, so that the table can leave the catalog."""
+    result = stored(build(spark.table(table)), "read")
+    spark.sql(f"drop table {table}")
+    return result
+
+
 def metric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = scored(spark, sf_dir)
     event_ts = parsing.event_time(parsing.field(F.col("record"), "timestamp"))
@@ -160,6 +168,38 @@ def _(spark, sf_dir):
     return L.infer_raw_schema(spark, raw_lake(spark, sf_dir))
 
 
+#: Day of the month from which the crawled lake's records have processed_at, and from which they have no ask.
+_DRIFT_DAYS = (16, 20)
+
+
+def _crawled(spark: SparkSession, sf_dir: str) -> str:
+    """Column table of a lake that lands in two batches, crawled after each."""
+
+    def write(path: str) -> None:
+        lake = work_path(spark, "drift-lake")
+        day = F.dayofmonth("landed")
+        records = TR.add_live_spread(valid_typed(spark, sf_dir)).withColumns({
+            "processed_at": F.when(day >= _DRIFT_DAYS[0], F.col("timestamp")),
+            "ask": F.when(day < _DRIFT_DAYS[1], F.col("ask")),
+        })
+        for label, part in (("first", day < 18), ("second", day >= 18)):
+            K.write_raw_json(records.filter(part), lake, batch=label)
+            CR.crawl(spark, lake, path)
+
+    return _once(spark, sf_dir, "crawl", write)
+
+
+@query("schema_crawl")
+def _(spark, sf_dir):
+    rows = CR.crawled_columns(spark, _crawled(spark, sf_dir))
+    return rows.filter(F.col("column_name").startswith("records."))
+
+
+@query("schema_drift")
+def _(spark, sf_dir):
+    return CR.schema_drift(CR.crawled_columns(spark, _crawled(spark, sf_dir)))
+
+
 @query("scan_candles")
 def _(spark, sf_dir):
     return candle_table(spark, sf_dir).select("symbol", "exchange", "interval_start", "close", "volume")
@@ -623,8 +663,7 @@ def _(spark, sf_dir):
     """All intervals written as trees and counted back per table and day."""
     path = work_path(spark, "trees")
     K.write_candles_parquet(jobs.candles_with_indicators(prepared(spark, sf_dir)), path)
-    stored = spark.read.parquet(path)
-    return stored.groupBy("candle_table", "year", "month", "day").agg(
+    return spark.read.parquet(path).groupBy("candle_table", "year", "month", "day").agg(
         F.count(F.lit(1)).alias("candles"), F.sum("volume").alias("volume"), F.avg("rsi").alias("avg_rsi")
     )
 
@@ -636,12 +675,29 @@ def _(spark, sf_dir):
     rows = candle_table(spark, sf_dir)
     K.write_warehouse(rows, table)
     K.write_warehouse(rows.filter(F.col("day") % 2 == 0), table)
-    stored = spark.table(table)
-    return stored.groupBy("symbol", "exchange").agg(
+    return read_and_drop(spark, table, lambda rows: rows.groupBy("symbol", "exchange").agg(
         F.count(F.lit(1)).alias("candles"),
         F.count_distinct("id").alias("ids"),
         F.sum("volume").cast("double").alias("volume"),
-    )
+    ))
+
+
+@query("distributed_by_symbol")
+def _(spark, sf_dir):
+    """Each candle with its symbol's mean volume: a group and a join on the table's distribution."""
+    table = f"candles_by_symbol_{uuid.uuid4().hex}"
+    rows = candle_table(spark, sf_dir)
+    K.write_warehouse(rows, table, buckets=4)
+    K.write_warehouse(rows.filter(F.col("day") % 2 == 0), table, buckets=4)
+
+    def beside_mean(stored_rows: DataFrame) -> DataFrame:
+        volume = F.col("volume").cast("double")
+        means = stored_rows.groupBy("symbol").agg(F.avg(volume).alias("mean_volume"))
+        return stored_rows.join(means, "symbol").select(
+            "symbol", "exchange", "interval_start", volume.alias("volume"), "mean_volume"
+        )
+
+    return read_and_drop(spark, table, beside_mean)
 
 
 def _stored_table(minutes: int) -> Query:
@@ -682,6 +738,37 @@ def _(spark, sf_dir):
     )
 
 
+@query("days_to_rerun")
+def _(spark, sf_dir):
+    """Two days are built, then every eleventh record lands: never built days and the two with late records are left."""
+    lake, out = work_path(spark, "late-lake"), work_path(spark, "late-out")
+    records = TR.add_live_spread(valid_typed(spark, sf_dir))
+    late = F.col("trade_id").cast("long") % 11 == 0
+    K.write_raw_json(records.filter(~late), lake, batch="first")
+    for day in ("2024/01/14", "2024/01/15"):
+        jobs.process_day(spark, lake, out, day)
+    K.write_raw_json(records.filter(late), lake, batch="second")
+    return jobs.days_to_rerun(spark, lake, out)
+
+
+@query("process_day_metrics")
+def _(spark, sf_dir):
+    """The daily job with scored records: rows and records of the three metric tables that it fills."""
+    prefix = f"day_{uuid.uuid4().hex}_"
+    jobs.process_day(
+        spark, raw_lake(spark, sf_dir), work_path(spark, "day-metrics"), "2024/01/15",
+        scored=scored(spark, sf_dir), metric_prefix=prefix,
+    )
+    counted = {"data_quality_metrics": "total_records", "daily_stats": "total_trades", "exchange_performance": "total_trades"}
+    parts = [
+        read_and_drop(spark, f"{prefix}{name}", lambda rows, name=name, column=column: rows.groupBy("date").agg(
+            F.lit(name).alias("metric_table"), F.count(F.lit(1)).alias("n_rows"), F.sum(column).alias("records")
+        ))
+        for name, column in counted.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("process_two_days")
 def _(spark, sf_dir):
     """The daily job over two days, run in either order and once again; ISO times are part of both days."""
@@ -701,9 +788,9 @@ def _metric_table(name: str, build: Query) -> None:
         rows = build(spark, sf_dir)
         K.write_metric_table(rows, name, table)
         K.write_metric_table(rows, name, table)
-        stored = spark.table(table)
-        types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stored.schema.fields if f.name != "created_at")
-        return stored.drop("id", "created_at").withColumn("types", F.lit(types))
+        fields = [f for f in spark.table(table).schema.fields if f.name != "created_at"]
+        types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
+        return read_and_drop(spark, table, lambda t: t.drop("id", "created_at").withColumn("types", F.lit(types)))
 
 
 _metric_table("data_quality_metrics", quality_table)
@@ -722,6 +809,11 @@ def _(spark, sf_dir):
     return M.metric_rollup(metric_rows(spark, sf_dir), 3600)
 
 
+@query("metric_rollup_periods")
+def _(spark, sf_dir):
+    return M.metric_rollups(metric_rows(spark, sf_dir), (300, 3600, 86400))
+
+
 def _alarm(rule_name: str) -> Query:
     def build(spark, sf_dir):
         rollup = M.metric_rollup(M.across_dimensions(metric_rows(spark, sf_dir)), 3600)

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from marketlake import schemas
 from marketlake.config import INTERVAL_TABLES
 from marketlake.functions.paths import partition_columns, partition_key
+from marketlake.manifest import add_batch
 
 DOCUMENT_RECORDS = 100
 
@@ -70,8 +71,9 @@ def write_raw_json(
 
     A batch has a folder of its own above those levels, so a repeated write of a batch replaces its files,
     all of them and no others, even where its records are filed under another day this time. A write without
-    a label is a batch of its own.
+    a label is a batch of its own. Its days are noted in the lake's manifest once its files are there.
     """
+    label = batch or uuid.uuid4().hex
     docs = documents(records, F.current_timestamp() if at is None else at, limit)
     fields = schemas.BATCH_DOCUMENT.fieldNames()
     # Rebalancing keeps a directory's documents together yet splits an oversized one.
@@ -81,8 +83,9 @@ def write_raw_json(
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy(*levels)
-        .json(f"{path}/batch={batch or uuid.uuid4().hex}")
+        .json(f"{path}/batch={label}")
     )
+    add_batch(records.sparkSession, path, label)
 
 
 def layout(candles: DataFrame, *directories: str) -> DataFrame:
@@ -139,19 +142,30 @@ def candle_path(root: str, minutes: int) -> str:
     return f"{root}/candle_table={INTERVAL_TABLES[minutes]}"
 
 
-def _replace_days(rows: DataFrame, table: str, levels: Sequence[str]) -> None:
+def _replace_days(rows: DataFrame, table: str, levels: Sequence[str], buckets: int | None = None) -> None:
     """Write rows to a catalog table partitioned by day; days that it has already are replaced, others stay."""
     spark = rows.sparkSession
+    if buckets:
+        rows = rows.repartition(buckets, "symbol")  # a bucket's rows in one task, so that a day has a file a bucket
     if not spark.catalog.tableExists(table):
-        rows.write.option("compression", "zstd").format("parquet").partitionBy(*levels).saveAsTable(table)
+        writer = rows.write.option("compression", "zstd").format("parquet").partitionBy(*levels)
+        if buckets:
+            writer = writer.bucketBy(buckets, "symbol").sortBy("interval_start", "symbol")
+        writer.saveAsTable(table)
         return
     # Dynamic overwrite is a session setting of configure(); inserting goes by position.
     rows.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
 
 
-def write_warehouse(candles: DataFrame, table: str, minutes: int = 5) -> None:
-    """An interval's candles in a catalog table. A day that is written again is replaced, so reruns leave no doubles."""
-    _replace_days(with_surrogate_id(project_candle_table(candles, minutes)), table, ("year", "month", "day"))
+def write_warehouse(candles: DataFrame, table: str, minutes: int = 5, buckets: int | None = None) -> None:
+    """An interval's candles in a catalog table. A day that is written again is replaced, so reruns leave no doubles.
+
+    With ``buckets`` the table is distributed by symbol and sorted by time inside a bucket: joins and groups by
+    symbol over it need no shuffle. A later write must give the same number. A series has at most one candle for
+    each step of its grid, so a bucket's size follows from the number of symbols, not of trades.
+    """
+    rows = with_surrogate_id(project_candle_table(candles, minutes))
+    _replace_days(rows, table, ("year", "month", "day"), buckets)
 
 
 def project_metric_table(rows: DataFrame, table: str) -> DataFrame:
@@ -172,7 +186,10 @@ def write_metric_table(rows: DataFrame, table: str, catalog_table: str | None =
 
 
 def write_jdbc(candles: DataFrame, url: str, table: str, minutes: int = 5, mode: str = "append", **options) -> None:
-    """Append an interval's candles to an external warehouse; executors write in parallel."""
+    """Append an interval's candles to an external warehouse; executors write in parallel.
+
+    It appends whatever is there, so a rerun doubles; untested, since it needs a database server.
+    """
     with_surrogate_id(project_candle_table(candles, minutes)).write.format("jdbc").options(
         url=url, dbtable=table, **options
     ).mode(mode).save()

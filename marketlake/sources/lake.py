@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake import schemas
 from marketlake.functions.parsing import event_time
+from marketlake.manifest import day_pattern, exists, manifest_path
 
 
 def read_documents(spark: SparkSession, path: str, levels: Sequence[str] = schemas.DATE_LEVELS) -> DataFrame:
@@ -39,21 +41,41 @@ def parse_date_partition(text: str | None) -> date:
 
 
 def prune_date(documents: DataFrame, date_partition: str | None = None) -> DataFrame:
-    """One day of documents. The filter is on directory levels only, so other days are never listed."""
+    """One day of documents. The filter is on directory levels: other days' folders are listed, their files not read."""
     day = parse_date_partition(date_partition)
     return documents.filter(
         (F.col("year") == f"{day.year}") & (F.col("month") == f"{day.month:02d}") & (F.col("day") == f"{day.day:02d}")
     )
 
 
+def read_day(
+    spark: SparkSession, path: str, date_partition: str | None = None, levels: Sequence[str] = schemas.DATE_LEVELS
+) -> DataFrame:
+    """One day of documents from the folders that the lake's manifest names; no other day's are listed.
+
+    A lake without a manifest is listed whole and pruned.
+    """
+    if not exists(spark, manifest_path(path)):
+        return prune_date(read_documents(spark, path, levels), date_partition)
+    directories = [T.StructField(c, T.StringType()) for c in levels]
+    schema = T.StructType(schemas.BATCH_DOCUMENT.fields + directories)
+    pattern = day_pattern(spark, path, parse_date_partition(date_partition), levels)
+    if pattern is not None:
+        try:
+            return spark.read.schema(schema).option("basePath", path).json(pattern)
+        except AnalysisException as missing:  # its batches have landed again, under other days only
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return spark.createDataFrame([], schema)
+
+
 def read_batches(
     spark: SparkSession, path: str, date_partition: str | None = None, levels: Sequence[str] = schemas.DATE_LEVELS
 ) -> DataFrame:
     """Records of a day (or of the whole lake with ``date_partition="*"``)."""
-    documents = read_documents(spark, path, levels)
-    if date_partition != "*":
-        documents = prune_date(documents, date_partition)
-    return explode_records(documents)
+    if date_partition == "*":
+        return explode_records(read_documents(spark, path, levels))
+    return explode_records(read_day(spark, path, date_partition, levels))
 
 
 def infer_raw_schema(spark: SparkSession, path: str, sample: float = 1.0) -> DataFrame:
