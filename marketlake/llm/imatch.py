@@ -1,83 +1,104 @@
-"""Document fingerprints by I-Match over several randomised lexicon subsets.
-
-The lexicon keeps the terms within a band of inverse document frequency, counted over all documents. A term is
-a slot of a hash table of fixed size, so that lexicon and counts are bounded whatever the corpus; the lexicon
-goes to the tasks as a bit map. From it random subsets are drawn: a subset keeps one term in 2 ** level. A
-document is hashed once for each subset: the terms it shares with the subset, distinct and sorted. Its level
-leaves it about one term in a subset, so that a hash survives an edit elsewhere; the next level is in the
-fingerprint too, for documents that differ in size. Likeness is the share of equal hashes.
+"""Document fingerprints by I-Match over randomised lexicon subsets.
+
+The lexicon keeps the terms within a band of inverse document frequency, counted over all documents. A term is the
+64-bit hash of a word. Frequent terms (more than one in ``LISTED`` of all) are at most ``LISTED`` and go to the tasks
+as a list; the others are joined to the lexicon in Spark, so that neither grows with the corpus.
+
+From the lexicon random subsets are drawn once for all documents: ``SUBSETS`` at each density 1/2, 1/4, 1/8 and so on.
+A document has one hash for each subset: that of the terms it shares with the subset, distinct and sorted, and one for
+the whole lexicon. Two documents are compared at the densest subsets of which some are empty in both, where a subset
+holds about two of their terms. Whether two subset hashes are equal depends on the share of common terms and on
+nothing else; likeness is the estimate of that share.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import shuffle_partitions
+from marketlake.llm.common import shuffle_partitions, stored
 
-SLOT_BITS = 20
 #: Band of the inverse document frequency, as a share of its largest value log(number of documents).
 BAND = (0.15, 0.95)
-#: Subsets of each level.
+#: Subsets of each density.
 SUBSETS = 24
+#: Subsets of a density that must be empty in both of two texts to compare them there.
+EMPTY = 3
+#: Terms with more than one in this many of all occurrences are listed; so there are fewer of them than this.
+LISTED = 1 << 20
+#: Terms of a text that are mixed at once.
+PIECE = 1 << 14
 #: Place of rows without doc_id: after all others.
 LAST = -(1 << 63)
 
 #: Words are runs of letters, digits, _ and any character beyond ASCII; all other bytes become spaces.
 _TO_WORDS = bytes(c if c >= 128 or chr(c).isalnum() or c == ord("_") else 32 for c in range(256))
-_MASK = (1 << SLOT_BITS) - 1
 # Odd multipliers, one a subset, from a fixed seed.
 _MULTIPLIERS = np.random.default_rng(42).integers(1, 1 << 63, SUBSETS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def terms(text: str) -> np.ndarray:
-    """The distinct slots of a text's words, sorted."""
+    """The distinct 64-bit hashes of a text's words, sorted."""
     words = set(text.lower().encode("utf-8", "replace").translate(_TO_WORDS).split())
-    slots = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) & _MASK
-    slots.sort()
-    return slots[np.flatnonzero(np.diff(slots, prepend=-1))]
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)).view(np.int64))
 
 
-def _count_documents(batches):
-    """Partial document frequencies of a task."""
-    counts = np.zeros(1 << SLOT_BITS, np.int64)
+def _count_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partial document frequencies of a batch."""
     for batch in batches:
-        for value in batch.column(0):
-            counts[terms(value.as_py() or "")] += 1
-    slots = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(slots, pa.int32()), pa.array(counts[slots], pa.int64())], names=["slot", "n"]
-    )
+        found = [terms(value.as_py() or "") for value in batch.column(0)]
+        term, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.empty(0, np.int64),) * 2
+        yield pa.RecordBatch.from_arrays([pa.array(term, pa.int64()), pa.array(n, pa.int64())], names=["term", "n"])
 
 
 @dataclass
 class Lexicon:
-    """Slots in the band, as a bit map."""
+    """Frequent terms (sorted) with whether they lie in the band, and the other terms of the band as a table."""
 
-    bits: bytes
+    listed: np.ndarray
+    inside: np.ndarray
+    rare: DataFrame
 
     @classmethod
-    def of(cls, texts: DataFrame, band: tuple[float, float] = BAND) -> Lexicon:
-        """From a column of texts, all of them. At most ``2 ** SLOT_BITS`` slots come to the driver."""
+    def of(cls, texts: DataFrame, band: tuple[float, float] = BAND, listed: int = LISTED) -> Lexicon:
+        """From a column of texts, all of them. Fewer than ``listed`` terms come to the driver."""
         total = texts.count()
         highest = np.log(max(total, 2))
         # idf = log(total / n) lies in the band
-        most, least = total * np.exp(-band[0] * highest), total * np.exp(-band[1] * highest)
-        counted = texts.mapInArrow(_count_documents, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-        inside = counted.where((F.col("n") >= float(least)) & (F.col("n") <= float(most))).select("slot").toArrow()
-        known = np.zeros(1 << SLOT_BITS, bool)
-        known[inside.column("slot").to_numpy()] = True
-        return cls(np.packbits(known).tobytes())
+        most, least = float(total * np.exp(-band[0] * highest)), float(total * np.exp(-band[1] * highest))
+        counted = texts.mapInArrow(_count_documents, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+        counted = stored(counted.where(F.col("n") >= least), "terms")
+        bound = (counted.agg(F.sum("n").alias("n")).first()["n"] or 0) / listed
+        within = F.col("n") <= most
+        frequent = counted.where(F.col("n") > bound).select("term", within.alias("inside")).sort("term").toArrow()
+        term, inside = (frequent.column(c).to_numpy() for c in ("term", "inside"))
+        return cls(term, inside.astype(bool), counted.where((F.col("n") <= bound) & within).select("term"))
+
+    def split(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of sorted terms those that are listed and in the band, and those that are not listed."""
+        return _split(self.listed, self.inside, own)
 
-    def known(self) -> np.ndarray:
-        return np.unpackbits(np.frombuffer(self.bits, np.uint8)).astype(bool)
+
+def _member(values: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each value is in a sorted array, and its place there."""
+    if not len(among):
+        return np.zeros(len(values), bool), np.zeros(len(values), np.int64)
+    at = np.minimum(np.searchsorted(among, values), len(among) - 1)
+    return among[at] == values, at
+
+
+def _split(listed: np.ndarray, inside: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    hit, at = _member(own, listed)
+    return own[hit][inside[at[hit]]], own[~hit]
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -85,43 +106,73 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return values * np.uint64(0x9E3779B97F4A7C15)
 
 
-def _hashes(kept: np.ndarray, mixed: np.ndarray, level: int) -> list[str]:
-    """Hash of the sorted terms in each subset of a level; empty where there is none.
+def _draws(kept: np.ndarray) -> np.ndarray:
+    """Draws (subset, term): a subset of density ``2 ** -level`` holds the terms with ``level`` leading zero bits."""
+    return _mixed((kept[None, :] ^ (kept[None, :] >> np.uint64(29))) * _MULTIPLIERS[:, None])
+
 
-    A subset's hash is a polynomial of its terms, the place among them being the power.
+def _hashes(kept: np.ndarray, chosen: np.ndarray) -> list[str]:
+    """Hash of the sorted terms that each row of ``chosen`` marks; empty where there is none.
+
+    It is a polynomial of the terms, the place among them being the power.
     """
-    chosen = mixed < np.uint64(1 << (64 - level)) if level else np.ones(mixed.shape, bool)
     subset, term = np.nonzero(chosen)
     sizes = np.bincount(subset, minlength=len(chosen))
     place = np.arange(len(subset)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     parts = _mixed(kept[term] + np.uint64(1)) * _mixed(2 * place.astype(np.uint64) + np.uint64(1))
     ends = np.concatenate([np.zeros(1, np.uint64), np.cumsum(parts)])[np.cumsum(sizes)]
     sums = ends - np.concatenate([np.zeros(1, np.uint64), ends[:-1]])
-    return [f"{h:08x}" if n else "" for h, n in zip((_mixed(sums) >> np.uint64(32)).tolist(), sizes.tolist())]
+    return [f"{h:012x}" if n else "" for h, n in zip((_mixed(sums) >> np.uint64(16)).tolist(), sizes.tolist())]
+
 
+def fingerprint(own: np.ndarray, kept: np.ndarray) -> str:
+    """``0:hash;level:hash,...;level:hash,...`` of a text's terms and of those in the lexicon, both sorted.
 
-def fingerprint(text: str, known: np.ndarray) -> str:
-    """``level:hash,...;level:hash,...``; a text without lexicon terms has ``-:`` and the hash of its terms."""
-    own = terms(text)
-    kept = own[known[own]]
+    Level 0 is the whole lexicon. The first level of subsets is the densest with ``EMPTY`` empty ones: at a denser
+    one no text can be compared with this. After the last all are empty. A text without lexicon terms has ``-:`` and
+    the hash of its terms.
+    """
     if not len(kept):
         return f"-:{zlib.crc32(own.tobytes()):08x}"
-    level = int(np.log2(len(kept))) + 1
-    kept = kept.astype(np.uint64)
-    mixed = _mixed((kept[None, :] + np.uint64(1)) * _MULTIPLIERS[:, None])
-    return ";".join(f"{n}:{','.join(_hashes(kept, mixed, n))}" for n in (level, level + 1))
+    kept = kept.view(np.uint64)
+    pieces = [kept[at : at + PIECE] for at in range(0, len(kept), PIECE)]
+    smallest = np.min([_draws(piece).min(axis=1) for piece in pieces], axis=0)
+    deepest = sorted(64 - int(m).bit_length() for m in smallest)
+    first, last = deepest[EMPTY - 1] + 1, deepest[-1]
+    lot = np.uint64(1 << (64 - first))
+    few = np.concatenate([piece[(_draws(piece) < lot).any(axis=0)] for piece in pieces])
+    below = np.array([1 << (64 - n) for n in range(first, last + 1)], np.uint64)
+    chosen = (_draws(few)[None, :, :] < below[:, None, None]).reshape(-1, len(few))
+    hashes = _hashes(few, chosen)
+    whole = _hashes(kept, np.ones((1, len(kept)), bool))[0]
+    levels = [f"{first + i}:{','.join(hashes[i * SUBSETS : (i + 1) * SUBSETS])}" for i in range(len(below))]
+    return ";".join([f"0:{whole}", *levels])
 
 
 def likeness(a: str, b: str) -> float:
-    """1 for equal fingerprints, else the share of equal hashes among the subsets that either text has terms in."""
+    """Estimated share of common lexicon terms: 1 for equal fingerprints, 0 where no subset hash is equal.
+
+    A subset of density p is equal in both texts, empty or not, if it holds none of the d terms that only one of them
+    has, and empty in both if it holds none of all n: the shares of such subsets are about exp(-p d) and exp(-p n),
+    so their logarithms give d / n. The densest subsets with enough empty ones and the next are counted.
+    """
     if a == b:
         return 1.0
-    levels = [dict(part.split(":") for part in x.split(";")) for x in (a, b)]
-    shared = [n for n in levels[0] if n in levels[1] and n != "-"]
-    pairs = [
-        pair for n in shared for pair in zip(levels[0][n].split(","), levels[1][n].split(",")) if pair[0] or pair[1]
-    ]
-    return sum(x == y for x, y in pairs) / len(pairs) if pairs else 0.0
+    if a[0] == "-" or b[0] == "-":
+        return 0.0
+    own, other = ({int(n): h.split(",") for n, h in (x.split(":") for x in p.split(";")[1:])} for p in (a, b))
+    if not own or not other:
+        return 0.0
+    none = [""] * SUBSETS
+    level = max(min(own), min(other))
+    while sum(not x and not y for x, y in zip(own.get(level, none), other.get(level, none))) < EMPTY:
+        level += 1
+    apart = union = 0.0
+    for n in (level, level + 1):
+        pairs = list(zip(own.get(n, none), other.get(n, none)))
+        apart += math.log(sum(x == y for x, y in pairs) / SUBSETS)
+        union += math.log(sum(not x and not y for x, y in pairs) / SUBSETS)
+    return min(max(1.0 - apart / union, 0.0), 1.0) if union else 0.0
 
 
 # --- each document with the next -----------------------------------------------------------------
@@ -142,21 +193,61 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - third] + following[:third]
 
 
-def _compared(lexicon: Lexicon):
+def _unlisted(listed: np.ndarray, inside: np.ndarray):
+    """(bucket, term): the terms that the list leaves open, of each bucket's texts and of their edited texts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = lexicon.known()
+        before, open_terms = None, np.empty(0, np.int64)
+        for batch in batches:
+            found: list[np.ndarray] = []
+            at: list[int] = []
+            for bucket, text in zip(batch.column("bucket").to_pylist(), batch.column("text").to_pylist()):
+                text = text or ""
+                texts = [text] if before is None or before[0] != bucket else [text, edited(before[1], text)]
+                for each in texts:
+                    rest = _split(listed, inside, terms(each))[1]
+                    if len(rest):
+                        found.append(rest)
+                        at.append(bucket)
+                before = (bucket, text)
+            # A batch's terms once, and not again those of the batch before it.
+            for bucket in sorted(set(at)):
+                now = np.unique(np.concatenate([f for f, b in zip(found, at) if b == bucket]))
+                new = now[~_member(now, open_terms)[0]] if bucket == at[0] else now
+                open_terms = now
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(new), bucket), pa.int32()), pa.array(new, pa.int64())], names=["bucket", "term"]
+                )
+
+    return run
+
+
+def _compared(listed: np.ndarray, inside: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, rare = None, np.empty(0, np.int64)  # the lexicon's other terms in this bucket; its first row brings them
+
+        def printed(text: str) -> str:
+            own = terms(text)
+            known, rest = _split(listed, inside, own)
+            rest = rest[_member(rest, rare)[0]]
+            return fingerprint(own, np.sort(np.concatenate([known, rest])) if len(rest) else known)
+
         before = None  # bucket, doc_id, text, fingerprint of the row that waits for the next one
         for batch in batches:
             rows = []
-            columns = (batch.column(n) for n in ("bucket", "visit", "doc_id", "text"))
-            for bucket, visit, doc_id, text in zip(*columns):
+            columns = (batch.column(n) for n in ("bucket", "visit", "doc_id", "text", "rare"))
+            for bucket, visit, doc_id, text, more in zip(*columns):
                 bucket, visit, doc_id, text = bucket.as_py(), visit.as_py(), doc_id.as_py(), text.as_py() or ""
+                if bucket != at:
+                    at, rare = bucket, np.empty(0, np.int64)
+                if more.is_valid:
+                    rare = np.sort(more.values.to_numpy())
                 if visit and before is None:
                     continue  # a repeated row that starts the next bucket
-                own = fingerprint(text, known)
+                own = printed(text)
                 if before is not None and before[0] == bucket:
                     changed = edited(before[2], text)
-                    after = fingerprint(changed, known)
+                    after = printed(changed)
                     rows.append((
                         before[1], len(before[2]), hashlib.sha256(changed.encode("utf-8", "replace")).hexdigest(),
                         before[3], after, likeness(before[3], after), likeness(before[3], own),
@@ -170,10 +261,14 @@ def _compared(lexicon: Lexicon):
     return run
 
 
+_IN_ORDER = ["bucket", "visit", "place", "tie"]
+_RISING = [True, True, False, False]
+
+
 def _in_buckets(docs: DataFrame) -> DataFrame:
-    """(bucket, visit, doc_id, text) sorted by descending doc_id; each bucket ends with the row that comes next.
+    """(bucket, visit, head, doc_id, text, place, tie), a bucket in one task; ``_IN_ORDER`` sorts it.
 
-    A bucket is a range of ids. The first row of a bucket visits the bucket before it, and the first of all the
+    Then rows follow by descending doc_id, ``head`` is a bucket's first and the last is the row that comes next. A bucket is a range of ids. The first row of a bucket visits the bucket before it, and the first of all the
     last; so every task sees the following row of each of its own without a global sort. Only the ids at the
     bounds come to the driver, one for each bucket.
     """
@@ -205,11 +300,10 @@ def _in_buckets(docs: DataFrame) -> DataFrame:
     other = F.when(F.col("to").isNotNull(), F.struct(F.col("to").alias("bucket"), F.lit(True).alias("visit")))
     return (
         numbered.join(F.broadcast(visits), ["bucket", "place", "tie"], "left")
-        .select("doc_id", "text", "place", "tie", F.explode(F.array_compact(F.array(own, other))).alias("at"))
-        .select("at.bucket", "at.visit", "doc_id", "text", "place", "tie")
+        .select("doc_id", "text", "place", "tie", "to", F.explode(F.array_compact(F.array(own, other))).alias("at"))
+        .select("at.bucket", "at.visit", (F.col("to").isNotNull() & ~F.col("at.visit")).alias("head"),
+                "doc_id", "text", "place", "tie")
         .repartition(buckets, "bucket")
-        .sortWithinPartitions("bucket", "visit", F.desc("place"), F.desc("tie"))
-        .select("bucket", "visit", "doc_id", "text")
     )
 
 
@@ -222,7 +316,18 @@ def compare_fingerprints(docs: DataFrame, lexicon: Lexicon | None = None) -> Dat
     text are ignored. An empty table gives an empty one.
     """
     lexicon = lexicon or Lexicon.of(docs.select("text"))
-    return _in_buckets(docs.select("doc_id", "text")).mapInArrow(_compared(lexicon), _OUT_DDL)
+    rows = _in_buckets(docs.select("doc_id", "text"))
+    # Both reads of ``rows`` share its shuffle. A bucket's first row brings the lexicon's unlisted terms of the bucket.
+    opened = rows.sortWithinPartitions(_IN_ORDER, ascending=_RISING).mapInArrow(
+        _unlisted(lexicon.listed, lexicon.inside), "bucket int, term long"
+    )
+    found = opened.join(lexicon.rare, "term").groupBy("bucket").agg(F.collect_set("term").alias("rare"))
+    return (
+        rows.join(found, "bucket", "left")
+        .sortWithinPartitions(_IN_ORDER, ascending=_RISING)
+        .select("bucket", "visit", "doc_id", "text", F.when(F.col("head"), F.col("rare")).alias("rare"))
+        .mapInArrow(_compared(lexicon.listed, lexicon.inside), _OUT_DDL)
+    )
 
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

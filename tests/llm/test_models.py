@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 import string
@@ -11,6 +12,7 @@ from collections import Counter
 import cases
 import numpy as np
 import pytest
+import xxhash
 
 from marketlake.llm import imatch, language, secrets, toxicity
 
@@ -284,12 +286,53 @@ def test_parts_beside_a_base_span_are_scored(spark):
 # --- I-Match -------------------------------------------------------------------------------------
 
 
-def test_compared_with_the_next(spark):
-    rows = cases.rows()
-    docs = cases.frame(spark)
-    lexicon = imatch.Lexicon.of(docs.select("text"))
-    known = lexicon.known()
-    got = imatch.compare_fingerprints(docs).collect()
+_EACH = [int(m) for m in imatch._MULTIPLIERS]
+_ALL = (1 << 64) - 1
+
+
+def _mixed_by_hand(x):
+    return ((x ^ (x >> 32)) * 0x9E3779B97F4A7C15) & _ALL
+
+
+def _words_by_hand(text):
+    return {xxhash.xxh64_intdigest(w.encode()) for w in re.findall(r"[0-9a-z_\u0080-\U0010ffff]+", text.lower())}
+
+
+def _subset_by_hand(words, level, each):
+    """The words in a subset: those whose draw, a number below 2 ** 64, is below 2 ** (64 - level)."""
+    drawn = lambda w: _mixed_by_hand(((w ^ (w >> 29)) * each) & _ALL)
+    return frozenset(w for w in words if drawn(w) < 1 << (64 - level))
+
+
+def _likeness_by_hand(a, b):
+    """From the subsets as sets, at the first two levels with three empty ones; no hashes."""
+    if a == b:
+        return 1.0
+    if not a or not b:
+        return 0.0
+    for level in range(1, 64):
+        tables = [[(_subset_by_hand(a, n, m), _subset_by_hand(b, n, m)) for m in _EACH] for n in (level, level + 1)]
+        if sum(not x | y for x, y in tables[0]) >= 3:
+            break
+    apart = sum(math.log(sum(x == y for x, y in t) / 24) for t in tables)
+    union = sum(math.log(sum(not x | y for x, y in t) / 24) for t in tables)
+    return 1 - apart / union if union else 0.0
+
+
+@pytest.mark.parametrize("listed", [1 << 20, 60, 1])
+def test_compared_with_the_next(spark, listed):
+    rng = random.Random(21)
+    many = [(1000 + i, " ".join([cases.sentence(rng, 30), f"rare{i // 3}", f"own{i}"]), None, None, None) for i in range(60)]
+    rows = cases.rows() + many
+    docs = cases.frame(spark, rows)
+    lexicon = imatch.Lexicon.of(docs.select("text"), listed=listed)
+    # With a short list most of the lexicon is joined.
+    assert len(lexicon.listed) < listed and (lexicon.rare.count() > 0) == (listed < 1 << 20)
+    got = imatch.compare_fingerprints(docs, lexicon).collect()
+    words = [_words_by_hand(r[1] or "") for r in rows]
+    counts = Counter(w for each in words for w in each)
+    highest = math.log(len(rows))
+    band = {w for w, n in counts.items() if 0.15 * highest <= math.log(len(rows) / n) <= 0.95 * highest}
     tie = {r.text: r.tie for r in docs.selectExpr("text", "xxhash64(text) as tie").collect()}
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, tie[r[1]]), reverse=True)
     expected = []
@@ -297,34 +340,65 @@ def test_compared_with_the_next(spark):
         text, after = text or "", after or ""
         third = len(text) // 3
         changed = text[: len(text) - third] + after[:third]
-        own, other, following = (imatch.fingerprint(t, known) for t in (text, changed, after))
+        own, other, following = (_words_by_hand(t) for t in (text, changed, after))
+        near = [
+            _likeness_by_hand(own & band, x & band) if own & band or x & band else float(own == x)
+            for x in (other, following)
+        ]
         digest = hashlib.sha256(changed.encode()).hexdigest()
-        expected.append((doc_id, len(text), digest, own, other, imatch.likeness(own, other), imatch.likeness(own, following)))
-    assert Counter(map(tuple, got)) == Counter(expected)
+        expected.append((doc_id, len(text), digest, *[round(x, 9) for x in near]))
+    found = [(*r[:3], round(r.near_edited, 9), round(r.near_next, 9)) for r in got]
+    assert Counter(found) == Counter(expected)
+    # Equal words of the lexicon and only these have equal fingerprints.
+    prints = {}
+    for r in got:
+        prints.setdefault((r.doc_id, r.n_chars), set()).add(r.fingerprint)
+    by_text = {}
+    for doc_id, text, *_ in rows:
+        own = _words_by_hand(text or "")
+        same = by_text.setdefault((frozenset(own & band) or None, None if own & band else frozenset(own)), set())
+        if len(prints[doc_id, len(text or "")]) == 1:
+            same |= prints[doc_id, len(text or "")]
+    assert all(len(x) <= 1 for x in by_text.values())
 
 
 def test_lexicon_is_the_band(spark):
     docs = [f"common {'half' if i % 2 else ''} {'two' if i < 2 else ''} own{i}" for i in range(40)]
     df = spark.createDataFrame([(t,) for t in docs], "text string")
-    known = imatch.Lexicon.of(df, band=(0.15, 0.95)).known()
-    inside = {w: bool(known[imatch.terms(w)].all()) for w in ("common", "half", "two", "own3")}
-    assert inside == {"common": False, "half": True, "two": True, "own3": False}
+    for listed in (1 << 20, 3, 1):
+        lexicon = imatch.Lexicon.of(df, band=(0.15, 0.95), listed=listed)
+        rare = {r.term for r in lexicon.rare.collect()}
+        inside = {}
+        for word in ("common", "half", "two", "own3"):
+            known, rest = lexicon.split(imatch.terms(word))
+            inside[word] = bool(len(known)) or bool(rare & set(rest.tolist()))
+        assert inside == {"common": False, "half": True, "two": True, "own3": False}
+
+
+def _print_of(words):
+    own = imatch.terms(" ".join(words))
+    return imatch.fingerprint(own, own)
 
 
-def test_likeness():
-    known = np.ones(1 << imatch.SLOT_BITS, bool)
+@pytest.mark.parametrize("size", [64, 255, 1000, 40_000])
+def test_likeness_is_the_share_of_common_terms_at_every_size(size, monkeypatch):
     rng = random.Random(2)
-    words = [f"w{i}" for i in range(4000)]
-    near, far = [], []
-    for _ in range(40):
-        a = rng.sample(words, 200)
-        b, c = a[:170] + rng.sample(words, 30), rng.sample(words, 200)
-        prints = [imatch.fingerprint(" ".join(x), known) for x in (a, b, c)]
-        assert imatch.fingerprint(" ".join(reversed(a)), known) == prints[0]
-        near.append(imatch.likeness(prints[0], prints[1]))
-        far.append(imatch.likeness(prints[0], prints[2]))
-    assert np.mean(near) > 0.55 and np.mean(far) < 0.1 and all(0 <= x <= 1 for x in near + far)
+    shares = {}
+    for _ in range(30 if size < 10_000 else 4):
+        words = [f"w{rng.getrandbits(60)}" for _ in range(2 * size)]
+        own = _print_of(words[:size])
+        assert _print_of(reversed(words[:size])) == own
+        # 0.25: a quarter of the text; 0.6: a quarter replaced; 0: another text
+        for share, other in ((0.25, words[: size // 4]), (0.6, words[size // 4 : size + size // 4]), (0.0, words[size:])):
+            shares.setdefault(share, []).append(imatch.likeness(own, _print_of(other)))
+    for share, got in shares.items():
+        assert all(0 <= x <= 1 for x in got)
+        assert abs(np.mean(got) - share) < (0.07 if size < 10_000 else 0.2), (share, np.mean(got))
     assert imatch.likeness("-:00000001", "-:00000002") == 0 and imatch.likeness("-:00000001", "-:00000001") == 1
+    long = [f"v{i}" for i in range(3000)]
+    whole = _print_of(long)
+    monkeypatch.setattr(imatch, "PIECE", 17)
+    assert _print_of(long) == whole
 
 
 @pytest.mark.parametrize("data", [[], [(1, "abcdef", None, None, None)], [(2, "ab", None, None, 2), (1, "xyzxyz", None, None, 6)]])
