@@ -322,10 +322,12 @@ def compare_fingerprints(docs: DataFrame, lexicon: Lexicon | None = None) -> Dat
         _unlisted(lexicon.listed, lexicon.inside), "bucket int, term long"
     )
     found = opened.join(lexicon.rare, "term").groupBy("bucket").agg(F.collect_set("term").alias("rare"))
+    first_rare = F.when(F.col("head"), F.col("rare")).alias("rare")
     return (
         rows.join(found, "bucket", "left")
+        .select(*_IN_ORDER, "doc_id", "text", first_rare)
         .sortWithinPartitions(_IN_ORDER, ascending=_RISING)
-        .select("bucket", "visit", "doc_id", "text", F.when(F.col("head"), F.col("rare")).alias("rare"))
+        .select("bucket", "visit", "doc_id", "text", "rare")
         .mapInArrow(_compared(lexicon.listed, lexicon.inside), _OUT_DDL)
     )
 
