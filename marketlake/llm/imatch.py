@@ -22,6 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -198,11 +199,12 @@ def _unlisted(listed: np.ndarray, inside: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, open_terms = None, np.empty(0, np.int64)
+        unpacker = zstandard.ZstdDecompressor()
         for batch in batches:
             found: list[np.ndarray] = []
             at: list[int] = []
             for bucket, text in zip(batch.column("bucket").to_pylist(), batch.column("text").to_pylist()):
-                text = text or ""
+                text = _unpacked(text, unpacker)
                 texts = [text] if before is None or before[0] != bucket else [text, edited(before[1], text)]
                 for each in texts:
                     rest = _split(listed, inside, terms(each))[1]
@@ -232,12 +234,14 @@ def _compared(listed: np.ndarray, inside: np.ndarray):
             rest = rest[_member(rest, rare)[0]]
             return fingerprint(own, np.sort(np.concatenate([known, rest])) if len(rest) else known)
 
+        unpacker = zstandard.ZstdDecompressor()
         before = None  # bucket, doc_id, text, fingerprint of the row that waits for the next one
         for batch in batches:
             rows = []
             columns = (batch.column(n) for n in ("bucket", "visit", "doc_id", "text", "rare"))
             for bucket, visit, doc_id, text, more in zip(*columns):
-                bucket, visit, doc_id, text = bucket.as_py(), visit.as_py(), doc_id.as_py(), text.as_py() or ""
+                bucket, visit, doc_id, text = bucket.as_py(), visit.as_py(), doc_id.as_py(), text.as_py()
+                text = _unpacked(text, unpacker)
                 if bucket != at:
                     at, rare = bucket, np.empty(0, np.int64)
                 if more.is_valid:
@@ -261,12 +265,23 @@ def _compared(listed: np.ndarray, inside: np.ndarray):
     return run
 
 
+def _packed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Texts compressed one by one, since whole texts are most of the shuffle. Null is empty."""
+    packer = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        yield pa.array([packer.compress((t or "").encode("utf-8", "replace")) for t in batch.to_pylist()], pa.binary())
+
+
+def _unpacked(text: bytes, unpacker: zstandard.ZstdDecompressor) -> str:
+    return unpacker.decompress(text).decode("utf-8")
+
+
 _IN_ORDER = ["bucket", "visit", "place", "tie"]
 _RISING = [True, True, False, False]
 
 
 def _in_buckets(docs: DataFrame) -> DataFrame:
-    """(bucket, visit, head, doc_id, text, place, tie), a bucket in one task; ``_IN_ORDER`` sorts it.
+    """(bucket, visit, head, doc_id, packed text, place, tie), a bucket in one task; ``_IN_ORDER`` sorts it.
 
     Then rows follow by descending doc_id, ``head`` is a bucket's first and the last is the row that comes next. A bucket is a range of ids. The first row of a bucket visits the bucket before it, and the first of all the
     last; so every task sees the following row of each of its own without a global sort. Only the ids at the
@@ -299,7 +314,8 @@ def _in_buckets(docs: DataFrame) -> DataFrame:
     own = F.struct("bucket", F.lit(False).alias("visit"))
     other = F.when(F.col("to").isNotNull(), F.struct(F.col("to").alias("bucket"), F.lit(True).alias("visit")))
     return (
-        numbered.join(F.broadcast(visits), ["bucket", "place", "tie"], "left")
+        numbered.withColumn("text", F.arrow_udf(_packed, "binary")("text"))
+        .join(F.broadcast(visits), ["bucket", "place", "tie"], "left")
         .select("doc_id", "text", "place", "tie", "to", F.explode(F.array_compact(F.array(own, other))).alias("at"))
         .select("at.bucket", "at.visit", (F.col("to").isNotNull() & ~F.col("at.visit")).alias("head"),
                 "doc_id", "text", "place", "tie")
