@@ -137,15 +137,21 @@ def fingerprint(own: np.ndarray, kept: np.ndarray) -> str:
         return f"-:{zlib.crc32(own.tobytes()):08x}"
     kept = kept.view(np.uint64)
     pieces = [kept[at : at + PIECE] for at in range(0, len(kept), PIECE)]
-    smallest = np.min([_draws(piece).min(axis=1) for piece in pieces], axis=0)
+    once = _draws(kept) if len(pieces) == 1 else None
+    smallest = np.min([(_draws(piece) if once is None else once).min(axis=1) for piece in pieces], axis=0)
     deepest = sorted(64 - int(m).bit_length() for m in smallest)
     first, last = deepest[EMPTY - 1] + 1, deepest[-1]
     lot = np.uint64(1 << (64 - first))
-    few = np.concatenate([piece[(_draws(piece) < lot).any(axis=0)] for piece in pieces])
+    if once is None:
+        few = np.concatenate([piece[(_draws(piece) < lot).any(axis=0)] for piece in pieces])
+        drawn = _draws(few)
+    else:
+        drawn_any = (once < lot).any(axis=0)
+        few, drawn = kept[drawn_any], once[:, drawn_any]
     below = np.array([1 << (64 - n) for n in range(first, last + 1)], np.uint64)
-    chosen = (_draws(few)[None, :, :] < below[:, None, None]).reshape(-1, len(few))
+    chosen = (drawn[None, :, :] < below[:, None, None]).reshape(-1, len(few))
     hashes = _hashes(few, chosen)
-    whole = _hashes(kept, np.ones((1, len(kept)), bool))[0]
+    whole = f"{xxhash.xxh64_intdigest(kept.tobytes()) >> 16:012x}"
     levels = [f"{first + i}:{','.join(hashes[i * SUBSETS : (i + 1) * SUBSETS])}" for i in range(len(below))]
     return ";".join([f"0:{whole}", *levels])
 
@@ -194,6 +200,13 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - third] + following[:third]
 
 
+def _edges(text: str, following: str) -> str:
+    """What the edited text has around its two cuts, from space to space: all its other words are in one of the texts."""
+    third = len(text) // 3
+    head, piece = text[: len(text) - third], following[:third]
+    return f"{head.rsplit(' ', 1)[-1]}{piece.split(' ', 1)[0]} {piece.rsplit(' ', 1)[-1]}"
+
+
 def _unlisted(listed: np.ndarray, inside: np.ndarray):
     """(bucket, term): the terms that the list leaves open, of each bucket's texts and of their edited texts."""
 
@@ -205,7 +218,7 @@ def _unlisted(listed: np.ndarray, inside: np.ndarray):
             at: list[int] = []
             for bucket, text in zip(batch.column("bucket").to_pylist(), batch.column("text").to_pylist()):
                 text = _unpacked(text, unpacker)
-                texts = [text] if before is None or before[0] != bucket else [text, edited(before[1], text)]
+                texts = [text] if before is None or before[0] != bucket else [text, _edges(before[1], text)]
                 for each in texts:
                     rest = _split(listed, inside, terms(each))[1]
                     if len(rest):
