@@ -42,6 +42,8 @@ DATE_LEVELS = ("year", "month", "day")
 # Storage decimals of the candle tables; everything is computed in double first.
 PRICE_DECIMAL = T.DecimalType(20, 8)
 PERCENT_DECIMAL = T.DecimalType(10, 4)
+# A percentage of two prices has no bound: any two that fit PRICE_DECIMAL have one that fits this.
+RATIO_DECIMAL = T.DecimalType(28, 4)
 SCORE_DECIMAL = T.DecimalType(5, 4)
 UPTIME_DECIMAL = T.DecimalType(5, 2)
 
@@ -88,6 +90,7 @@ METRIC_TABLE_KEYS = {
     "exchange_performance": ("exchange", "date"),
 }
 
+_RATIO_COLUMNS = {"avg_spread_percentage", "price_change_percentage"}
 _PERCENT_COLUMNS = {"avg_spread_percentage", "price_change_percentage", "rsi", "rsi_avg"}
 _INTEGER_COLUMNS = {
     "trade_count", "year", "month", "day", "hour", "total_trades",
@@ -110,3 +113,8 @@ def storage_type(column: str) -> T.DataType | None:
     if column == "uptime_percentage":
         return UPTIME_DECIMAL
     return PRICE_DECIMAL
+
+
+def candle_storage_type(column: str) -> T.DataType | None:
+    """``storage_type`` in a candle table, where two candles in a row may be far apart."""
+    return RATIO_DECIMAL if column in _RATIO_COLUMNS else storage_type(column)

@@ -103,8 +103,7 @@ def project_candle_table(candles: DataFrame, minutes: int) -> DataFrame:
     """The interval's warehouse columns in their storage types."""
     columns = []
     for name in schemas.CANDLE_TABLE_COLUMNS[minutes]:
-        kind = schemas.storage_type(name)
-        columns.append(_as_stored(name, kind))
+        columns.append(_as_stored(name, schemas.candle_storage_type(name)))
     return candles.select(*columns)
 
 

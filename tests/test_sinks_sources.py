@@ -128,6 +128,23 @@ def test_candle_table_columns(spark):
     assert (types["close"], types["rsi"], types["trade_count"]) == ("decimal(20,8)", "decimal(10,4)", "int")
 
 
+def test_candle_table_holds_any_percentage(spark):
+    """From 0.01 to 350.24 a close gains 3,502,300 percent; a small bid makes such spreads too."""
+    close = F.when(F.col("minute") % 10 == 0, 0.01).otherwise(350.24)
+    rows = _hourly(spark).withColumn("minute", F.minute("interval_start")).withColumns({
+        "close": close, "price_change_percentage": F.when(F.col("minute") % 10 != 0, (close - 0.01) / 0.01 * 100),
+        "avg_spread_percentage": F.lit(1e22),
+    })
+    for minutes in (5, 15, 60):
+        stored = K.project_candle_table(rows, minutes).collect()
+        assert {str(r.price_change_percentage) for r in stored} == {"3502300.0000", "None"}
+    assert {str(r.avg_spread_percentage) for r in K.project_candle_table(rows, 5).collect()} == {"10000000000000000000000.0000"}
+    spark.sql("DROP TABLE IF EXISTS ohlcv_wide")
+    K.write_warehouse(rows.drop("minute"), "ohlcv_wide", buckets=2)
+    assert spark.table("ohlcv_wide").agg(F.max("price_change_percentage").cast("double")).first()[0] == 3502300
+    spark.sql("DROP TABLE ohlcv_wide")
+
+
 def test_warehouse_table(spark):
     rows = _hourly(spark)
     spark.sql("DROP TABLE IF EXISTS ohlcv_test")
