@@ -30,11 +30,13 @@ class RowChunks:
     """Chunks of about ``rows`` rows, by ranges of series and order; more and smaller ones where shuffles are wider.
 
     Rows that agree in series and order stay together. Ranges are sampled, so the input is counted, sampled and
-    shuffled: ``store`` an input that is costly to evaluate.
+    shuffled: ``store`` an input that is costly to evaluate. The rows are written with their chunks, since a second
+    sample would draw other ranges: to a new folder under the shared root, or to ``folder``, which is overwritten.
     """
 
     rows: int = 200_000
     store: bool = False
+    folder: str | None = None
 
     def cut(self, df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, int]:
         """``df`` with ``_chunk``, numbered along keys and order without gaps in a series, and the last number."""
@@ -42,7 +44,8 @@ class RowChunks:
             df = stored(df, "series")
         least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         ranges = max(least, -(-df.count() // self.rows))
-        return df.repartitionByRange(ranges, *keys, *order).withColumn(CHUNK, F.spark_partition_id()), ranges - 1
+        cut = df.repartitionByRange(ranges, *keys, *order).withColumn(CHUNK, F.spark_partition_id())
+        return stored(cut, "chunks", self.folder), ranges - 1
 
 
 def _tails(based: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int) -> DataFrame:

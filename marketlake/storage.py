@@ -32,8 +32,8 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/marketlake/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written under the shared root and read back: evaluated once, whatever reads it later."""
-    path = work_path(df.sparkSession, label)
-    df.write.parquet(path)
+def stored(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """``df`` written under the shared root, or over what ``path`` holds, and read back: evaluated once."""
+    path = path or work_path(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

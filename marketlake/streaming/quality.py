@@ -8,7 +8,7 @@ micro-batch is therefore cut into chunks of rows like any other hot series and i
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
@@ -52,7 +52,7 @@ class CarriedPrices:
 
     def __init__(self, spark: SparkSession, path: str, chunks: RowChunks = RowChunks()):
         self.slots = SlotTable(spark, path, PRICE_STATE)
-        self.chunks = chunks
+        self.chunks = replace(chunks, folder=f"{path}/chunks")  # one batch's at a time
 
     def _merged(self, batch: DataFrame, batch_id: int) -> DataFrame:
         carried = self.slots.before(batch_id)

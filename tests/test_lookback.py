@@ -85,6 +85,24 @@ def test_chunks_of_rows_hold_no_hot_second(spark):
     pd.testing.assert_frame_equal(cut[whole.columns], whole)
 
 
+def test_chunks_are_drawn_once(spark, tmp_path):
+    """Of more rows than a range sample takes, tails and windows see the same chunks, in a stream's batches too."""
+    path = str(tmp_path / "in")
+    spark.range(60_000).select(
+        (F.col("id") % 3).cast("string").alias("k"), F.xxhash64("id").alias("t"), "id", F.rand(1).alias("x"), F.lit("y").alias("y")
+    ).coalesce(1).write.parquet(path)
+    df = spark.read.parquet(path)
+
+    def compute(frame, window):
+        return frame.withColumn("n", F.count("x").over(window(5))).withColumn("lag", F.lag("x", 4).over(window()))
+
+    whole = over_chunks(df, ["k"], ["t", "id"], None, 4, compute)
+    folder = str(tmp_path / "chunks")
+    for chunks in (RowChunks(700), RowChunks(700, store=True), RowChunks(900, folder=folder), RowChunks(500, folder=folder)):
+        cut = over_chunks(df, ["k"], ["t", "id"], chunks, 4, compute, ["x"]).select(*whole.columns)
+        assert cut.exceptAll(whole).count() == 0 and cut.count() == 60_000
+
+
 def test_stored_input_is_evaluated_once(spark, tmp_path):
     path = str(tmp_path / "in")
     spark.range(500).selectExpr("'k' as k", "id", "cast(id as double) as x", "'{\"a\":1}' as js").write.parquet(path)
