@@ -13,6 +13,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(events: DataFrame) -> DataFrame:
+    """Events in as many tasks as the application has cores, by time, for work that costs more than a shuffle.
+
+    A scan has at most one task for each row group of its files, however many rows that holds.
+    """
+    return events.repartitionByRange(events.sparkSession.sparkContext.defaultParallelism, "ts", "event_id")
+
+
 def _exchange(user_id: Column) -> Column:
     return F.element_at(F.array(*[F.lit(e) for e in EXCHANGES]), (user_id % 3 + 1).cast("int"))
 
@@ -140,7 +148,7 @@ def stream_records_from(events: DataFrame) -> DataFrame:
 
 
 def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stream_records_from(table(spark, sf_dir, "events"))
+    return stream_records_from(spread(table(spark, sf_dir, "events")))
 
 
 def as_of(spark: SparkSession, sf_dir: str):

@@ -86,6 +86,11 @@ def valid_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.typed_records(scored(spark, sf_dir).filter(F.col("status") == Q.VALID), F.col("now"), ("now",))
 
 
+def landable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid records for a lake that lands in parts, stored: they are decoded once, whatever the number of parts."""
+    return stored(TR.add_live_spread(valid_typed(spark, sf_dir)), "landable")
+
+
 _stored: dict[tuple[str, str, str], str] = {}
 
 
@@ -178,7 +183,7 @@ def _crawled(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
         lake = work_path(spark, "drift-lake")
         day = F.dayofmonth("landed")
-        records = TR.add_live_spread(valid_typed(spark, sf_dir)).withColumns({
+        records = landable(spark, sf_dir).withColumns({
             "processed_at": F.when(day >= _DRIFT_DAYS[0], F.col("timestamp")),
             "ask": F.when(day < _DRIFT_DAYS[1], F.col("ask")),
         })
@@ -742,7 +747,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Two days are built, then every eleventh record lands: never built days and the two with late records are left."""
     lake, out = work_path(spark, "late-lake"), work_path(spark, "late-out")
-    records = TR.add_live_spread(valid_typed(spark, sf_dir))
+    records = landable(spark, sf_dir)
     late = F.col("trade_id").cast("long") % 11 == 0
     K.write_raw_json(records.filter(~late), lake, batch="first")
     for day in ("2024/01/14", "2024/01/15"):
@@ -897,18 +902,6 @@ def _(spark, sf_dir):
 STREAM_DAYS = 8
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events in several micro-batches, one for each run of days of the month."""
-    events = I.table(spark, sf_dir, "events")
-
-    def write(path: str) -> None:
-        part = F.floor((F.dayofmonth("ts") - 1) / STREAM_DAYS)
-        for n in range(0, 31, STREAM_DAYS):  # one after the other: a stream takes files by their age
-            events.filter(part == n // STREAM_DAYS).coalesce(1).write.mode("append").parquet(path)
-
-    return file_stream(spark, _once(spark, sf_dir, "event-files", write), events.schema, files_per_batch=1)
-
-
 def _cores(spark: SparkSession) -> int:
     """State partitions of a stream: as many as the application has cores."""
     return spark.sparkContext.defaultParallelism
@@ -918,17 +911,36 @@ def _paths(spark: SparkSession, label: str) -> STQ.StreamPaths:
     return STQ.StreamPaths(work_path(spark, label))
 
 
+def _in_runs(
+    spark: SparkSession, events: DataFrame, run: Column, paths: STQ.StreamPaths, start: Callable[[DataFrame], object]
+) -> None:
+    """Events arrive run by run; the stream is started for each and goes on from where the last one stopped.
+
+    A run is one micro-batch of as many files as there are cores, so that its records are decoded by all of them.
+    """
+    for n in range(0, 31, STREAM_DAYS):
+        I.spread(events.filter(run == n // STREAM_DAYS)).write.mode("append").parquet(paths.arrived)
+        start(file_stream(spark, paths.arrived, events.schema)).awaitTermination()
+
+
+def _by_days(spark: SparkSession, sf_dir: str, paths: STQ.StreamPaths, start: Callable[[DataFrame], object]) -> None:
+    """All events in several micro-batches, one for each run of days of the month."""
+    _in_runs(spark, I.table(spark, sf_dir, "events"), F.floor((F.dayofmonth("ts") - 1) / STREAM_DAYS), paths, start)
+
+
 def _stream_candles(minutes: int) -> Query:
     def build(spark, sf_dir):
         paths = _paths(spark, "stream-candles")
-        rows = STC.stream_candles(I.trades_from(_event_stream(spark, sf_dir)), minutes)
-        writer = (
-            rows.writeStream.format("parquet").outputMode("append")
-            .option("checkpointLocation", paths.checkpoint).option("path", paths.candles).trigger(availableNow=True)
-        )
-        with state_partitions(spark, _cores(spark)):
-            running = writer.start()
-        running.awaitTermination()
+
+        def start(arrived: DataFrame):
+            writer = (
+                STC.stream_candles(I.trades_from(arrived), minutes).writeStream.format("parquet").outputMode("append")
+                .option("checkpointLocation", paths.checkpoint).option("path", paths.candles).trigger(availableNow=True)
+            )
+            with state_partitions(spark, _cores(spark)):
+                return writer.start()
+
+        _by_days(spark, sf_dir, paths, start)
         return spark.read.parquet(paths.candles)
 
     return build
@@ -941,30 +953,22 @@ query("stream_candles_5m")(_stream_candles(5))
 @query("stream_indicators")
 def _(spark, sf_dir):
     paths = _paths(spark, "stream-indicators")
-    rows = STC.stream_candles(I.trades_from(_event_stream(spark, sf_dir)), 60)
-    STC.stream_indicators(
-        spark, rows, 60, paths.out, paths.state, paths.checkpoint, state_count=_cores(spark)
-    ).awaitTermination()
+    _by_days(spark, sf_dir, paths, lambda arrived: STC.stream_indicators(
+        spark, STC.stream_candles(I.trades_from(arrived), 60), 60, paths.out, paths.state, paths.checkpoint,
+        state_count=_cores(spark),
+    ))
     return spark.read.parquet(paths.out).drop("batch")
 
 
 @query("stateful_enrich")
 def _(spark, sf_dir):
     paths = _paths(spark, "stream-enrich")
-    source = I.stream_records_from(_event_stream(spark, sf_dir))
-    STQ.stateful_enrich(spark, STQ.valid_records(source, F.col("now")), paths).awaitTermination()
+    _by_days(spark, sf_dir, paths, lambda arrived: STQ.stateful_enrich(
+        spark, STQ.valid_records(I.stream_records_from(arrived), F.col("now")), paths
+    ))
     return spark.read.parquet(paths.enriched).select("trade_id", "symbol", "price", *E.TICK_COLUMNS)
 
 
-def _in_runs(
-    spark: SparkSession, events: DataFrame, run: Column, paths: STQ.StreamPaths, start: Callable[[DataFrame], object]
-) -> None:
-    """Events arrive run by run; the stream is started for each and goes on from where the last one stopped."""
-    for n in range(0, 31, STREAM_DAYS):
-        events.filter(run == n // STREAM_DAYS).write.mode("append").parquet(paths.arrived)
-        start(file_stream(spark, paths.arrived, events.schema)).awaitTermination()
-
-
 @query("stateful_enrich_keyed")
 def _(spark, sf_dir):
     """Prices in the stream's own state store; it stops and restarts between the runs of days."""
@@ -978,7 +982,7 @@ def _(spark, sf_dir):
                 .option("checkpointLocation", paths.checkpoint).trigger(availableNow=True).start()
             )
 
-    _in_runs(spark, I.table(spark, sf_dir, "events"), F.floor((F.dayofmonth("ts") - 1) / STREAM_DAYS), paths, start)
+    _by_days(spark, sf_dir, paths, start)
     return spark.read.parquet(paths.enriched).select("trade_id", "symbol", "price", *E.TICK_COLUMNS)
 
 
@@ -1008,10 +1012,10 @@ def _(spark, sf_dir):
 
 def _quality_stream(spark: SparkSession, sf_dir: str) -> STQ.StreamPaths:
     def write(path: str) -> None:
-        source = I.stream_records_from(_event_stream(spark, sf_dir))
-        STQ.stream_quality(
-            spark, source, STQ.StreamPaths(path), now=F.col("now"), dlq_enabled=True
-        ).awaitTermination()
+        paths = STQ.StreamPaths(path)
+        _by_days(spark, sf_dir, paths, lambda arrived: STQ.stream_quality(
+            spark, I.stream_records_from(arrived), paths, now=F.col("now"), dlq_enabled=True
+        ))
 
     return STQ.StreamPaths(_once(spark, sf_dir, "stream-quality", write))
 
@@ -1040,14 +1044,16 @@ def _(spark, sf_dir):
 @query("stream_alarms")
 def _(spark, sf_dir):
     paths = _paths(spark, "stream-alarms")
-    s = Q.score_records(
-        FD.decode_stream(I.stream_records_from(_event_stream(spark, sf_dir))), now=F.col("now")
-    )
-    event_ts = parsing.event_time(parsing.field(F.col("record"), "timestamp"))
-    points = M.across_dimensions(Q.metric_points(s, F.col("now"), event_ts))
     rule = ALARMS["errors"]
     hourly = type(rule)(rule.metric, rule.statistic, rule.threshold, rule.above, 3600)
-    STA.stream_alarms(
-        spark, points, hourly, paths.out, paths.state, paths.checkpoint, state_count=_cores(spark)
-    ).awaitTermination()
+
+    def start(arrived: DataFrame):
+        s = Q.score_records(FD.decode_stream(I.stream_records_from(arrived)), now=F.col("now"))
+        event_ts = parsing.event_time(parsing.field(F.col("record"), "timestamp"))
+        points = M.across_dimensions(Q.metric_points(s, F.col("now"), event_ts))
+        return STA.stream_alarms(
+            spark, points, hourly, paths.out, paths.state, paths.checkpoint, state_count=_cores(spark)
+        )
+
+    _by_days(spark, sf_dir, paths, start)
     return spark.read.parquet(paths.out).select("name", "period_start", "value", "breach", "state")

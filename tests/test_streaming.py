@@ -315,3 +315,29 @@ def test_mended_candles_repeat_a_batch(spark, tmp_path):
     for read in (STL.mended_candles, STL.late_trades):
         a, b = (sorted(map(str, read(spark, t.root).collect())) for t in (tables, once))
         assert a == b and a
+
+
+def test_records_are_decoded_on_all_cores(spark, tmp_path):
+    """Events of one row group: a scan of them, and a micro-batch of one such file, would be one task."""
+    from marketlake.queries import inputs, registry
+
+    events = spark.range(0, 4000, 1, 1).selectExpr(
+        "id event_id", "timestamp_ntz '2024-01-01' + make_dt_interval(cast(id % 30 as int)) ts", "id % 7 user_id",
+        "'click' event_type", "cast(id % 90 as double) value", "'{\"k\":1}' props",
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    cores = spark.sparkContext.defaultParallelism
+    assert cores > 1 and inputs.stream_records(spark, str(tmp_path)).rdd.getNumPartitions() == cores
+
+    class Done:
+        def awaitTermination(self):
+            seen.append(len(list((tmp_path / "run" / "arrived").glob("*.parquet"))))
+
+    seen = []
+    registry._by_days(spark, str(tmp_path), STQ.StreamPaths(str(tmp_path / "run")), lambda arrived: Done())
+    assert seen == [cores, 2 * cores, 3 * cores, 4 * cores]
+    assert spark.read.parquet(str(tmp_path / "run" / "arrived")).exceptAll(events).count() == 0
+
+    # What lands in two parts is decoded once.
+    plan = registry.landable(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "base64" not in plan
