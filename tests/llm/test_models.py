@@ -409,3 +409,43 @@ def test_few_documents(spark, data):
         assert got[1].edited_sha256 == hashlib.sha256(b"abcdab").hexdigest() and got[1].near_next == 1
     if len(data) == 2:
         assert got[1].edited_sha256 == hashlib.sha256(b"xyzxab").hexdigest()
+
+
+def test_edited_texts_are_made_of_words_read_before(monkeypatch):
+    """Their fingerprints are those of the whole edited texts, of which only the words at the cuts are hashed again."""
+    rng = random.Random(4)
+    odd = "ab Σσς.'-_\n\tİK1 é界  ,"
+    texts = ["".join(rng.choice(odd) for _ in range(rng.randrange(60))) for _ in range(400)] + ["", ".", "\ud800a b"]
+    texts += [" ".join(f"w{i}x{rng.getrandbits(40)}" for i in range(60)) for _ in range(40)]
+    texts = [t.encode("utf-8", "replace").decode() for t in texts]
+    counts = Counter(w for t in texts for w in imatch.terms(t).tolist())
+    listed = np.array(sorted(w for w in counts if w % 5), np.int64)
+    inside = listed % 3 > 0
+    rare = np.array([w for w in counts if not w % 5 and w % 3], np.int64)
+    packer = imatch.zstandard.ZstdCompressor()
+
+    def batches():
+        for n in range(0, len(texts), 100):
+            part = texts[n : n + 100]
+            columns = [
+                imatch.pa.array([0] * len(part), "int32"), imatch.pa.array([False] * len(part)),
+                imatch.pa.array(range(n, n + len(part)), "int64"),
+                imatch.pa.array([packer.compress(t.encode()) for t in part], "binary"),
+                imatch.pa.array([None if n + i else rare.tolist() for i in range(len(part))], imatch.pa.list_(imatch.pa.int64())),
+            ]
+            yield imatch.pa.RecordBatch.from_arrays(columns, names=["bucket", "visit", "doc_id", "text", "rare"])
+
+    def by_hand(text):
+        own = imatch.terms(text)
+        known, rest = imatch._split(listed, inside, own)
+        return imatch.fingerprint(own, np.sort(np.concatenate([known, rest[np.isin(rest, rare)]])))
+
+    expected = [
+        (i, by_hand(a), by_hand(imatch.edited(a, b))) for i, (a, b) in enumerate(zip(texts, texts[1:]))
+    ]
+    hashed = []
+    plain = imatch.xxhash.xxh64_intdigest
+    monkeypatch.setattr(imatch.xxhash, "xxh64_intdigest", lambda x: hashed.append(x) or plain(x))
+    got = [r for b in imatch._compared(listed, inside)(batches()) for r in b.to_pylist()]
+    assert [(r["doc_id"], r["fingerprint"], r["edited_fingerprint"]) for r in got] == expected
+    assert sum(x.startswith(b"w") and b"x" in x for x in hashed) < 1.2 * 60 * 40
