@@ -13,6 +13,7 @@ nothing else; likeness is the estimate of that share.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import zlib
@@ -23,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.llm.common import shuffle_partitions, stored
@@ -400,11 +401,15 @@ def _likened(rows: list[tuple], pairs: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def _packed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """Texts compressed one by one, since whole texts are most of the shuffle. Null is empty."""
-    packer = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
-        yield pa.array([packer.compress((t or "").encode("utf-8", "replace")) for t in _items(batch)], pa.binary())
+_packer = functools.cache(lambda: zstandard.ZstdCompressor(level=3))
+
+
+def _packed(text: str | None) -> bytes:
+    """A text compressed, since whole texts are most of the shuffle. Null is empty.
+
+    A UDF by row: Arrow's batches would hold the texts of up to 10,000 rows, several times in the JVM and in Python.
+    """
+    return _packer().compress((text or "").encode("utf-8", "replace"))
 
 
 def _unpacked(text: bytes, unpacker: zstandard.ZstdDecompressor) -> str:
@@ -415,6 +420,18 @@ _IN_ORDER = ["bucket", "visit", "place", "tie"]
 _RISING = [True, True, False, False]
 
 
+def _below(place: Column, bounds: np.ndarray) -> Column:
+    """How many of the sorted ``bounds`` lie below ``place``, which isn't null: first whole runs of them, then inside one."""
+    step = math.isqrt(len(bounds)) + 1
+    runs = [bounds[at : at + step] for at in range(0, len(bounds) + 1, step)]
+
+    def count(values: Column) -> Column:
+        return F.size(F.filter(values, lambda bound: bound < place))
+
+    run = count(F.lit(bounds[step - 1 :: step]))
+    return run * step + count(F.get(F.array(*map(F.lit, runs)), run))
+
+
 def _in_buckets(docs: DataFrame) -> DataFrame:
     """(bucket, visit, head, doc_id, packed text, place, tie), a bucket in one task; ``_IN_ORDER`` sorts it.
 
@@ -432,24 +449,21 @@ def _in_buckets(docs: DataFrame) -> DataFrame:
     shares = [i / buckets for i in range(1, buckets)] or [0.5]
     found = rows.agg(F.percentile_approx("place", shares, 10_000).alias("q")).first()["q"]
     bounds = np.unique(np.asarray(found or [0], np.int64))
-
-    def number(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield pa.array(len(bounds) - np.searchsorted(bounds, batch.to_numpy(zero_copy_only=False)), pa.int32())
-
-    numbered = rows.withColumn("bucket", F.arrow_udf(number, "int")("place"))
+    numbered = rows.withColumn("bucket", len(bounds) - _below(F.col("place"), bounds))
     heads = sorted(
         (row.bucket, row.head.place, row.head.tie)
         for row in numbered.groupBy("bucket").agg(F.max(F.struct("place", "tie")).alias("head")).collect()
     )
     to = [heads[i - 1][0] for i in range(len(heads))]
-    visits = spark.createDataFrame(
-        [(*head, bucket) for head, bucket in zip(heads, to)], "bucket int, place long, tie long, to int"
-    )
+    # From Arrow: rows of a list would pass through Python workers, which then stay beside those of the texts.
+    visits = spark.createDataFrame(pa.Table.from_pylist(
+        [{"bucket": bucket, "place": place, "tie": tie, "to": into} for (bucket, place, tie), into in zip(heads, to)],
+        pa.schema([("bucket", pa.int32()), ("place", pa.int64()), ("tie", pa.int64()), ("to", pa.int32())]),
+    ))
     own = F.struct("bucket", F.lit(False).alias("visit"))
     other = F.when(F.col("to").isNotNull(), F.struct(F.col("to").alias("bucket"), F.lit(True).alias("visit")))
     return (
-        numbered.withColumn("text", F.arrow_udf(_packed, "binary")("text"))
+        numbered.withColumn("text", F.udf(_packed, "binary", useArrow=False)("text"))
         .join(F.broadcast(visits), ["bucket", "place", "tie"], "left")
         .select("doc_id", "text", "place", "tie", "to", F.explode(F.array_compact(F.array(own, other))).alias("at"))
         .select("at.bucket", "at.visit", (F.col("to").isNotNull() & ~F.col("at.visit")).alias("head"),

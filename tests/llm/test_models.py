@@ -449,3 +449,21 @@ def test_edited_texts_are_made_of_words_read_before(monkeypatch):
     got = [r for b in imatch._compared(listed, inside)(batches()) for r in b.to_pylist()]
     assert [(r["doc_id"], r["fingerprint"], r["edited_fingerprint"]) for r in got] == expected
     assert sum(x.startswith(b"w") and b"x" in x for x in hashed) < 1.2 * 60 * 40
+
+
+def test_whole_texts_are_packed_a_few_at_a_time(spark):
+    """Arrow would bring up to 10,000 of them to each of two Python workers a task; one worker with short batches is left."""
+    rows = imatch._in_buckets(cases.frame(spark, clashing=False).select("doc_id", "text"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan and plan.count("BatchEvalPython") == 1
+    assert "Scan ExistingRDD[bucket" not in plan  # the visits: rows from Python's pickles have workers of their own
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 8, 9, 50, 400])
+def test_bounds_below_an_id(spark, n):
+    rng = random.Random(n)
+    bounds = np.unique(np.array([imatch.LAST, *[rng.randrange(-1000, 1000) for _ in range(n - 1)]], np.int64))
+    ids = [imatch.LAST, (1 << 63) - 1, *bounds.tolist(), *[rng.randrange(-1100, 1100) for _ in range(50)]]
+    places = spark.createDataFrame([(i,) for i in ids], "place long")
+    got = places.select("place", imatch._below(imatch.F.col("place"), bounds).alias("n")).collect()
+    assert [r.n for r in got] == [int(np.searchsorted(bounds, r.place)) for r in got]
